@@ -1,4 +1,4 @@
-"""Cell-level cleaning rules as native column expressions.
+"""Cell-level cleaning rules as native expressions on one named column.
 
 Text that is not a valid value becomes NULL, also when the session runs with ANSI
 mode on: every conversion of outside data goes through ``try_cast``.
@@ -10,65 +10,62 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def safe_cast(column: Column, to: str) -> Column:
+def typed(name: str, to: str) -> Column:
     """Typed value or NULL. Whole numbers truncate: the text ``3.7`` gives 3."""
     if to == "int":
-        return column.try_cast("double").try_cast("int")
-    return column.try_cast(to)
+        return F.expr(f"try_cast(try_cast({name} as double) as int)")
+    return F.expr(f"try_cast({name} as {to})")
 
 
-def digits_int(column: Column) -> Column:
+def digits_int(name: str) -> Column:
     """Keep the digits only, then read an integer (a sign is lost: ``-1`` gives 1)."""
-    return F.regexp_replace(column.cast("string"), "[^0-9]", "").try_cast("int")
+    return F.expr(f"try_cast(regexp_replace({name}, '[^0-9]', '') as int)")
 
 
-def digits_double(column: Column) -> Column:
+def digits_double(name: str) -> Column:
     """Keep digits and dots, then read a double; ``1.2.3`` gives NULL."""
-    return F.regexp_replace(column.cast("string"), "[^0-9.]", "").try_cast("double")
+    return F.expr(f"try_cast(regexp_replace({name}, '[^0-9.]', '') as double)")
 
 
-def money(column: Column, places: int = 3) -> Column:
-    return F.round(digits_double(column), places)
+def money(name: str, places: int = 3) -> Column:
+    return F.round(digits_double(name), places)
 
 
-def clamp_low(column: Column, low: int = 0) -> Column:
+def clamp_low(name: str, low: int = 0) -> Column:
     """Raise smaller values to ``low``; NULL stays NULL."""
-    return F.when(column < low, F.lit(low)).otherwise(column)
+    return F.expr(f"if({name} < {low}, {low}, {name})")
 
 
-def cap(column: Column, high: int) -> Column:
+def cap(name: str, high: int) -> Column:
     """Lower bigger values to ``high``; NULL stays NULL (``least`` would skip it)."""
-    return F.when(column > high, F.lit(high)).otherwise(column)
+    return F.expr(f"if({name} > {high}, {high}, {name})")
 
 
-def within(column: Column, low: int, high: int) -> Column:
-    return F.when(column.between(low, high), column)
+def within(name: str, low: int, high: int) -> Column:
+    return F.expr(f"if({name} between {low} and {high}, {name}, null)")
 
 
-def matching(column: Column, pattern: str) -> Column:
-    return F.when(column.rlike(pattern), column)
+def matching(name: str, pattern: str) -> Column:
+    return F.when(F.col(name).rlike(pattern), F.col(name))
 
 
-def ordinal(column: Column, levels: list[str]) -> Column:
+def ordinal(name: str, levels: list[str]) -> Column:
     """Position of the value in ``levels``; anything else gives NULL."""
-    code = F.lit(None).cast("int")
-    for position, level in reversed(list(enumerate(levels))):
-        code = F.when(column == level, F.lit(position)).otherwise(code)
-    return code
+    codes = " ".join(f"when '{level}' then {position}" for position, level in enumerate(levels))
+    return F.expr(f"case {name} {codes} end")
 
 
-def yes_no(column: Column) -> Column:
-    return F.when(column == "Yes", F.lit(True)).when(column == "No", F.lit(False))
+def yes_no(name: str) -> Column:
+    return F.expr(f"case {name} when 'Yes' then true when 'No' then false end")
 
 
-def person_name(column: Column) -> Column:
+def person_name(name: str) -> Column:
     """Letters, space, dot, apostrophe and hyphen only, without outer spaces."""
-    return F.trim(F.regexp_replace(column, "[^A-Za-z .'-]", ""))
+    return F.trim(F.regexp_replace(name, "[^A-Za-z .'-]", ""))
 
 
-def months_from_text(column: Column) -> Column:
+def months_from_text(name: str) -> Column:
     """``10 Years and 9 Months`` gives 129; text that starts otherwise gives NULL."""
     pattern = "^([0-9]+) Years and ([0-9]+) Months"
-    years = F.regexp_extract(column, pattern, 1).try_cast("int").cast("long")
-    months = F.regexp_extract(column, pattern, 2).try_cast("int").cast("long")
-    return (years * 12 + months).try_cast("int")
+    years, months = (f"cast(try_cast(regexp_extract({name}, '{pattern}', {i}) as int) as bigint)" for i in (1, 2))
+    return F.expr(f"try_cast({years} * 12 + {months} as int)")

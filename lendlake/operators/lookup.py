@@ -34,10 +34,8 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLIC
 
 def _with_slices(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     right = F.broadcast(hot).alias("hot")
-    same_key = F.lit(True)
-    for key in keys:
-        same_key = same_key & F.col(f"left.{key}").eqNullSafe(F.col(f"hot.{key}"))
-    return df.alias("left").join(right, same_key, "left").select("left.*", F.coalesce("_slices", F.lit(1)).alias("_slices"))
+    same_key = F.expr(" and ".join(f"left.{key} <=> hot.{key}" for key in keys))
+    return df.alias("left").join(right, same_key, "left").selectExpr("left.*", "coalesce(_slices, 1) as _slices")
 
 
 def lookup_join(

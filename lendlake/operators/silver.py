@@ -24,16 +24,20 @@ CAPS = {
     "Num_Credit_Inquiries": 26,
 }
 
-# Ordinal codes are positions in these lists.
-CREDIT_MIX_LEVELS = ["Bad", "Standard", "Good"]
-PAYMENT_BEHAVIOUR_LEVELS = [
-    f"{spent}_spent_{size}_value_payments" for spent in ("Low", "High") for size in ("Small", "Medium", "Large")
-]
+ENGINEERED = {
+    "Num_Fin_Pdts": "Num_Bank_Accounts + Num_Credit_Card + Num_of_Loan",
+    "Loans_per_Credit_Item": "Num_of_Loan / (Num_Bank_Accounts + Num_Credit_Card + 1)",
+    "Debt_to_Salary": "Outstanding_Debt / (Monthly_Inhand_Salary + 1)",
+    "EMI_to_Salary": "Total_EMI_per_month / (Monthly_Inhand_Salary + 1)",
+    "Repayment_Ability": "Monthly_Inhand_Salary - Total_EMI_per_month",
+    "Loan_Extent": "try_multiply(Delay_from_due_date, Num_of_Loan)",
+}
 
 
 def enforce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the listed columns; other columns pass through."""
-    return df.withColumns({name: C.safe_cast(F.col(name), to) for name, to in types.items()})
+    """Cast the listed columns that have another type; other columns pass through."""
+    present = dict(df.dtypes)
+    return df.withColumns({name: C.typed(name, to) for name, to in types.items() if present[name] != to})
 
 
 def days_past_due(df: DataFrame) -> DataFrame:
@@ -41,14 +45,11 @@ def days_past_due(df: DataFrame) -> DataFrame:
 
     A missing amount counts as 0, and so does every other missing number of the row.
     """
-    missed = F.ceil(F.try_divide(F.col("overdue_amt"), F.col("due_amt"))).try_cast("int")
+    missed = F.expr("try_cast(ceil(try_divide(overdue_amt, due_amt)) as int)")
     counted = df.withColumns({"mob": F.col("installment_num"), "installments_missed": missed}).fillna(0)
-    first_missed = F.when(
-        F.col("installments_missed") > 0, F.add_months("snapshot_date", -F.col("installments_missed"))
-    )
+    first_missed = F.expr("if(installments_missed > 0, add_months(snapshot_date, -installments_missed), null)")
     dated = counted.withColumn("first_missed_date", first_missed)
-    overdue_days = F.datediff("snapshot_date", "first_missed_date")
-    return dated.withColumn("dpd", F.when(F.col("overdue_amt") > 0, overdue_days).otherwise(0))
+    return dated.withColumn("dpd", F.expr("if(overdue_amt > 0, datediff(snapshot_date, first_missed_date), 0)"))
 
 
 def silver_loans(raw: DataFrame) -> DataFrame:
@@ -56,58 +57,47 @@ def silver_loans(raw: DataFrame) -> DataFrame:
 
 
 def silver_clickstream(raw: DataFrame) -> DataFrame:
-    clamped = {c: C.clamp_low(C.safe_cast(F.col(c), "int")) for c in S.CLICK_COLUMNS}
-    keys = {c: C.safe_cast(F.col(c), S.CLICK_TYPES[c]) for c in S.KEY}
-    return raw.withColumns(clamped | keys)
+    return enforce_types(raw, S.CLICK_TYPES).withColumns({c: C.clamp_low(c) for c in S.CLICK_COLUMNS})
 
 
 def silver_attributes(raw: DataFrame) -> DataFrame:
     occupation = F.when(F.col("Occupation") == BLANK_OCCUPATION, F.lit(None).cast("string"))
     for old, new in OCCUPATION_RENAMES.items():
         occupation = occupation.when(F.col("Occupation") == old, F.lit(new))
-    return raw.withColumns(
+    cleaned = raw.withColumns(
         {
-            "Name": C.person_name(F.col("Name")),
-            "Age": C.within(C.digits_int(F.col("Age")), *AGE_RANGE),
-            "SSN": C.matching(F.col("SSN"), SSN_PATTERN),
+            "Name": C.person_name("Name"),
+            "Age": C.digits_int("Age"),
+            "SSN": C.matching("SSN", SSN_PATTERN),
             "Occupation": occupation.otherwise(F.col("Occupation")),
         }
     )
+    return cleaned.withColumn("Age", C.within("Age", *AGE_RANGE))
 
 
 def clean_financials(raw: DataFrame) -> DataFrame:
     """Money, integers, ratios, credit age and the encoded categories.
 
     Signs go with the other non-digits, so a negative entry counts as its absolute value.
+    Limits apply in a second projection, which keeps each text to a single parse.
     """
-    integers = {c: C.digits_int(F.col(c)) for c in S.INTEGER_COLUMNS}
-    return raw.withColumns(
-        {c: C.money(F.col(c)) for c in S.MONEY_COLUMNS}
-        | {c: C.cap(value, CAPS[c]) if c in CAPS else value for c, value in integers.items()}
-        | {c: C.digits_double(F.col(c)) for c in S.RATIO_COLUMNS}
+    cleaned = raw.withColumns(
+        {c: C.money(c) for c in S.MONEY_COLUMNS}
+        | {c: C.digits_int(c) for c in S.INTEGER_COLUMNS}
+        | {c: C.digits_double(c) for c in S.RATIO_COLUMNS}
         | {
-            "Credit_History_Age": C.months_from_text(F.col("Credit_History_Age")),
-            "Credit_Mix": C.ordinal(F.col("Credit_Mix"), CREDIT_MIX_LEVELS),
-            "Payment_of_Min_Amount": C.yes_no(F.col("Payment_of_Min_Amount")),
-            "Payment_Behaviour": C.ordinal(F.col("Payment_Behaviour"), PAYMENT_BEHAVIOUR_LEVELS),
+            "Credit_History_Age": C.months_from_text("Credit_History_Age"),
+            "Credit_Mix": C.ordinal("Credit_Mix", S.CREDIT_MIX_LEVELS),
+            "Payment_of_Min_Amount": C.yes_no("Payment_of_Min_Amount"),
+            "Payment_Behaviour": C.ordinal("Payment_Behaviour", S.PAYMENT_BEHAVIOUR_LEVELS),
         }
     )
+    return cleaned.withColumns({c: C.cap(c, high) for c, high in CAPS.items()})
 
 
 def engineer_ratios(clean: DataFrame) -> DataFrame:
     """Product counts and affordability ratios; NULL inputs give NULL."""
-    bank, cards, loans = F.col("Num_Bank_Accounts"), F.col("Num_Credit_Card"), F.col("Num_of_Loan")
-    salary, emi = F.col("Monthly_Inhand_Salary"), F.col("Total_EMI_per_month")
-    return clean.withColumns(
-        {
-            "Num_Fin_Pdts": bank + cards + loans,
-            "Loans_per_Credit_Item": loans / (bank + cards + 1),
-            "Debt_to_Salary": F.col("Outstanding_Debt") / (salary + 1),
-            "EMI_to_Salary": emi / (salary + 1),
-            "Repayment_Ability": salary - emi,
-            "Loan_Extent": F.try_multiply(F.col("Delay_from_due_date"), loans),
-        }
-    )
+    return clean.withColumns({name: F.expr(rule) for name, rule in ENGINEERED.items()})
 
 
 def silver_financials(raw: DataFrame) -> DataFrame:

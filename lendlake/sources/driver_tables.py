@@ -6,121 +6,101 @@ a customer with a large share of all orders is folded ahead of the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import cache
 
-from lendlake.functions.dates import month_start
-from lendlake.schemas import CLICK_COLUMNS
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from lendlake.schemas import CLICK_COLUMNS, PAYMENT_BEHAVIOUR_LEVELS
 
 
-def text(column: Column) -> Column:
-    return column.cast("string")
+@cache
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
-def customer_id(key: str) -> Column:
-    return F.concat(F.lit("CUS_"), text(F.col(key))).alias("Customer_ID")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    price = F.col("l_extendedprice")
-    late = F.round(F.col("l_discount") * 100).cast("int") % 4
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(F.lit("L"), text(F.col("l_orderkey")), F.lit("-"), text(F.col("l_linenumber"))).alias("loan_id"),
-        customer_id("o_custkey"),
-        F.col("o_orderdate").cast("date").alias("loan_start_date"),
-        text(F.col("l_quantity") / 2).alias("tenure"),
-        F.col("l_linenumber").alias("installment_num"),
-        price.cast("float").alias("loan_amt"),
-        (price / 10).cast("float").alias("due_amt"),
-        F.when(F.col("l_tax") > 0, (price * F.col("l_tax")).cast("float")).alias("paid_amt"),
-        (late * price * 0.09).cast("float").alias("overdue_amt"),
-        (price * (1 - F.col("l_discount"))).cast("float").alias("balance"),
-        month_start(F.col("l_shipdate")).alias("snapshot_date"),
+    return lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey").selectExpr(
+        "concat('L', l_orderkey, '-', l_linenumber) as loan_id",
+        "concat('CUS_', o_custkey) as Customer_ID",
+        "cast(o_orderdate as date) as loan_start_date",
+        "cast(l_quantity / 2 as string) as tenure",
+        "l_linenumber as installment_num",
+        "cast(l_extendedprice as float) as loan_amt",
+        "cast(l_extendedprice / 10 as float) as due_amt",
+        "if(l_tax > 0, cast(l_extendedprice * l_tax as float), null) as paid_amt",
+        "cast(cast(round(l_discount * 100) as int) % 4 * l_extendedprice * 0.09D as float) as overdue_amt",
+        "cast(l_extendedprice * (1 - l_discount) as float) as balance",
+        "trunc(l_shipdate, 'MM') as snapshot_date",
     )
 
 
 def orders_by_customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer and order month, with the customer's columns."""
-    orders = table(spark, sf_dir, "orders")
-    monthly = orders.groupBy("o_custkey", month_start(F.col("o_orderdate")).alias("snapshot_date")).agg(
-        F.min("o_totalprice").alias("low_price"), F.count(F.lit(1)).alias("n_orders")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey as c_custkey", "trunc(o_orderdate, 'MM') as snapshot_date", "o_totalprice"
     )
+    monthly = orders.groupBy("c_custkey", "snapshot_date").agg({"o_totalprice": "min", "*": "count"})
+    monthly = monthly.withColumnsRenamed({"min(o_totalprice)": "low_price", "count(1)": "n_orders"})
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
-    return monthly.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return monthly.join(customers, "c_custkey")
 
 
 def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = F.floor("low_price").cast("int")
-    balance = F.floor("c_acctbal").cast("int")
-    columns = [visits.alias("fe_1"), balance.alias("fe_2")]
-    for position, name in enumerate(CLICK_COLUMNS[2:], start=3):
-        shifted = (visits + balance * position) % (position * 100) - 50
-        present = F.col("o_custkey") % (position + 20) != 0
-        columns.append(F.when(present, shifted).alias(name))
-    return orders_by_customer_month(spark, sf_dir).select(*columns, customer_id("o_custkey"), "snapshot_date")
+    counted = orders_by_customer_month(spark, sf_dir).selectExpr(
+        "*", "cast(floor(low_price) as int) as fe_1", "cast(floor(c_acctbal) as int) as fe_2"
+    )
+    others = [
+        f"if(c_custkey % {i + 20} != 0, (fe_1 + fe_2 * {i}) % {i * 100} - 50, null) as {name}"
+        for i, name in enumerate(CLICK_COLUMNS[2:], start=3)
+    ]
+    return counted.selectExpr("fe_1", "fe_2", *others, "concat('CUS_', c_custkey) as Customer_ID", "snapshot_date")
 
 
 def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    age = text(key % 130)
-    number = F.concat_ws(
-        "-",
-        F.lpad(text(key % 1000), 3, "0"),
-        F.lpad(text(key % 100), 2, "0"),
-        F.lpad(text(key % 10000), 4, "0"),
-    )
-    segment = F.col("c_mktsegment")
-    return table(spark, sf_dir, "customer").select(
-        customer_id("c_custkey"),
-        F.when(key % 19 != 0, F.concat(F.lit(" "), "c_name", F.lit(" O'Neil-"), segment, F.lit("!2 "))).alias("Name"),
-        F.when(key % 7 == 0, F.concat(F.lit("-"), age)).otherwise(F.concat(age, F.lit("_"))).alias("Age"),
-        F.when(key % 5 == 0, "#F%$D@*&8").otherwise(number).alias("SSN"),
-        F.when(segment == "HOUSEHOLD", "_______")
-        .when(segment == "MACHINERY", "Media_Manager")
-        .otherwise(segment)
-        .alias("Occupation"),
-        F.add_months(F.lit("1995-01-01").cast("date"), (key % 84).cast("int")).alias("snapshot_date"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('CUS_', c_custkey) as Customer_ID",
+        "if(c_custkey % 19 != 0, concat(' ', c_name, ' O\\'Neil-', c_mktsegment, '!2 '), null) as Name",
+        "if(c_custkey % 7 = 0, concat('-', c_custkey % 130), concat(c_custkey % 130, '_')) as Age",
+        """if(c_custkey % 5 = 0, '#F%$D@*&8',
+              concat_ws('-', lpad(c_custkey % 1000, 3, '0'), lpad(c_custkey % 100, 2, '0'), lpad(c_custkey % 10000, 4, '0')))
+           as SSN""",
+        """case c_mktsegment when 'HOUSEHOLD' then '_______' when 'MACHINERY' then 'Media_Manager' else c_mktsegment end
+           as Occupation""",
+        "add_months(date'1995-01-01', cast(c_custkey % 84 as int)) as snapshot_date",
     )
 
 
 def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_custkey")
-    balance = text(F.col("c_acctbal"))
-    price = text(F.col("low_price"))
-    mix = F.when(key % 4 == 0, "Bad").when(key % 4 == 1, "Standard").when(key % 4 == 2, "Good").otherwise("_")
-    minimum = F.when(key % 3 == 0, "Yes").when(key % 3 == 1, "No").otherwise("NM")
-    habits = [f"{spent}_spent_{size}_value_payments" for spent in ("Low", "High") for size in ("Small", "Medium", "Large")]
-    behaviour = F.when(key % 7 == 0, habits[0])
-    for position, habit in enumerate(habits[1:], start=1):
-        behaviour = behaviour.when(key % 7 == position, habit)
-    age = F.concat(text(key % 30), F.lit(" Years and "), text(key % 12), F.lit(" Months"))
-    return orders_by_customer_month(spark, sf_dir).select(
-        customer_id("o_custkey"),
-        F.concat(balance, F.lit("_")).alias("Annual_Income"),
-        F.when(key % 13 == 0, "").otherwise(balance).alias("Monthly_Inhand_Salary"),
-        price.alias("Outstanding_Debt"),
-        F.concat(F.lit("__"), text(F.col("c_nationkey") * 10), F.lit("__")).alias("Total_EMI_per_month"),
-        F.when(key % 17 == 0, "__10000__").otherwise(F.concat(F.lit("$"), price)).alias("Amount_invested_monthly"),
-        F.when(key % 23 != 0, F.concat(F.lit("-"), balance, F.lit("_"))).alias("Monthly_Balance"),
-        text(key % 15).alias("Num_Bank_Accounts"),
-        F.concat(text(key % 12), F.lit("_")).alias("Num_Credit_Card"),
-        text(key % 11 - 1).alias("Num_of_Loan"),
-        text(F.col("n_orders") * 7 - 10).alias("Delay_from_due_date"),
-        F.concat(text(key % 60), F.lit("_")).alias("Num_of_Delayed_Payment"),
-        F.when(key % 31 != 0, text(key % 40)).alias("Num_Credit_Inquiries"),
-        text(key % 50).alias("Interest_Rate"),
-        F.when(key % 6 == 0, "_").otherwise(text(F.round("c_acctbal", 1))).alias("Changed_Credit_Limit"),
-        F.when(key % 10 == 0, F.concat(F.lit("-"), price)).otherwise(price).alias("Credit_Utilization_Ratio"),
-        F.when(key % 9 == 0, "NA").otherwise(age).alias("Credit_History_Age"),
-        mix.alias("Credit_Mix"),
-        minimum.alias("Payment_of_Min_Amount"),
-        behaviour.otherwise("!@9#%8").alias("Payment_Behaviour"),
+    habits = " ".join(f"when {i} then '{habit}'" for i, habit in enumerate(PAYMENT_BEHAVIOUR_LEVELS))
+    return orders_by_customer_month(spark, sf_dir).selectExpr(
+        "concat('CUS_', c_custkey) as Customer_ID",
+        "concat(c_acctbal, '_') as Annual_Income",
+        "if(c_custkey % 13 = 0, '', cast(c_acctbal as string)) as Monthly_Inhand_Salary",
+        "cast(low_price as string) as Outstanding_Debt",
+        "concat('__', c_nationkey * 10, '__') as Total_EMI_per_month",
+        "if(c_custkey % 17 = 0, '__10000__', concat('$', low_price)) as Amount_invested_monthly",
+        "if(c_custkey % 23 != 0, concat('-', c_acctbal, '_'), null) as Monthly_Balance",
+        "cast(c_custkey % 15 as string) as Num_Bank_Accounts",
+        "concat(c_custkey % 12, '_') as Num_Credit_Card",
+        "cast(c_custkey % 11 - 1 as string) as Num_of_Loan",
+        "cast(n_orders * 7 - 10 as string) as Delay_from_due_date",
+        "concat(c_custkey % 60, '_') as Num_of_Delayed_Payment",
+        "if(c_custkey % 31 != 0, cast(c_custkey % 40 as string), null) as Num_Credit_Inquiries",
+        "cast(c_custkey % 50 as string) as Interest_Rate",
+        "if(c_custkey % 6 = 0, '_', cast(round(c_acctbal, 1) as string)) as Changed_Credit_Limit",
+        "if(c_custkey % 10 = 0, concat('-', low_price), cast(low_price as string)) as Credit_Utilization_Ratio",
+        "if(c_custkey % 9 = 0, 'NA', concat(c_custkey % 30, ' Years and ', c_custkey % 12, ' Months')) as Credit_History_Age",
+        "case c_custkey % 4 when 0 then 'Bad' when 1 then 'Standard' when 2 then 'Good' else '_' end as Credit_Mix",
+        "case c_custkey % 3 when 0 then 'Yes' when 1 then 'No' else 'NM' end as Payment_of_Min_Amount",
+        f"case c_custkey % 7 {habits} else '!@9#%8' end as Payment_Behaviour",
         "snapshot_date",
     )
 
