@@ -17,13 +17,15 @@ SLICE = "_slice"
 
 
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Repeated keys keep their greatest row, column by column from the left.
+    """Rows of a repeated key are reduced to one of them, the same one on every run.
 
-    Copies of a hot key are reduced before the shuffle, and the shuffle on ``keys`` is
-    the one a following join on them needs anyway.
+    The row with the greatest hash stays: a number per row lets every column be kept by a
+    hash aggregate, so copies of a hot key fold before the shuffle. That shuffle is the
+    one a following join on ``keys`` needs anyway.
     """
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    hashed = df.withColumn("_hash", F.xxhash64(*rest))
+    return hashed.groupBy(*keys).agg(*[F.expr(f"max_by({c}, _hash) as {c}") for c in rest])
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
