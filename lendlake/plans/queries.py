@@ -79,10 +79,15 @@ def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.risk_features(silver_table(spark, sf_dir, "financials"))
 
 
-def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels written once: their source join is the largest one and they are used several times."""
+    return written(labels(spark, sf_dir), "label_store")
+
+
+def model_table(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Features of months without labels find no label row, so they need no calendar."""
     engaged = gold.engagement(silver_table(spark, sf_dir, "clickstream"))
-    return gold.model_table(labels(spark, sf_dir), engaged, risk(spark, sf_dir))
+    return gold.model_table(rows or label_store(spark, sf_dir), engaged, risk(spark, sf_dir))
 
 
 def split_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,13 +96,12 @@ def split_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assigned(spark: SparkSession, sf_dir: str, n_train: int = 12) -> DataFrame:
-    months = splits.month_ranks(labels(spark, sf_dir))
-    return splits.assign_splits(model_table(spark, sf_dir), n_train, ranks=months)
+    rows = label_store(spark, sf_dir)
+    return splits.assign_splits(model_table(spark, sf_dir, rows), n_train, ranks=splits.month_ranks(rows))
 
 
 def split_policy_early_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = splits.month_ranks(labels(spark, sf_dir))
-    rows = splits.assign_splits(labels(spark, sf_dir), n_train=6, ranks=months)
+    rows = splits.assign_splits(label_store(spark, sf_dir), n_train=6)
     return rows.groupBy("split", "snapshot_date").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("label").alias("bad_count")
     )
@@ -135,9 +139,9 @@ def auc_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auc_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of the snapshots in the days up to the latest one."""
-    last = labels(spark, sf_dir).agg(F.max("snapshot_date")).scalar()
-    rows = linear_score(model_table(spark, sf_dir))
-    in_window = rows.where(F.col("snapshot_date") >= F.date_sub(last, TRAILING_DAYS))
+    rows = label_store(spark, sf_dir)
+    last = rows.agg(F.max("snapshot_date")).scalar()
+    in_window = linear_score(model_table(spark, sf_dir, rows)).where(F.col("snapshot_date") >= F.date_sub(last, TRAILING_DAYS))
     return metrics.auc(in_window, "label", "score", ["snapshot_date"], "test_auc")
 
 
