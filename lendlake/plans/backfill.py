@@ -30,8 +30,9 @@ def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = N
 
 
 def build_silver(store: Store, months: Months = None) -> None:
+    """Cleaned rows, a job without any shuffle for each table."""
     for name, build in silver.BUILDERS.items():
-        store.write(build(store.read("bronze", name, months)), "silver", name, months)
+        store.write(build(store.read("bronze", name, months)), "silver", name, months, aligned=True)
 
 
 def build_labels(store: Store, months: Months = None, dpd: int = 30, mob: int = 6) -> None:
@@ -53,7 +54,7 @@ def build_engagement(store: Store, months: Months = None, feature: str = "fe_1")
 
 def build_risk(store: Store, months: Months = None) -> None:
     risk = gold.risk_features(store.read("silver", "financials", months))
-    store.write(risk, "gold", "risk", months)
+    store.write(risk, "gold", "risk", months, aligned=True)
 
 
 def build_gold(store: Store, months: Months = None, dpd: int = 30, mob: int = 6) -> None:
@@ -63,6 +64,7 @@ def build_gold(store: Store, months: Months = None, dpd: int = 30, mob: int = 6)
 
 
 def build_model_table(store: Store, months: Months = None) -> None:
+    """Labels with their features; the only joins of the whole run."""
     joined = gold.model_table(
         store.read("gold", "label_store", months),
         store.read("gold", "engagement", months),
@@ -85,7 +87,7 @@ def build_splits(store: Store, months: Months = None, n_train: int = 12, n_oot:
         released = set(months) | set(first) if set(months) & set(first) else set(months)
         table = snapshot_slices(table, sorted(released))
     assigned = assign_splits(table, n_train, n_oot, key, ranks=ranks)
-    store.write(assigned, "gold", "splits", partition_by=("split", S.SNAPSHOT))
+    store.write(assigned, "gold", "splits", partition_by=("split", S.SNAPSHOT), aligned=True)
 
 
 def backfill(

@@ -85,7 +85,7 @@ def score_sets(
     """
     rows = store.read("gold", "splits").where(F.col("split").isin(sets or HOLDOUT))
     scored = score(PipelineModel.load(model_dir), rows)
-    store.write(scored, "gold", "predictions", partition_by=("split", S.SNAPSHOT))
+    store.write(scored, "gold", "predictions", partition_by=("split", S.SNAPSHOT), aligned=True)
     predictions = store.read("gold", "predictions").where(F.col("split").isin(sets or HOLDOUT))
     preds_path = store.path("gold", "predictions")
     lines = manifest_rows(predictions, model_name, model_dir, run_date, preds_path)

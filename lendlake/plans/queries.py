@@ -164,7 +164,7 @@ def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = {"loans": D.raw_loans(spark, sf_dir)}
     backfill.build_bronze(store, raw)
     for months in (None, [date.fromisoformat(SLICE_DATE)]):
-        store.write(silver.silver_loans(store.read("bronze", "loans", months)), "silver", "loans", months)
+        store.write(silver.silver_loans(store.read("bronze", "loans", months)), "silver", "loans", months, aligned=True)
         backfill.build_labels(store, months)
     return metrics.label_profile(store.read("gold", "label_store"))
 

@@ -39,30 +39,43 @@ class Store:
         table: str,
         months: list[date] | None = None,
         partition_by: tuple[str, ...] = (SNAPSHOT,),
+        aligned: bool = False,
     ) -> None:
         """Replace the partitions that ``df`` has rows for.
 
         Rows are rebalanced by partition value, so that a month ends up in few files and a
-        month with a large share of all rows is spread over many tasks. The partitions of
+        month with a large share of all rows is spread over many tasks. ``aligned`` says
+        that ``df`` derives row by row from a table with the same snapshot partitions: its
+        tasks hold few months each, and the write needs no shuffle. The partitions of
         ``months`` that get no rows are removed, as their former rows are out of date.
         """
+        rerun = set(months or []) & self._present(layer, table)
+        spread = df if aligned else df.hint("rebalance", *[F.col(c) for c in partition_by])
         (
-            df.hint("rebalance", *[F.col(c) for c in partition_by])
-            .write.mode("overwrite")
+            spread.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by)
             .parquet(self.path(layer, table))
         )
-        if months is not None:
+        if rerun:
             filled = {row.snapshot_date for row in available_snapshots(df).collect()}
-            for month in set(months) - filled:
-                self._remove(f"{self.path(layer, table)}/{SNAPSHOT}={month.isoformat()}")
+            for month in rerun - filled:
+                folder, files = self._folder(f"{self.path(layer, table)}/{SNAPSHOT}={month.isoformat()}")
+                files.delete(folder, True)
         log.info("wrote %s", self.path(layer, table))
 
     def row_counts(self, *tables: tuple[str, str]) -> DataFrame:
         """Rows of each written table and snapshot, counted without reading any column."""
         return counts_by_snapshot({f"{layer}.{table}": self.read(layer, table) for layer, table in tables})
 
-    def _remove(self, path: str) -> None:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    def _present(self, layer: str, table: str) -> set[date]:
+        """Snapshot partitions of a written table, from its folder names."""
+        folder, files = self._folder(self.path(layer, table))
+        names = [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
+        values = [name.partition("=")[2] for name in names if name.startswith(f"{SNAPSHOT}=")]
+        return {date.fromisoformat(value) for value in values if value[:1].isdigit()}
+
+    def _folder(self, path: str):
+        """Hadoop path and its file system."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())

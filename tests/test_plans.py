@@ -1,11 +1,14 @@
 """Shape of the physical plans: what must be there at scale, and what must not."""
 
 import re
+from pathlib import Path
 
 import __spark_entry__ as entry
 import pytest
-from lendlake.operators import gold
+from lendlake.operators import gold, silver
+from lendlake.plans import backfill
 from lendlake.plans import queries as Q
+from lendlake.sources import driver_tables
 from lendlake.sources.store import Store
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,3 +67,15 @@ def test_engagement_sends_each_month_once(spark):
     plan = physical(gold.engagement(Q.silver_table(spark, SF_DIR, "clickstream")))
     assert plan.index("Generate explode") < plan.index("Window")
     assert "Expand" not in plan
+
+
+@pytest.mark.parametrize("name", list(silver.BUILDERS))
+def test_silver_needs_no_shuffle(spark, name, tmp_path):
+    store = Store(spark, str(tmp_path))
+    backfill.build_bronze(store, {name: driver_tables.SOURCES[name](spark, SF_DIR)})
+    plan = physical(silver.BUILDERS[name](store.read("bronze", name)))
+    assert "Exchange" not in plan
+    assert "WholeStageCodegen" in plan or "*(1)" in plan
+    store.write(silver.BUILDERS[name](store.read("bronze", name)), "silver", name, aligned=True)
+    files = [len(list(Path(tmp_path).glob(f"{layer}/{name}/*/*.parquet"))) for layer in ("bronze", "silver")]
+    assert files[1] <= files[0]
