@@ -30,7 +30,7 @@ def hash_split(key: Column, shares: dict[str, float] | None = None, seed: int =
 
 def month_ranks(df: DataFrame) -> DataFrame:
     """Rank of each snapshot present in ``df``; one small row per month."""
-    months = df.select(SNAPSHOT).distinct()
+    months = df.where(F.col(SNAPSHOT).isNotNull()).select(SNAPSHOT).distinct()
     in_order = W.orderBy(SNAPSHOT)
     whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return months.select(

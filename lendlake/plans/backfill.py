@@ -21,10 +21,15 @@ from lendlake.sources.store import Store
 Months = list[date] | None
 
 
+def other_columns(sources: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Columns of each source that no rule names; they pass through as text."""
+    return {name: [c for c in df.columns if c not in S.RAW_COLUMNS[name]] for name, df in sources.items()}
+
+
 def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = None) -> None:
     """Raw rows by snapshot; each source is read once for all months."""
     for name, df in sources.items():
-        columns = S.RAW_COLUMNS[name]
+        columns = [*S.RAW_COLUMNS[name], *store.other_columns.get(name, [])]
         as_text = df.select(*[F.col(c).cast("date" if c == S.SNAPSHOT else "string").alias(c) for c in columns])
         store.write(snapshot_slices(as_text, months), "bronze", name, months)
 
@@ -99,7 +104,7 @@ def backfill(
     mob: int = 6,
 ) -> Store:
     """Sources to model table; the first failing step ends the run."""
-    store = Store(spark, root)
+    store = Store(spark, root, other_columns(sources))
     build_bronze(store, sources, months)
     build_silver(store, months)
     build_gold(store, months, dpd, mob)

@@ -47,7 +47,7 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/financials_csv"
     columns = S.RAW_COLUMNS["financials"]
     text.write_source(D.raw_financials(spark, sf_dir).select(*columns), path)
-    return bronze.snapshot_slices(text.read_source(spark, path, "financials"))
+    return bronze.snapshot_slices(text.read_source(spark, path))
 
 
 def month_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,19 +17,23 @@ log = logging.getLogger(__name__)
 class Store:
     """Tables ``<root>/<layer>/<table>`` with fixed schemas (``schemas.TABLES``).
 
-    ``root`` has to be on a file system that every executor reaches.
+    ``root`` has to be on a file system that every executor reaches. ``other_columns``
+    are further text columns of the raw sources, kept by the bronze and silver tables.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, other_columns: dict[str, list[str]] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.other_columns = other_columns or {}
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
     def read(self, layer: str, table: str, months: list[date] | None = None) -> DataFrame:
         """The table, or the partitions of ``months``; a month without data has no rows."""
-        df = self.spark.read.schema(TABLES[layer, table]).parquet(self.path(layer, table))
+        others = self.other_columns.get(table, []) if layer in ("bronze", "silver") else []
+        schema = ", ".join([TABLES[layer, table], *[f"`{name}` string" for name in others]])
+        df = self.spark.read.schema(schema).parquet(self.path(layer, table))
         return df if months is None else snapshot_slices(df, months)
 
     def write(

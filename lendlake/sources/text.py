@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lendlake.schemas import RAW_COLUMNS, raw_ddl
+from lendlake.schemas import SNAPSHOT
 
 
-def read_source(spark: SparkSession, path: str, source: str, schema: str | None = None) -> DataFrame:
-    """One raw source with its fixed schema: no inference pass, no value changed."""
-    return spark.read.schema(schema or raw_ddl(RAW_COLUMNS[source])).csv(path, header=True, enforceSchema=False)
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """One raw source: columns by header name, text as it stands, a typed snapshot date.
+
+    Only the header is read ahead; there is no inference pass that could change a value.
+    """
+    raw = spark.read.csv(path, header=True)
+    return raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
 
 
 def write_source(df: DataFrame, path: str) -> None:

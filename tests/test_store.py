@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from lendlake import schemas as S
 from lendlake.functions.dates import month_list
-from lendlake.operators import bronze, metrics, splits
+from lendlake.operators import bronze, metrics, silver, splits
 from lendlake.plans import backfill, modelling, monitoring
 from lendlake.plans.queries import assigned, model_table
 from lendlake.sources import driver_tables, text
@@ -39,12 +39,26 @@ def test_backfill_equals_composed_operators(spark, store):
 def test_backfill_from_text_files(spark, store, tmp_path):
     for name, df in sources(spark).items():
         text.write_source(df.select(*S.RAW_COLUMNS[name]), f"{tmp_path}/{name}")
-    read = {name: text.read_source(spark, f"{tmp_path}/{name}", name) for name in S.RAW_COLUMNS}
+    read = {name: text.read_source(spark, f"{tmp_path}/{name}") for name in S.RAW_COLUMNS}
     other = backfill.backfill(spark, f"{tmp_path}/store", read)
     for layer, table in [("silver", name) for name in S.RAW_COLUMNS] + GOLD:
         assert rows(other.read(layer, table)) == rows(store.read(layer, table)), table
 
 
+def test_other_columns_pass_through(spark, tmp_path):
+    raw = sources(spark)["attributes"].withColumn("Region", F.lit("north"))
+    shuffled = raw.select("Region", *reversed(S.RAW_COLUMNS["attributes"]))
+    text.write_source(shuffled, f"{tmp_path}/attributes")
+    read = {"attributes": text.read_source(spark, f"{tmp_path}/attributes")}
+    part = Store(spark, f"{tmp_path}/store", backfill.other_columns(read))
+    backfill.build_bronze(part, read)
+    assert part.read("bronze", "attributes").where("Region = 'north'").count() == raw.count()
+    out = silver.silver_attributes(part.read("bronze", "attributes"))
+    part.write(out, "silver", "attributes", aligned=True)
+    assert rows(part.read("silver", "attributes").drop("Region")) == rows(silver.silver_attributes(raw).drop("Region"))
+    assert part.read("silver", "attributes").where("Region = 'north'").count() == raw.count()
+
+
 def test_months_one_by_one_equal_the_full_run(spark, store, tmp_path):
     months = month_list("1998-01-01", "1998-03-01")
     for month in [months[2], months[0], months[1], months[1]]:
