@@ -13,19 +13,27 @@ SHARES = {"train": 0.7, "test": 0.2, "val": 0.1}
 SEED = 42
 
 
-def hash_split(key: Column, shares: dict[str, float] | None = None, seed: int = SEED) -> Column:
-    """Set name from a hash of the key: the same on every run and partitioning."""
+def hash_place(key: str, seed: int = SEED) -> Column:
+    """A number below 2**32 from a hash of the key: the same on every run and partitioning."""
+    return F.expr(f"cast(conv(substring(md5(cast(concat_ws('|', {key}, '{seed}') as binary)), 1, 8), 16, 10) as bigint)")
+
+
+def share_of(place: str, shares: dict[str, float] | None = None) -> Column:
+    """Set name by the place of a row in the shares, which follow each other."""
     shares = shares or SHARES
-    whole = 2**32
-    digest = F.md5(F.concat_ws("|", key, F.lit(str(seed))).cast("binary"))
-    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    names = list(shares)
-    chosen, edge = None, 0.0
+    names, edge, cases = list(shares), 0.0, ""
     for name in names[:-1]:
         edge += shares[name]
-        below = place < round(edge * whole / sum(shares.values()))
-        chosen = F.when(below, name) if chosen is None else chosen.when(below, name)
-    return F.lit(names[-1]) if chosen is None else chosen.otherwise(names[-1])
+        cases += f"when {place} < {round(edge * 2**32 / sum(shares.values()))} then '{name}' "
+    return F.expr(f"case {cases} else '{names[-1]}' end") if cases else F.lit(names[-1])
+
+
+def hash_split(
+    df: DataFrame, key: str = "loan_id", shares: dict[str, float] | None = None, seed: int = SEED
+) -> DataFrame:
+    """``df`` with a random ``split`` by ``key``; the hash is computed once per row."""
+    placed = df.withColumn("_place", hash_place(key, seed))
+    return placed.select(*df.columns, share_of("_place", shares).alias("split"))
 
 
 def month_ranks(df: DataFrame) -> DataFrame:
@@ -60,8 +68,9 @@ def assign_splits(
     ranks = ranks.where(F.col("months_loaded") >= n_train).drop("months_loaded")
     rank = F.col("month_rank")
     split = (
-        F.when(rank <= n_train, hash_split(F.col(key), shares, seed))
+        F.when(rank <= n_train, F.col("split"))
         .when(rank <= n_train + n_oot, F.concat(F.lit("oot"), (rank - n_train).cast("string")))
         .otherwise("monitor")
     )
-    return df.join(F.broadcast(ranks), SNAPSHOT).select(*df.columns, split.alias("split"))
+    placed = hash_split(df, key, shares, seed)
+    return placed.join(F.broadcast(ranks), SNAPSHOT).select(*df.columns, split.alias("split"))

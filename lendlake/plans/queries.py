@@ -91,8 +91,7 @@ def model_table(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None)
 
 
 def split_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = splits.hash_split(F.col("loan_id")).alias("split")
-    return labels(spark, sf_dir).select("loan_id", "snapshot_date", split)
+    return splits.hash_split(labels(spark, sf_dir).select("loan_id", "snapshot_date"))
 
 
 def assigned(spark: SparkSession, sf_dir: str, n_train: int = 12) -> DataFrame:

@@ -119,11 +119,18 @@ def test_splits_are_a_partition_and_do_not_depend_on_layout(spark, store):
 
 
 def test_splits_shares(spark):
-    df = spark.range(20_000).select(splits.hash_split(F.col("id").cast("string")).alias("split"))
+    df = splits.hash_split(spark.range(20_000), "id")
     shares = {r.split: r["count"] / 20_000 for r in df.groupBy("split").count().collect()}
     assert shares == pytest.approx({"train": 0.7, "test": 0.2, "val": 0.1}, abs=0.02)
 
 
+def test_other_shares(spark):
+    df = splits.hash_split(spark.range(20_000), "id", {"a": 1, "b": 1})
+    shares = {r.split: r["count"] / 20_000 for r in df.groupBy("split").count().collect()}
+    assert shares == pytest.approx({"a": 0.5, "b": 0.5}, abs=0.02)
+    assert splits.hash_split(spark.range(5), "id", {"all": 1}).where("split = 'all'").count() == 5
+
+
 def test_splits_wait_for_enough_months(store):
     early = store.read("gold", "model_table").where("snapshot_date < '1995-08-01'")
     months = bronze.available_snapshots(early).count()
