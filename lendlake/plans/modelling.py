@@ -24,8 +24,11 @@ def fit_model(train: DataFrame, features: list[str] | None = None, max_iter: int
     """Median imputation, standard scaling and a binomial logistic regression.
 
     The stages pass over ``train`` several times, so it should be a written table.
+    A feature without any value has no median and is left out.
     """
     features = features or S.MODEL_FEATURES
+    values = train.agg(*[F.count(c).alias(c) for c in features]).first()
+    features = [c for c in features if values[c] > 0]
     filled = [f"{c}_filled" for c in features]
     stages = [
         Imputer(strategy="median", inputCols=features, outputCols=filled),

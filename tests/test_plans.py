@@ -5,11 +5,12 @@ from pathlib import Path
 
 import __spark_entry__ as entry
 import pytest
-from lendlake.operators import gold, silver
+from lendlake.operators import gold, lookup, silver
 from lendlake.plans import backfill
 from lendlake.plans import queries as Q
 from lendlake.sources import driver_tables
 from lendlake.sources.store import Store
+from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -79,3 +80,45 @@ def test_silver_needs_no_shuffle(spark, name, tmp_path):
     store.write(silver.BUILDERS[name](store.read("bronze", name)), "silver", name, aligned=True)
     files = [len(list(Path(tmp_path).glob(f"{layer}/{name}/*/*.parquet"))) for layer in ("bronze", "silver")]
     assert files[1] <= files[0]
+
+
+SKEW = "spark.sql.adaptive.skewJoin"
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        f"{SKEW}.skewedPartitionThresholdInBytes": "8k",
+        f"{SKEW}.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_an_order_with_a_third_of_all_lines_is_split(spark, small_skew_limits, tmp_path):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    hot = lines.withColumn("l_orderkey", F.expr("if(l_partkey % 3 = 0, 3, l_orderkey)"))
+    hot.repartition(6).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{SF_DIR}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    labels = Q.labels(spark, str(tmp_path))
+    count = len(labels.collect())
+    assert "SortMergeJoin(skew=true)" in physical(labels).split("Initial Plan")[0]
+    assert count == hot.where("l_linenumber = 6").count()
+
+
+def test_hot_labels_spread_over_the_shuffle(spark, shuffled_joins, tmp_path):
+    """Half of the labels at one key reach the joins in many partitions, none of them large."""
+    labels = Q.label_store(spark, SF_DIR)
+    hot = labels.withColumns({"Customer_ID": F.expr("if(label = 1, 'CUS_1', Customer_ID)"), "snapshot_date": F.lit("1998-06-01").cast("date")})
+    keys = ["Customer_ID", "snapshot_date"]
+    placed = lookup._with_slices(hot, lookup.hot_keys(hot, keys, 4), keys)
+    place = F.pmod(F.xxhash64("loan_id"), F.col("_slices")).cast("int").alias("_slice")
+    spread = placed.select(*hot.columns, place).repartition(8, *keys, "_slice").groupBy(F.spark_partition_id()).count()
+    sizes = [r["count"] for r in spread.collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)

@@ -210,5 +210,13 @@ def test_logistic_regression_equals_newton_steps(spark):
     assert fitted == pytest.approx(list(w), abs=1e-3)
 
 
+def test_a_feature_without_values_is_left_out(spark):
+    df = spark.range(100).selectExpr("'L' as loan_id", "date'2023-01-01' as snapshot_date", "cast(id % 2 as int) as label",
+                                     "cast(id as double) as a", "cast(null as int) as b")
+    model = modelling.fit_model(df, ["a", "b"])
+    assert model.stages[0].getInputCols() == ["a"]
+    assert modelling.score(model, df).count() == 100
+
+
 def test_scratch_tables_use_the_named_folder(spark):
     assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
