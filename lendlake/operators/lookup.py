@@ -10,6 +10,7 @@ table of hot keys that is broadcast: a trillion left rows give at most a million
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 1_000_000
@@ -19,13 +20,13 @@ SLICE = "_slice"
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a repeated key are reduced to one of them, the same one on every run.
 
-    The row with the greatest hash stays: a number per row lets every column be kept by a
-    hash aggregate, so copies of a hot key fold before the shuffle. That shuffle is the
-    one a following join on ``keys`` needs anyway.
+    The row with the smallest hash stays. Copies of a hot key go before the shuffle, as
+    Spark limits the rows of each window on both of its sides, and a following join on
+    ``keys`` reuses the shuffle and the sort.
     """
-    rest = [c for c in df.columns if c not in keys]
-    hashed = df.withColumn("_hash", F.xxhash64(*rest))
-    return hashed.groupBy(*keys).agg(*[F.expr(f"max_by({c}, _hash) as {c}") for c in rest])
+    by_hash = W.partitionBy(*keys).orderBy("_hash")
+    hashed = df.withColumn("_hash", F.xxhash64(*[c for c in df.columns if c not in keys]))
+    return hashed.withColumn("_place", F.row_number().over(by_hash)).where("_place = 1").select(*df.columns)
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

@@ -62,6 +62,8 @@ def test_one_shuffle_per_table_of_the_model_table(spark, shuffled_joins, tmp_pat
     by_slice = re.findall(r"Exchange hashpartitioning\(Customer_ID#\d+, snapshot_date#\d+, _slice#\d+", plan)
     assert len(by_slice) == 3
     assert len(re.findall("SortMergeJoin", plan)) == 2
+    assert len(re.findall("WindowGroupLimit .* Partial", plan)) == 1
+    assert len(re.findall(r"Sort \[", plan)) == 4
 
 
 def test_engagement_sends_each_month_once(spark):
