@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import mixing, packing, sharding, token_counts
+from lendlake.llm import mixing, packing, sharding, substring_dedup, token_counts
 
 SHARDS = 40
 
@@ -20,6 +20,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(documents(spark, sf_dir).select("doc_id", "text"), size=13)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -41,6 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
