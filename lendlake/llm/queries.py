@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import mixing, packing, sharding, substring_dedup, token_counts
+from lendlake.llm import language_id, lm_scoring, mixing, packing, sharding, substring_dedup, token_counts
 
 SHARDS = 40
 
@@ -29,6 +29,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = language_id.split_remainder(3) == 1
+    model = language_id.learn(docs.where(~held_out))
+    predicted = language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir).select("doc_id", "text"), SHARDS)
     law = [F.lit("rows").alias("law"), F.col("shard"), F.col("slot"), F.lit(None).cast("int").alias("grown_shard")]
@@ -40,6 +48,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = language_id.split_remainder(7) == 2
+    model, counts = lm_scoring.learn(docs.where(~held_out))
+    scored = lm_scoring.score(docs, model, counts)
+    return scored.withColumn("held_out", held_out)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
@@ -47,8 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_language_id": op4_language_id,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
 }
 ORACLE: dict[str, str] = {}
