@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import language_id, lm_scoring, mixing, packing, sharding, substring_dedup, token_counts
+from lendlake.llm import language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
 
 SHARDS = 40
 
@@ -37,6 +37,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir).select("doc_id", "text"), SHARDS)
     law = [F.lit("rows").alias("law"), F.col("shard"), F.col("slot"), F.lit(None).cast("int").alias("grown_shard")]
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
+    "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
     "op9_lm_scoring": op9_lm_scoring,
