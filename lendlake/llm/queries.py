@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
+from lendlake.llm import jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
 
 SHARDS = 40
 
@@ -24,6 +24,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(documents(spark, sf_dir).select("doc_id", "text"), size=13)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(documents(spark, sf_dir).select("doc_id", "text"), words=3, percent=90)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -66,6 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
