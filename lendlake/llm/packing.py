@@ -28,13 +28,23 @@ from lendlake.llm.words import Words, slices
 
 WINDOW = 4096
 GROUP_PIECES = 4096
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_500_000
 MARK = "~"
 MARKED_WORDS = 500
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 
 
+def split_punctuation(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word bounds with a full stop or comma after an ASCII letter as a word of its own, which it is to the vocabulary."""
+    last, before = words.data[words.ends - 1], words.data[np.maximum(words.ends - 2, 0)] | 0x20
+    cut = ((last == ord(".")) | (last == ord(","))) & (words.ends - words.starts > 1) & (before >= ord("a")) & (before <= ord("z"))
+    at, marks = np.flatnonzero(cut) + 1, words.ends[cut] - 1
+    starts = np.insert(words.starts, at, marks)
+    ends = np.insert(words.ends - cut, at, marks + 1)
+    return starts, ends, words.first + np.concatenate([[0], np.cumsum(cut)])[words.first]
+
+
 class WordIds:
     """Ids by white-space separated word, from the library, kept for the words met before.
 
@@ -70,17 +80,33 @@ class WordIds:
                 self.known[w] = self.ids(w.decode()).tobytes()
 
     def texts(self, column: pa.Array) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+        """Little-endian unsigned 32-bit ids of each text.
+
+        The distinct words of the column, told apart by a 64-bit hash, are looked up; their ids are then laid out by array
+        operations.
+        """
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
         words = Words(column)
+        words.starts, words.ends, words.first = split_punctuation(words)
         raw = words.data.tobytes()
-        spans = [raw[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True)]
+        lower = b"<|" not in raw  # special strings are matched by case, everything else in lower case
+        if lower:
+            raw = raw.lower()
+        _, at, which = np.unique(words.hashes(lower), return_index=True, return_inverse=True)
+        spans = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
         known = self.known
-        self.learn(list({w for w in spans if w not in known}))
-        first = words.first.tolist()
-        for a, b in zip(first, first[1:], strict=False):
-            yield b"".join([known[w] for w in spans[a:b]])
+        self.learn([w for w in spans if w not in known])
+        encoded = [known[w] for w in spans]
+        lengths = np.array([len(e) >> 2 for e in encoded], np.int64)
+        vocabulary = np.frombuffer(b"".join(encoded), "<u4")
+        begins = np.cumsum(lengths) - lengths
+        counts = lengths[which]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        flat = vocabulary[np.repeat(begins[which] - total[:-1], counts) + np.arange(total[-1])]
+        bounds = total[words.first].tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield flat[a:b].tobytes()
 
 
 @cache
