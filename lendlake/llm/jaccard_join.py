@@ -5,10 +5,11 @@ them. Documents link when 100 * intersection >= ``percent`` * union.
 
 1. Documents of equal sets form one class, so copies are compared once. A frequency table of all shingles is added up.
 2. A class's elements are put in one global order, rare ones first. Linked sets of n elements share all but ``slack`` = n - ceil(percent * n / 100)
-   of them, so their prefixes of slack + l elements share l or more. Each class picks its own l: a longer prefix means more index
-   entries, but a pair must then share more of them; l is where the entries plus the estimated candidates (the
-   frequencies of the prefix over l) are fewest. Two classes are compared if they share min(l, l') prefix elements that are not
-   too far back in either set for the overlap still to be reached. This loses no link.
+   of them, so their prefixes of slack + l elements share l or more. Each class picks its own l: a longer prefix costs more, but
+   a pair must then share more of it; l is where the length plus the estimated candidates (the frequencies of the prefix over
+   l) is least. Classes meet at an element of both base prefixes (slack + 1) that is early enough in both to be their first common one. A pair
+   is verified if its prefixes share min(l, l') elements and what is left behind the shorter prefix can still reach the overlap. This
+   loses no link.
 3. Candidates meet in two rounds, so that a large group of near copies does not become all its pairs: first every class and the foremost
    class of each shared element; these are verified and joined to components. Then only pairs across components are compared.
 4. Verification intersects the full sets.
@@ -33,7 +34,7 @@ from lendlake.sources.scratch import written
 
 WORDS = 5
 PERCENT = 80
-MOST_MATCHES = 4
+MOST_MATCHES = 8
 TABLE_BITS = 20
 SLICE_BITS = 14
 BATCH_SHINGLES = 4_000_000
@@ -81,10 +82,6 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tupl
     return out[0], out[1]
 
 
-def ids(batch: pa.RecordBatch) -> pa.Array:
-    return batch.column("doc_id")
-
-
 PROFILE = "doc_id bigint, n bigint, s1 bigint, s2 bigint, slice int, data binary"
 
 
@@ -103,7 +100,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
             rows, hashes, counts = shingles(batch.column("text"), size)
             s1, s2 = signatures(rows, hashes, counts)
             none = [pa.nulls(len(counts), pa.int32()), pa.nulls(len(counts), pa.binary())]
-            yield pa.RecordBatch.from_arrays([ids(batch), pa.array(counts), pa.array(s1), pa.array(s2), *none], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), *none], names)
             held.append((hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
             if sum(map(len, held)) >= BATCH_SHINGLES:
                 yield table(held)
@@ -167,7 +164,7 @@ def prefixes(docs: DataFrame, table, size: int, percent: int) -> DataFrame:
             kept = np.arange(len(keys)) - np.repeat(starts, counts) < np.repeat(length, counts)
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[kept].view(np.int64)))
-            arrays = [ids(batch), pa.array(counts), pa.array(s1), pa.array(s2), pa.array(matches.astype(np.int32)), lists]
+            arrays = [batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), pa.array(matches.astype(np.int32)), lists]
             out = pa.RecordBatch.from_arrays(arrays, ["doc_id", *SIGNATURE, "l", "elements"])
             yield out.filter(pa.array(counts > 0))
 
@@ -180,27 +177,53 @@ def least_overlap(n: Column, m: Column, percent: int) -> Column:
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
-    """Whether this shared element is early enough in both sets for the overlap, as one of the first min(l, l')."""
+    """Whether an element at these places can be the first common one of linked sets of these sizes."""
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
     sizes = (100 * x("n") >= percent * y("n")) & (100 * y("n") >= percent * x("n"))
-    rest = F.least(x("n") - x("place"), y("n") - y("place")) + F.least(x("l"), y("l"))
+    rest = F.least(x("n") - x("place"), y("n") - y("place")) + 1
     return sizes & (rest >= least_overlap(x("n"), y("n"), percent))
 
 
-def enough(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share as many prefix elements as the smaller l asks for."""
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("l").alias("l"))
-    return counted.where("shared >= l").select("a", "b")
+def both_sides(pairs: DataFrame, sides: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """``pairs`` with the ``values`` of both classes (x_ and y_), found by the keys (a_ and b_ in ``pairs``)."""
+    out = pairs
+    for side, name in (("a", "x"), ("b", "y")):
+        own = sides.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], *[F.col(v).alias(f"{name}_{v}") for v in values])
+        match = F.lit(True)
+        for k in keys:
+            match &= F.col(f"{side}_{k}") == F.col(f"{name}_{k}")
+        out = out.join(own, match).drop(*[f"{name}_{k}" for k in keys])
+    return out
+
+
+def promising(pairs: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes share as many elements as the smaller l asks for, and leave enough behind them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("x_elements"), batch.column("y_elements")
+            n, m, l, k = [batch.column(c).to_numpy() for c in ("x_n", "y_n", "x_l", "y_l")]
+            keep = []
+            for i in range(batch.num_rows):
+                p, q = x[i].values.to_numpy().view(np.uint64), y[i].values.to_numpy().view(np.uint64)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                end = min(p[-1], q[-1])
+                behind = min(n[i] - np.searchsorted(p, end, "right"), m[i] - np.searchsorted(q, end, "right"))
+                # Up to ``end`` all common elements are in both prefixes; behind it there are no more than these.
+                need = -(-percent * (n[i] + m[i]) // (100 + percent))
+                keep.append(common >= min(l[i], k[i]) and common + behind >= need)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    keyed = pairs.select("a", "b", F.col("a").alias("a_class"), F.col("b").alias("b_class"))
+    return both_sides(keyed, prefix, ["class"], ["n", "l", "elements"]).mapInArrow(run, "a bigint, b bigint")
 
 
-def full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """The sorted set of each class in ``pairs``.
+def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """key and sorted set of each document whose signature may be wanted.
 
-    A bit map over hashed signatures, of a fixed size, spares most other documents the shuffle; the join is exact.
+    A bit map over the wanted signatures, of a fixed size, spares most other documents the shuffle that follows; the joins
+    are exact.
     """
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = written(wanted.join(classes.select("class", "doc_id", *SIGNATURE), "class"), "wanted")
     width = 1 << 16
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +237,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int)
     total = np.zeros(((1 << FILTER_BITS) // width, width // 8), np.uint8)
     for row in wanted.select("s1").coalesce(16).mapInArrow(mark, "slice int, data binary").toLocalIterator():
         total[row["slice"]] |= np.frombuffer(bytes(row["data"]), np.uint8)
-    shared = spark.sparkContext.broadcast(total.ravel())
+    shared = docs.sparkSession.sparkContext.broadcast(total.ravel())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
@@ -225,25 +248,31 @@ def full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int)
             keep = (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))
-            out = pa.RecordBatch.from_arrays([ids(batch), pa.array(counts), pa.array(s1), pa.array(s2), lists], ["doc_id", *SIGNATURE, "elements"])
+            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), lists], names)
             yield out.filter(pa.array(keep & (counts > 0)))
 
-    sets = docs.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, elements array<bigint>")
-    same = [sets[c].eqNullSafe(wanted[c]) for c in ("doc_id", *SIGNATURE)]
-    joined = sets.join(wanted, same[0] & same[1] & same[2] & same[3]).select("class", "elements")
-    return written(joined.dropDuplicates(["class"]), "sets")
+    names = ["doc_id", *SIGNATURE, "elements"]
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, elements array<bigint>")
+
+
+def known_id(name: str = "doc_id") -> Column:
+    return F.coalesce(F.col(name), F.lit(-(2**63)))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets link."""
+    keys = ["id", *SIGNATURE]
+    named = classes.select("class", known_id().alias("id"), *SIGNATURE)
+    for side in ("a", "b"):
+        own = named.select(F.col("class").alias(side), *[F.col(k).alias(f"{side}_{k}") for k in keys])
+        pairs = pairs.join(own, side)
     pairs = written(pairs, "pairs")
-    sets = full_sets(docs, classes, pairs, size)
-    left = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
+    wanted = pairs.select(F.col("a_s1").alias("s1")).union(pairs.select(F.col("b_s1").alias("s1")))
+    sets = full_sets(docs, wanted, size).withColumn("id", known_id()).select(*keys, "elements").dropDuplicates(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
+            x, y = batch.column("x_elements"), batch.column("y_elements")
             linked = []
             for i in range(batch.num_rows):
                 p, q = x[i].values.to_numpy().view(np.uint64), y[i].values.to_numpy().view(np.uint64)
@@ -251,38 +280,34 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
                 linked.append(100 * common >= percent * (len(p) + len(q) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return written(both.mapInArrow(run, "a bigint, b bigint"), "links")
+    return written(both_sides(pairs, sets, keys, ["elements"]).mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def links(docs: DataFrame, classes: DataFrame, table, size: int, percent: int) -> DataFrame:
     """node and root of every class that links with another one."""
-    packed = prefixes(docs, table, size, percent)
-    same = [packed[c] == classes[c] for c in SIGNATURE]
-    own = packed.join(classes, same[0] & same[1] & same[2] & packed["doc_id"].eqNullSafe(classes["doc_id"]))
-    own = written(own.select("class", classes["n"], "l", "elements"), "prefixes")
-    entries = own.select("class", "n", "l", F.posexplode("elements").alias("place", "element")).withColumn("place", F.col("place") + 1)
-    first = F.struct("place", "class", "n", "l")
-    shared = entries.groupBy("element").agg(F.min(first).alias("hub"), F.min("class").alias("low"), F.max("class").alias("high"))
-    entries = written(entries.join(shared.where("low < high").select("element", "hub"), "element").distinct(), "entries")
-
-    hubs = entries.select("element", "class", "place", "n", "l", F.col("hub.class").alias("hub_class"), "hub")
-    hubs = hubs.withColumn("x", F.struct("n", "place", "l")).withColumn("y", F.struct("hub.n", "hub.place", "hub.l"))
-    tied = hubs.where((F.col("class") != F.col("hub_class")) & may_link("x", "y", percent))
-    pairs = tied.select(
-        F.least("class", "hub_class").alias("a"), F.greatest("class", "hub_class").alias("b"), F.least("x.l", "y.l").alias("l")
-    )
-    found = verified(enough(pairs), docs, classes, size, percent)
+    packed = prefixes(docs, table, size, percent).withColumn("id", known_id())
+    own = packed.join(classes.select("class", known_id().alias("id"), *SIGNATURE), [*SIGNATURE, "id"]).dropDuplicates([*SIGNATURE, "id"])
+    own = written(own.select("class", "n", "l", "elements"), "prefixes")
+    base = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    entries = own.select("class", "n", F.posexplode(F.slice("elements", F.lit(1), base.cast("int"))).alias("place", "element"))
+    entries = entries.withColumn("place", F.col("place") + 1)
+    shared = entries.groupBy("element").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("element")
+    entries = written(entries.join(shared, "element"), "entries")
+    prefix = written(own.join(entries.select("class").distinct(), "class", "left_semi"), "prefixes")
+
+    hub = entries.groupBy("element").agg(F.min(F.struct("place", "class", "n")).alias("hub"))
+    met = entries.join(hub, "element").select("class", F.struct("n", "place").alias("x"), "hub")
+    met = met.where((F.col("class") != F.col("hub.class")) & may_link("x", "hub", percent))
+    pairs = met.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
+    found = verified(promising(pairs, prefix, percent), docs, classes, size, percent)
     stars = connected(found)
 
     # Second round: pairs across components, by element and component first.
-    placed = entries.drop("hub").join(stars.withColumnRenamed("node", "class"), "class", "left")
+    placed = entries.join(stars.withColumnRenamed("node", "class"), "class", "left")
     placed = written(placed.withColumn("component", F.coalesce("root", "class")).drop("root"), "placed")
-    grouped = placed.groupBy("element", "component").agg(
-        F.min("place").alias("place"), F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("l").alias("l")
-    )
+    grouped = placed.groupBy("element", "component").agg(F.min("place").alias("place"), F.min("n").alias("low_n"), F.max("n").alias("high_n"))
     x, y = grouped.alias("x"), grouped.alias("y")
-    rest = F.least(F.col("x.high_n") - F.col("x.place"), F.col("y.high_n") - F.col("y.place")) + F.least("x.l", "y.l")
+    rest = F.least(F.col("x.high_n") - F.col("x.place"), F.col("y.high_n") - F.col("y.place")) + 1
     sizes = (100 * F.col("x.high_n") >= percent * F.col("y.low_n")) & (100 * F.col("y.high_n") >= percent * F.col("x.low_n"))
     across = x.join(
         y,
@@ -302,10 +327,8 @@ def links(docs: DataFrame, classes: DataFrame, table, size: int, percent: int) -
             & may_link("p", "q", percent),
         )
     )
-    pairs = met.select(
-        F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b"), F.least("p.l", "q.l").alias("l")
-    )
-    more = verified(enough(pairs), docs, classes, size, percent)
+    pairs = met.select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct()
+    more = verified(promising(pairs, prefix, percent), docs, classes, size, percent)
     return connected(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
