@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.llm.components import connected
+from lendlake.llm.sketch import bit_map
 from lendlake.llm.words import Words, mix, slices
 from lendlake.sources.scratch import written
 
@@ -38,7 +39,6 @@ MOST_MATCHES = 8
 TABLE_BITS = 20
 SLICE_BITS = 14
 BATCH_SHINGLES = 4_000_000
-FILTER_BITS = 24
 SIGNATURE = ["n", "s1", "s2"]
 
 
@@ -224,32 +224,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     A bit map over the wanted signatures, of a fixed size, spares most other documents the shuffle that follows; the joins
     are exact.
     """
-    width = 1 << 16
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
-            bits[(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        packed = np.packbits(bits).reshape(-1, width // 8)
-        for i in np.flatnonzero(packed.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([int(i)], pa.int32()), pa.array([packed[i].tobytes()], pa.binary())], ["slice", "data"])
-
-    total = np.zeros(((1 << FILTER_BITS) // width, width // 8), np.uint8)
-    for row in wanted.select("s1").coalesce(16).mapInArrow(mark, "slice int, data binary").toLocalIterator():
-        total[row["slice"]] |= np.frombuffer(bytes(row["data"]), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(total.ravel())
+    shared = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.select("s1")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
         for batch in slices(batches):
             rows, hashes, counts = shingles(batch.column("text"), size)
             s1, s2 = signatures(rows, hashes, counts)
-            at = (s1.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            keep = (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))
             out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), lists], names)
-            yield out.filter(pa.array(keep & (counts > 0)))
+            yield out.filter(pa.array(marks.has(s1) & (counts > 0)))
 
     names = ["doc_id", *SIGNATURE, "elements"]
     return docs.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, elements array<bigint>")

@@ -12,8 +12,8 @@ with p(class) and p(word | class) from unigram counts with one added to each, so
 Unigram counts are exact and cover the whole training part: words are counted per batch and summed by their 64-bit hash. Counts of the
 COMMON most frequent words are broadcast; the other words of each document are joined to the counts.
 
-A null or empty text is its end token. Rows are scored one by one, so repeated rows and ids get equal scores. Ties in
-frequency go to the smaller hash. Without training rows all counts are zero. Extra columns are dropped; an empty table gives an
+A null or empty text is its end token. Rows are scored one by one, so repeated rows and ids get equal scores. The common words
+are those above a count, so words of equal frequency are common together; the frequent ones among them go by count, then hash. Without training rows all counts are zero. Extra columns are dropped; an empty table gives an
 empty table.
 """
 
@@ -214,11 +214,24 @@ def count_filter(counts: DataFrame) -> CountFilter:
     return result
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Words above the least count, on a logarithmic scale, that at most ``most`` words exceed; all of them if there are no more."""
+    level = F.floor(16 * F.log2("n"))
+    sizes = counts.groupBy(level.alias("level")).count().collect()  # at most a thousand levels
+    kept, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        kept += row["count"]
+        if kept > most:
+            break
+        least = row["level"]
+    return counts.where(level >= least) if least is not None else counts.limit(0)
+
+
 def learn(docs: DataFrame, frequent: int = FREQUENT, common: int = COMMON) -> tuple[Model, DataFrame]:
     """The model of ``docs`` (text) and the table of exact word counts."""
     counts = written(word_counts(docs), "word_counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "hash").limit(common).toPandas()  # a bounded table
+    top = most_frequent(counts, common).toPandas().sort_values(["n", "hash"], ascending=[False, True])
     hashes, n = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     order, few = np.argsort(hashes), np.argsort(hashes[:frequent])
     model = Model(total, distinct, hashes[order], n[order], hashes[:frequent][few], n[:frequent][few])

@@ -17,11 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lendlake.llm.words import mix
+
 SLICE_BITS = 18
 MOST_BITS = 29
 HOT_BITS = 24
 HOT = 256
-BATCH_HASHES = 4_000_000
+BATCH_HASHES = 2_000_000
+BUILDERS = 16
 PAYLOAD = "slice int, gaps binary, counts binary"
 
 
@@ -97,6 +100,40 @@ def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
+class BitMap:
+    """Which values of a column may occur in a table: bits by the top of a 64-bit hash, of a fixed size."""
+
+    def __init__(self, bits: int = HOT_BITS):
+        self.bits = bits
+        self.data = np.zeros((1 << bits) // 8, np.uint8)
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        at = self.places(values)
+        return (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def bit_map(column: DataFrame) -> BitMap:
+    """The map of the one bigint column of ``column``, without nulls; slices of it are joined on the driver."""
+    width = 1 << 16
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bits = BitMap(), np.zeros(1 << HOT_BITS, bool)
+        for batch in batches:
+            bits[own.places(batch.column(0).to_numpy())] = True
+        packed = np.packbits(bits, bitorder="little").reshape(-1, width // 8)
+        for i in np.flatnonzero(packed.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([int(i)], pa.int32()), pa.array([packed[i].tobytes()], pa.binary())], ["slice", "data"])
+
+    out = BitMap()
+    total = out.data.reshape(-1, width // 8)
+    for row in column.coalesce(BUILDERS).mapInArrow(mark, "slice int, data binary").toLocalIterator():
+        total[row["slice"]] |= np.frombuffer(bytes(row["data"]), np.uint8)
+    return out
+
+
 class Sketch:
     """Merged maps: which hashes may occur twice, and which may be hot."""
 

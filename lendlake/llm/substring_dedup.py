@@ -6,7 +6,7 @@ covers it whose word sequence also starts in a document with a smaller id. Windo
 First pass: a count-min sketch of the distinct windows of every document, merged over all partitions, overestimates
 in how many documents a window stands. Second pass: the windows estimated repeated, and only these, are grouped exactly (96
 hash bits) to find the first document of each. Windows below the sketch's hot count have few rows and are grouped in
-one step; the others are reduced to their first document before the shuffle and joined back, so no
+one step; of the others, a task gathers the places of each and only these lists are shuffled, so no
 task gathers a window that stands everywhere. Texts without a removal are not changed.
 
 Null and empty texts have no words and keep none (the checksum of no bytes). A text below ``size`` words has no window. Rows of the same
@@ -17,11 +17,12 @@ never removes anything. Extra columns pass through ``deduplicate`` and are dropp
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlake.llm import sketch
@@ -30,16 +31,16 @@ from lendlake.sources.scratch import written
 
 SIZE = 50
 PER_WORD = 6
+GATHER_ROWS = 500_000
+Finder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 FOUND = "h1 bigint, h2 int, doc_id bigint, place bigint"
 
 
-def text_key() -> Column:
-    """31 bits of the text's hash, which tell rows of the same id apart."""
-    return F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF))
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("key"))
+def with_key(docs: DataFrame) -> DataFrame:
+    """Adds ``__key``, 31 bits of the text's hash that tell rows of the same id apart; 0 where all ids are different."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    key = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)) if repeated else F.lit(0).cast("long")
+    return docs.withColumn("__key", key)
 
 
 def distinct_in_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -63,8 +64,8 @@ def sketched(docs: DataFrame, size: int) -> sketch.Sketch:
     return sketch.build(docs.select("text"), hashes_of, words // PER_WORD)
 
 
-def estimated_repeats(docs: DataFrame, filters, size: int, hot: bool) -> DataFrame:
-    """Start and hash of each window that the sketch takes for repeated: either the hot ones or the others."""
+def repeats_finder(filters, size: int, hot: bool) -> Finder:
+    """Gives start and hash of each window that the sketch takes for repeated: either the hot ones or the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         estimate = filters.value
@@ -78,29 +79,75 @@ def estimated_repeats(docs: DataFrame, filters, size: int, hot: bool) -> DataFra
             second = np.zeros(len(at), np.uint64)
             for j in range(size):
                 second = second * np.uint64(0x9E3779B97F4A7C15) + words[at + j]
-            place = batch.column("key").to_numpy()[rows] << 32 | (at - bounds.first[rows])
+            place = batch.column("__key").to_numpy()[rows] << 32 | (at - bounds.first[rows])
             ids = batch.column("doc_id").take(pa.array(rows))
             arrays = [pa.array(hashes.view(np.int64)), pa.array((second >> np.uint64(32)).astype(np.uint32).view(np.int32)), ids, pa.array(place)]
             for start in range(0, len(at), 100_000):
                 yield pa.RecordBatch.from_arrays([a.slice(start, 100_000) for a in arrays], ["h1", "h2", "doc_id", "place"])
 
-    return docs.mapInArrow(run, FOUND)
+    return run
+
+
+def hot_starts(docs: DataFrame, find: Finder) -> DataFrame:
+    """Later starts of hot windows, by document.
+
+    A task first gathers its rows by window, so that a window that stands everywhere is one row per task with the list of its
+    places; these lists, not the rows, meet the window's first document, and a task then deals them out by document.
+    """
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in find(batches):
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= GATHER_ROWS:
+                yield gathered(held)
+                held = []
+        if held:
+            yield gathered(held)
+
+    def gathered(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        h1, h2, doc, place = [table.column(i).to_numpy() for i in range(4)]
+        order = np.lexsort((doc, h2, h1))
+        h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
+        new = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+        offsets = pa.array(np.r_[new, len(h1)].astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (doc, place)]
+        return pa.RecordBatch.from_arrays([pa.array(h1[new]), pa.array(h2[new]), pa.array(doc[new]), *lists], names)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, places = batch.column("docs"), batch.column("places")
+            doc, place = docs.flatten().to_numpy(), places.flatten().to_numpy()
+            first = np.repeat(batch.column("first_id").to_numpy(), docs.value_lengths().to_numpy())
+            later = first < doc
+            doc, place = doc[later], place[later]
+            order = np.lexsort((place, doc))
+            doc, key, start = doc[order], place[order] >> 32, (place[order] & 0xFFFFFFFF).astype(np.int32)
+            new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[new, len(doc)].astype(np.int32)), pa.array(start))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(key[new]), lists], ["doc_id", "key", "starts"])
+
+    names = ["h1", "h2", "least", "docs", "places"]
+    lists = written(docs.mapInArrow(gather, "h1 bigint, h2 int, least bigint, docs array<bigint>, places array<bigint>"), "hot_windows")
+    first = lists.groupBy("h1", "h2").agg(F.min("least").alias("first_id"))
+    met = lists.join(first, ["h1", "h2"]).select("first_id", "docs", "places")
+    return met.mapInArrow(deal, "doc_id bigint, key bigint, starts array<int>")
 
 
 def later_starts(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, key and the starts of all windows that also start in a document with a smaller id."""
-    identified = docs.where("doc_id is not null")
+    identified = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__key")
     estimate = sketched(identified, size)
     filters = docs.sparkSession.sparkContext.broadcast(estimate)
-    few = estimated_repeats(identified, filters, size, hot=False)
-    few = few.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("h1", "h2")))
-    later = few.where("doc_id > first_id").select("doc_id", "place")
+    few = identified.mapInArrow(repeats_finder(filters, size, hot=False), FOUND)
+    few = few.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where("doc_id > first_id")
+    key, start = F.shiftright("place", 32).alias("key"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    later = few.groupBy("doc_id", key).agg(F.collect_list(start).alias("starts"))
     if estimate.hot.any():
-        many = written(estimated_repeats(identified, filters, size, hot=True), "hot_windows")
-        first = many.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"))
-        later = later.union(many.join(first, ["h1", "h2"]).where("doc_id > first_id").select("doc_id", "place"))
-    key, start = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return later.groupBy("doc_id", key.alias("key")).agg(F.collect_list(start).alias("starts"))
+        parts = later.union(hot_starts(identified, repeats_finder(filters, size, hot=True)))
+        later = parts.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return later
 
 
 def removed_words(starts: list[int] | np.ndarray, n_words: int, size: int) -> np.ndarray:
@@ -111,14 +158,38 @@ def removed_words(starts: list[int] | np.ndarray, n_words: int, size: int) -> np
     return np.cumsum(change[:-1]) > 0
 
 
-def marked(docs: DataFrame, size: int) -> DataFrame:
-    """``docs`` (with key) and the window starts to remove, if any."""
-    starts = written(later_starts(keyed(docs), size), "starts")
-    return docs.withColumn("__key", text_key()).alias("d").join(
-        starts.select(F.col("doc_id").alias("__id"), F.col("key").alias("__k"), "starts").alias("s"),
-        (F.col("d.doc_id") == F.col("__id")) & (F.col("__key") == F.col("__k")),
-        "left",
-    )
+def with_removals(docs: DataFrame, size: int, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``run`` over the rows of ``docs`` with the window starts to remove in ``__starts``.
+
+    A bit map of a fixed size tells which ids may have removals. Only their rows are shuffled to meet them, by an exact join; the others go
+    through ``run`` where they are read, with a null.
+    """
+    keyed = with_key(docs)
+    starts = written(later_starts(keyed, size), "starts")
+    ids = docs.sparkSession.sparkContext.broadcast(sketch.bit_map(starts.select("doc_id")))
+    names = keyed.columns
+
+    def possible(batch: pa.RecordBatch) -> np.ndarray:
+        column = batch.column(names.index("doc_id"))
+        return column.is_valid().to_numpy(zero_copy_only=False) & ids.value.has(pc.fill_null(column, 0).cast(pa.int64()).to_numpy())
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rest() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kept = batch.filter(pa.array(~possible(batch)))
+                none = pa.nulls(kept.num_rows, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*kept.columns, none], [*names, "__starts"])
+
+        return run(rest())
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(possible(batch)))
+
+    found = keyed.mapInArrow(touched, keyed.schema).alias("d")
+    cut = starts.select(F.col("doc_id").alias("__id"), F.col("key").alias("__k"), F.col("starts").alias("__starts"))
+    met = found.join(cut, (F.col("d.doc_id") == F.col("__id")) & (F.col("d.__key") == F.col("__k")), "left").select("d.*", "__starts")
+    return keyed.mapInArrow(untouched, schema).union(met.mapInArrow(run, schema))
 
 
 def row_starts(batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
@@ -135,7 +206,7 @@ def digest(docs: DataFrame, size: int = SIZE) -> DataFrame:
             raw = bounds.data.tobytes()
             removed, digests = [], []
             for row, (a, b) in enumerate(zip(bounds.first, bounds.first[1:], strict=False)):
-                starts = row_starts(batch, "starts", row)
+                starts = row_starts(batch, "__starts", row)
                 kept = np.arange(a, b)
                 if len(starts):
                     kept = kept[~removed_words(starts, b - a, size)]
@@ -145,8 +216,8 @@ def digest(docs: DataFrame, size: int = SIZE) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(bounds.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), size).select("doc_id", "text", "starts")
-    return rows.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_removals(rows, size, run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def deduplicate(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -161,7 +232,7 @@ def deduplicate(docs: DataFrame, size: int = SIZE) -> DataFrame:
             bounds = Words(batch.column("text"))
             raw, texts, keep = bounds.data.tobytes(), batch.column("text").to_pylist(), []
             for row, (a, b) in enumerate(zip(bounds.first, bounds.first[1:], strict=False)):
-                starts = row_starts(batch, "starts", row)
+                starts = row_starts(batch, "__starts", row)
                 keep.append(True)
                 if not len(starts):
                     continue
@@ -175,7 +246,7 @@ def deduplicate(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
     names = docs.columns
-    cleaned = marked(docs, size).select(*names, "starts").mapInArrow(run, docs.schema)
+    cleaned = with_removals(docs, size, run, docs.schema)
     if "n_chars" in names:
         changed = F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", changed)

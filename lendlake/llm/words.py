@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BLOCK = 1 << 17
 
 _word_byte = np.ones(256, bool)
@@ -40,6 +40,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(sizes, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
