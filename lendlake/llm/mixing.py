@@ -87,13 +87,13 @@ def mix(rows: DataFrame, keys: list[str], blocks: int = BLOCKS, seed: str = SEED
     counted = written(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")), "sized")
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     targets = written(source_targets(sizes), "targets")
-    chosen = selected_blocks(written(quotas(targets, blocks), "quotas"), seed)
+    chosen = selected_blocks(quotas(targets, blocks), seed)
 
     ranked = counted.join(targets.select(F.col("source").alias("__source"), "rank", "source_size", "target", "total"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     drawn = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     placed = ranked.withColumn("drawn", drawn).withColumn("bucket", F.substring("drawn", 1, 2)).withColumn("words", F.col("size") * F.col("copies"))
     order = ["drawn", *[F.asc_nulls_first(k) for k in keys], "size"]
-    placed = running_total(written(placed, "placed"), ["rank"], "bucket", order, "words", "start").drop("words", "bucket", "drawn")
+    placed = running_total(placed, ["rank"], "bucket", order, "words", "start").drop("words", "bucket", "drawn")
     each = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
     each = each.withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
 

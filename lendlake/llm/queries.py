@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.llm import jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
+from lendlake.llm.shipping import ship
 
 SHARDS = 40
 
@@ -17,6 +18,7 @@ def vocabulary(name: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

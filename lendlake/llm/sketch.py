@@ -4,8 +4,8 @@ A sketch has two rows of cells. A batch sends, for each slice of a row, the cell
 above one; a merge task adds one slice after another and keeps which cells reach two and which reach ``hot``. An
 estimate is never below the true count, so what is not estimated repeated is not repeated.
 
-The merged maps are at most 2 * 2**MOST_BITS bits for repeats (128 MB) and 2 * 2**HOT_BITS bits for hot hashes (4 MB), at any size
-of the input; that is what is broadcast. Beyond about a billion hashes the maps fill up and more passes the filter: later steps
+The merged maps are at most 2 * 2**MOST_BITS bits for repeats (64 MB) and 2 * 2**HOT_BITS bits for hot hashes (4 MB), at any size
+of the input; that is what is broadcast. Beyond about half a billion hashes the maps fill up and more passes the filter: later steps
 must be exact by themselves.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from lendlake.llm.words import mix
 
 SLICE_BITS = 18
-MOST_BITS = 29
+MOST_BITS = 28
 HOT_BITS = 24
 HOT = 256
 BATCH_HASHES = 2_000_000

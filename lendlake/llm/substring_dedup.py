@@ -33,14 +33,14 @@ SIZE = 50
 PER_WORD = 6
 GATHER_ROWS = 500_000
 Finder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
-FOUND = "h1 bigint, h2 int, doc_id bigint, place bigint"
+FOUND = "h1 bigint, doc_id bigint, place bigint, key int"  # place: the other 32 hash bits, then the start
 
 
 def with_key(docs: DataFrame) -> DataFrame:
     """Adds ``__key``, 31 bits of the text's hash that tell rows of the same id apart; 0 where all ids are different."""
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    key = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)) if repeated else F.lit(0).cast("long")
-    return docs.withColumn("__key", key)
+    key = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)) if repeated else F.lit(0)
+    return docs.withColumn("__key", key.cast("int"))
 
 
 def distinct_in_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -79,11 +79,12 @@ def repeats_finder(filters, size: int, hot: bool) -> Finder:
             second = np.zeros(len(at), np.uint64)
             for j in range(size):
                 second = second * np.uint64(0x9E3779B97F4A7C15) + words[at + j]
-            place = batch.column("__key").to_numpy()[rows] << 32 | (at - bounds.first[rows])
-            ids = batch.column("doc_id").take(pa.array(rows))
-            arrays = [pa.array(hashes.view(np.int64)), pa.array((second >> np.uint64(32)).astype(np.uint32).view(np.int32)), ids, pa.array(place)]
+            place = (second >> np.uint64(32) << np.uint64(32)).view(np.int64) | (at - bounds.first[rows])
+            doc_ids = batch.column("doc_id").take(pa.array(rows))
+            key = batch.column("__key").take(pa.array(rows))
+            arrays = [pa.array(hashes.view(np.int64)), doc_ids, pa.array(place), key]
             for start in range(0, len(at), 100_000):
-                yield pa.RecordBatch.from_arrays([a.slice(start, 100_000) for a in arrays], ["h1", "h2", "doc_id", "place"])
+                yield pa.RecordBatch.from_arrays([a.slice(start, 100_000) for a in arrays], ["h1", "doc_id", "place", "key"])
 
     return run
 
@@ -107,9 +108,11 @@ def hot_starts(docs: DataFrame, find: Finder) -> DataFrame:
 
     def gathered(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        h1, h2, doc, place = [table.column(i).to_numpy() for i in range(4)]
-        order = np.lexsort((doc, h2, h1))
-        h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
+        h1, doc, place, key = [table.column(i).to_numpy() for i in range(4)]
+        order = np.lexsort((doc, place >> 32, h1))
+        h1, doc, place, key = h1[order], doc[order], place[order], key[order].astype(np.int64)
+        h2 = place >> 32
+        place = key << 32 | (place & 0xFFFFFFFF)
         new = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
         offsets = pa.array(np.r_[new, len(h1)].astype(np.int32))
         lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (doc, place)]
@@ -129,7 +132,7 @@ def hot_starts(docs: DataFrame, find: Finder) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(key[new]), lists], ["doc_id", "key", "starts"])
 
     names = ["h1", "h2", "least", "docs", "places"]
-    lists = written(docs.mapInArrow(gather, "h1 bigint, h2 int, least bigint, docs array<bigint>, places array<bigint>"), "hot_windows")
+    lists = written(docs.mapInArrow(gather, "h1 bigint, h2 bigint, least bigint, docs array<bigint>, places array<bigint>"), "hot_windows")
     first = lists.groupBy("h1", "h2").agg(F.min("least").alias("first_id"))
     met = lists.join(first, ["h1", "h2"]).select("first_id", "docs", "places")
     return met.mapInArrow(deal, "doc_id bigint, key bigint, starts array<int>")
@@ -141,12 +144,15 @@ def later_starts(docs: DataFrame, size: int) -> DataFrame:
     estimate = sketched(identified, size)
     filters = docs.sparkSession.sparkContext.broadcast(estimate)
     few = identified.mapInArrow(repeats_finder(filters, size, hot=False), FOUND)
-    few = few.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where("doc_id > first_id")
-    key, start = F.shiftright("place", 32).alias("key"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    later = few.groupBy("doc_id", key).agg(F.collect_list(start).alias("starts"))
+    window = Window.partitionBy("h1", F.shiftright("place", 32))
+    few = few.withColumn("first_id", F.min("doc_id").over(window)).where("doc_id > first_id")
+    start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    later = few.groupBy("doc_id", F.col("key").cast("long").alias("key")).agg(F.collect_list(start).alias("starts"))
     if estimate.hot.any():
         parts = later.union(hot_starts(identified, repeats_finder(filters, size, hot=True)))
         later = parts.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    later = written(later, "starts")
+    filters.destroy()
     return later
 
 
@@ -165,7 +171,7 @@ def with_removals(docs: DataFrame, size: int, run: Callable[[Iterator[pa.RecordB
     through ``run`` where they are read, with a null.
     """
     keyed = with_key(docs)
-    starts = written(later_starts(keyed, size), "starts")
+    starts = later_starts(keyed, size)
     ids = docs.sparkSession.sparkContext.broadcast(sketch.bit_map(starts.select("doc_id")))
     names = keyed.columns
 
