@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendlake.llm import jaccard_join, language_id, mixing, packing, substring_dedup
 from lendlake.llm.queries import documents, vocabulary
+from lendlake.llm.shipping import ship
 from lendlake.sources.scratch import scratch_root
 
 #: No SQL: the first stage is a trained model and the last needs a tokenizer.
@@ -19,16 +20,19 @@ ORACLE_SQL = None
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model recognises."""
+    ship(spark)
     return language_id.accepted(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 of five-word shingles."""
+    ship(spark)
     return jaccard_join.representatives(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 words or more that an earlier document has."""
+    ship(spark)
     return substring_dedup.deduplicate(docs)
 
 
@@ -39,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenised documents in sequences of 4096 tokens."""
+    ship(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
