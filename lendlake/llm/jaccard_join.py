@@ -163,7 +163,8 @@ def prefixes(docs: DataFrame, table, size: int, percent: int) -> DataFrame:
             length = np.where(counts > 0, slack + matches, 0)
             kept = np.arange(len(keys)) - np.repeat(starts, counts) < np.repeat(length, counts)
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[kept].view(np.int64)))
+            signed = (keys[kept] ^ np.uint64(1 << 63)).view(np.int64)  # the same order for signed numbers
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed))
             arrays = [batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), pa.array(matches.astype(np.int32)), lists]
             out = pa.RecordBatch.from_arrays(arrays, ["doc_id", *SIGNATURE, "l", "elements"])
             yield out.filter(pa.array(counts > 0))
@@ -198,24 +199,14 @@ def both_sides(pairs: DataFrame, sides: DataFrame, keys: list[str], values: list
 
 def promising(pairs: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
     """Pairs whose prefixes share as many elements as the smaller l asks for, and leave enough behind them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x_elements"), batch.column("y_elements")
-            n, m, l, k = [batch.column(c).to_numpy() for c in ("x_n", "y_n", "x_l", "y_l")]
-            keep = []
-            for i in range(batch.num_rows):
-                p, q = x[i].values.to_numpy().view(np.uint64), y[i].values.to_numpy().view(np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                end = min(p[-1], q[-1])
-                behind = min(n[i] - np.searchsorted(p, end, "right"), m[i] - np.searchsorted(q, end, "right"))
-                # Up to ``end`` all common elements are in both prefixes; behind it there are no more than these.
-                need = -(-percent * (n[i] + m[i]) // (100 + percent))
-                keep.append(common >= min(l[i], k[i]) and common + behind >= need)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     keyed = pairs.select("a", "b", F.col("a").alias("a_class"), F.col("b").alias("b_class"))
-    return both_sides(keyed, prefix, ["class"], ["n", "l", "elements"]).mapInArrow(run, "a bigint, b bigint")
+    both = both_sides(keyed, prefix, ["class"], ["n", "l", "elements"])
+    # Up to the end of the shorter prefix all common elements are in both; behind it there are no more than either set has.
+    end = F.least(F.element_at("x_elements", -1), F.element_at("y_elements", -1))
+    behind = [F.col(f"{s}_n") - F.size(F.filter(f"{s}_elements", lambda e: e <= F.col("end"))) for s in ("x", "y")]
+    common = F.size(F.array_intersect("x_elements", "y_elements"))
+    shared = both.withColumn("end", end).withColumn("common", common).where(F.col("common") >= F.least("x_l", "y_l"))
+    return shared.where(F.col("common") + F.least(*behind) >= least_overlap(F.col("x_n"), F.col("y_n"), percent)).select("a", "b")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -255,17 +246,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
     wanted = pairs.select(F.col("a_s1").alias("s1")).union(pairs.select(F.col("b_s1").alias("s1")))
     sets = full_sets(docs, wanted, size).withColumn("id", known_id()).select(*keys, "elements").dropDuplicates(keys)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x_elements"), batch.column("y_elements")
-            linked = []
-            for i in range(batch.num_rows):
-                p, q = x[i].values.to_numpy().view(np.uint64), y[i].values.to_numpy().view(np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                linked.append(100 * common >= percent * (len(p) + len(q) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return written(both_sides(pairs, sets, keys, ["elements"]).mapInArrow(run, "a bigint, b bigint"), "links")
+    both = both_sides(pairs, sets, keys, ["elements"])
+    both = both.withColumn("common", F.size(F.array_intersect("x_elements", "y_elements")).cast("long"))
+    linked = 100 * F.col("common") >= percent * (F.size("x_elements") + F.size("y_elements") - F.col("common"))
+    return written(both.where(linked).select("a", "b"), "links")
 
 
 def links(docs: DataFrame, classes: DataFrame, table, size: int, percent: int) -> DataFrame:

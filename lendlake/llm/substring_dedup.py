@@ -32,6 +32,7 @@ from lendlake.sources.scratch import written
 SIZE = 50
 PER_WORD = 6
 GATHER_ROWS = 500_000
+MOST_BROADCAST = 500_000
 Finder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 FOUND = "h1 bigint, doc_id bigint, place bigint, key int"  # place: the other 32 hash bits, then the start
 
@@ -133,7 +134,9 @@ def hot_starts(docs: DataFrame, find: Finder) -> DataFrame:
 
     names = ["h1", "h2", "least", "docs", "places"]
     lists = written(docs.mapInArrow(gather, "h1 bigint, h2 bigint, least bigint, docs array<bigint>, places array<bigint>"), "hot_windows")
-    first = lists.groupBy("h1", "h2").agg(F.min("least").alias("first_id"))
+    first = written(lists.groupBy("h1", "h2").agg(F.min("least").alias("first_id")), "hot_first")
+    if first.count() <= MOST_BROADCAST:  # then each list stays where its documents were read
+        first = F.broadcast(first)
     met = lists.join(first, ["h1", "h2"]).select("first_id", "docs", "places")
     return met.mapInArrow(deal, "doc_id bigint, key bigint, starts array<int>")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BLOCK = 1 << 17
 
 _word_byte = np.ones(256, bool)
