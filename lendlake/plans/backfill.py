@@ -1,7 +1,7 @@
 """Layer builds over all months in one job each, or over chosen months only.
 
-Every build reads a written table and replaces the partitions it produces, so a month
-can be run again at any time and gives the same tables.
+Every build reads a written table and replaces the partitions it owns, so a month can be run
+again at any time and in any order and gives the same tables: a run also rebuilds the later snapshots that its click months feed.
 """
 
 from __future__ import annotations
@@ -45,6 +45,14 @@ def build_labels(store: Store, months: Months = None, dpd: int = 30, mob: int =
     store.write(labels, "gold", "label_store", months)
 
 
+def fed_snapshots(store: Store, months: Months) -> Months:
+    """The ledger's snapshots whose engagement draws on ``months``: these and the six after them."""
+    if months is None:
+        return None
+    fed = {shift_months(month, lag) for month in months for lag in (0, *S.LAGS)}
+    return [month for month in store.months("silver", "loans") if month in fed]
+
+
 def build_engagement(store: Store, months: Months = None, feature: str = "fe_1") -> None:
     """Lags for the snapshots of the loan ledger; a run reads the six months it needs."""
     if months is None:
@@ -53,7 +61,8 @@ def build_engagement(store: Store, months: Months = None, feature: str = "fe_1")
     else:
         needed = sorted({shift_months(month, -lag) for month in months for lag in S.LAGS})
         clicks = store.read("silver", "clickstream", needed)
-        snapshots = store.spark.createDataFrame([(month,) for month in months], "snapshot_date date")
+        known = set(store.months("silver", "loans"))
+        snapshots = store.spark.createDataFrame([(month,) for month in months if month in known], "snapshot_date date")
     store.write(gold.engagement(clicks, snapshots, feature), "gold", "engagement", months)
 
 
@@ -63,7 +72,8 @@ def build_risk(store: Store, months: Months = None) -> None:
 
 
 def build_gold(store: Store, months: Months = None, dpd: int = 30, mob: int = 6) -> None:
-    build_engagement(store, months)
+    """Gold tables of ``months``; engagement also of the later snapshots that these months feed."""
+    build_engagement(store, None if months is None else sorted({*months, *fed_snapshots(store, months)}))
     build_risk(store, months)
     build_labels(store, months, dpd, mob)
 
@@ -79,20 +89,23 @@ def build_model_table(store: Store, months: Months = None) -> None:
 
 
 def build_splits(store: Store, months: Months = None, n_train: int = 12, n_oot: int = 3, key: str = "loan_id") -> None:
-    """Sets of all months, or of ``months`` once enough months are there.
+    """Sets of all months, or of ``months`` and those whose set they change.
 
-    The split of a month does not change as later months arrive. The month that completes
-    the first ``n_train`` releases all of these; before it, there is nothing to write.
+    A new month shifts the rank of every later one, so these are written again; a month within the first ``n_train`` or
+    before their end rewrites all. A month is replaced as a whole, whatever its sets were. After a change of ``n_train``,
+    ``n_oot`` or ``key``, run it without months.
     """
     table = store.read("gold", "model_table")
     ranks = month_ranks(table)
+    changed = None
     if months is not None:
-        present = [row.snapshot_date for row in available_snapshots(table).collect()]
-        first = sorted(present)[:n_train]
-        released = set(months) | set(first) if set(months) & set(first) else set(months)
-        table = snapshot_slices(table, sorted(released))
+        present = store.months("gold", "model_table")
+        first = present[:n_train]
+        since = present[0] if not first or min(months) <= first[-1] else min(months)
+        changed = sorted({*months, *[month for month in present if month >= since]})
+        table = snapshot_slices(table, changed)
     assigned = assign_splits(table, n_train, n_oot, key, ranks=ranks)
-    store.write(assigned, "gold", "splits", partition_by=("split", S.SNAPSHOT), aligned=True)
+    store.write(assigned, "gold", "splits", changed, partition_by=(S.SNAPSHOT, "split"), aligned=True)
 
 
 def backfill(
@@ -108,5 +121,5 @@ def backfill(
     build_bronze(store, sources, months)
     build_silver(store, months)
     build_gold(store, months, dpd, mob)
-    build_model_table(store, months)
+    build_model_table(store, None if months is None else sorted({*months, *fed_snapshots(store, months)}))
     return store

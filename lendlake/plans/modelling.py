@@ -71,26 +71,45 @@ def training_manifest(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("model_dir", F.col("run_date").alias("trained_on")).agg(*areas)
 
 
+def run_folder(model_name: str, run_date: date | str) -> str:
+    """Partition folder of one model run."""
+    return f"model_name={model_name}/run_date={as_date(run_date).isoformat()}"
+
+
 def train(store: Store, run_date: date | str, model_name: str = "logistic", max_iter: int = 50) -> str:
-    """Fit on the ``train`` set, save the model and return its path."""
+    """Fit on the ``train`` set, save the model, record its holdout areas in the manifest, and return its path."""
     rows = store.read("gold", "splits").where(F.col("split") == "train")
     model_dir = f"{store.root}/model_bank/{model_name}_{as_date(run_date):%Y_%m_%d}"
     fit_model(rows, max_iter=max_iter).write().overwrite().save(model_dir)
+    score_sets(store, model_dir, run_date, model_name)
     return model_dir
 
 
+def run_predictions(store: Store, model_name: str, run_date: date | str, sets: list[str] | None = None) -> DataFrame:
+    """What one run has predicted for the chosen sets."""
+    rows = store.read("gold", "predictions")
+    own = (F.col("model_name") == model_name) & (F.col("run_date") == F.lit(as_date(run_date)))
+    return rows.where(own & F.col("split").isin(sets or HOLDOUT))
+
+
 def score_sets(
     store: Store, model_dir: str, run_date: date | str, model_name: str = "logistic", sets: list[str] | None = None
 ) -> DataFrame:
-    """Score the chosen sets, write predictions and manifest, and return the manifest.
+    """Score the chosen sets, write predictions and manifest of this run, and return the manifest.
 
-    A set without rows simply has no predictions and no manifest row.
+    Predictions and manifest rows belong to model, run date and set; other runs keep theirs. A set without rows has
+    neither, also if an earlier call wrote some.
     """
-    rows = store.read("gold", "splits").where(F.col("split").isin(sets or HOLDOUT))
-    scored = score(PipelineModel.load(model_dir), rows)
-    store.write(scored, "gold", "predictions", partition_by=("split", S.SNAPSHOT), aligned=True)
-    predictions = store.read("gold", "predictions").where(F.col("split").isin(sets or HOLDOUT))
-    preds_path = store.path("gold", "predictions")
-    lines = manifest_rows(predictions, model_name, model_dir, run_date, preds_path)
-    store.write(lines, "gold", "model_manifest", partition_by=("model_name", "run_date", "split"))
+    sets = sets or HOLDOUT
+    rows = store.read("gold", "splits").where(F.col("split").isin(sets))
+    named = {"model_name": F.lit(model_name), "run_date": F.lit(as_date(run_date))}
+    scored = score(PipelineModel.load(model_dir), rows).withColumns(named)
+    own = [f"{run_folder(model_name, run_date)}/split={name}" for name in sets]
+    keys = ("model_name", "run_date", "split")
+    store.write(scored, "gold", "predictions", partition_by=(*keys, S.SNAPSHOT), aligned=True, own=own)
+    predictions = run_predictions(store, model_name, run_date, sets)
+    folder = f"{store.path('gold', 'predictions')}/{run_folder(model_name, run_date)}"
+    lines = manifest_rows(predictions, model_name, model_dir, run_date, folder)
+    lines = lines.withColumn("preds_path", F.concat("preds_path", F.lit("/split="), "split"))
+    store.write(lines, "gold", "model_manifest", partition_by=keys, own=own)
     return store.read("gold", "model_manifest")

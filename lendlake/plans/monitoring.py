@@ -12,21 +12,47 @@ from lendlake.operators.metrics import auc_by_snapshot
 from lendlake.sources.store import Store
 
 
-def monitor(store: Store, start: date | str, end: date | str, split: str = "test") -> DataFrame:
-    """One row per snapshot in the range that has predictions; written by range."""
-    predictions = store.read("gold", "predictions").where(F.col("split") == split)
-    areas = auc_by_snapshot(predictions, start, end)
-    rows = areas.select("*", F.lit(as_date(start)).alias("start_date"), F.lit(as_date(end)).alias("end_date"))
-    store.write(rows, "gold", "monitoring", partition_by=("start_date", "end_date"))
-    return auc_over_time(store, start, end)
+KEYS = ("model_name", "run_date", "split", "start_date", "end_date")
+
+
+def monitor(
+    store: Store,
+    start: date | str,
+    end: date | str,
+    split: str = "test",
+    model_name: str = "logistic",
+    run_date: date | str | None = None,
+) -> DataFrame:
+    """One row per snapshot in the range that the run has predictions for; written by model, run, set and range.
+
+    Without ``run_date`` it is the latest run of the model. A range without predictions has no rows, also if there were some.
+    """
+    predictions = store.read("gold", "predictions").where((F.col("split") == split) & (F.col("model_name") == model_name))
+    run = as_date(run_date) if run_date else predictions.agg(F.max("run_date")).first()[0]
+    values = dict(zip(KEYS, (model_name, run, split, as_date(start), as_date(end)), strict=True))
+    if run is not None:
+        areas = auc_by_snapshot(predictions.where(F.col("run_date") == F.lit(run)), start, end)
+        rows = areas.withColumns({name: F.lit(value) for name, value in values.items()})
+        folder = "/".join(f"{name}={value}" for name, value in values.items())
+        store.write(rows, "gold", "monitoring", partition_by=KEYS, own=[folder])
+    return auc_over_time(store, start, end, split, model_name, run)
 
 
 def monitor_trailing(store: Store, end: date | str, days: int = 30, split: str = "test") -> DataFrame:
     return monitor(store, *trailing_window(end, days), split)
 
 
-def auc_over_time(store: Store, start: date | str, end: date | str) -> DataFrame:
-    """The written series of one range, in date order."""
+def auc_over_time(
+    store: Store,
+    start: date | str,
+    end: date | str,
+    split: str = "test",
+    model_name: str = "logistic",
+    run_date: date | str | None = None,
+) -> DataFrame:
+    """The written series of one set and range, in date order; of the latest run without ``run_date``."""
     rows = store.read("gold", "monitoring")
     in_range = rows.where((F.col("start_date") == F.lit(as_date(start))) & (F.col("end_date") == F.lit(as_date(end))))
-    return in_range.select("snapshot_date", "test_auc").orderBy("snapshot_date")
+    own = in_range.where((F.col("split") == split) & (F.col("model_name") == model_name))
+    run = as_date(run_date) if run_date else own.agg(F.max("run_date")).first()[0]
+    return own.where(F.col("run_date") == F.lit(run).cast("date")).select("snapshot_date", "test_auc").orderBy("snapshot_date")

@@ -165,10 +165,12 @@ TABLES = {
         }
     ),
     ("gold", "predictions"): (
-        "loan_id string, snapshot_date date, label int, probability double, prediction double, split string"
+        "loan_id string, snapshot_date date, label int, probability double, prediction double, split string, model_name string, run_date date"
     ),
     ("gold", "model_manifest"): (
         "model_name string, model_dir string, run_date date, split string, auc double, preds_path string"
     ),
-    ("gold", "monitoring"): "snapshot_date date, test_auc double, start_date date, end_date date",
+    ("gold", "monitoring"): (
+        "snapshot_date date, test_auc double, model_name string, run_date date, split string, start_date date, end_date date"
+    ),
 }

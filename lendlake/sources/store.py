@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.operators.bronze import available_snapshots, counts_by_snapshot, snapshot_slices
+from lendlake.operators.bronze import counts_by_snapshot, snapshot_slices
 from lendlake.schemas import SNAPSHOT, TABLES
 
 log = logging.getLogger(__name__)
@@ -44,16 +44,18 @@ class Store:
         months: list[date] | None = None,
         partition_by: tuple[str, ...] = (SNAPSHOT,),
         aligned: bool = False,
+        own: list[str] | None = None,
     ) -> None:
-        """Replace the partitions that ``df`` has rows for.
+        """Replace what the write owns: the partitions of ``months``, or the whole table without months.
 
-        Rows are rebalanced by partition value, so that a month ends up in few files and a
-        month with a large share of all rows is spread over many tasks. ``aligned`` says
-        that ``df`` derives row by row from a table with the same snapshot partitions: its
-        tasks hold few months each, and the write needs no shuffle. The partitions of
-        ``months`` that get no rows are removed, as their former rows are out of date.
+        ``own`` names other partition folders instead, such as those of one model run. Rows are rebalanced by partition value,
+        so that a month ends up in few files and a month with a large share of all rows is spread over many tasks. ``aligned`` says
+        that ``df`` derives row by row from a table with the same snapshot partitions: its tasks hold few months each, and the
+        write needs no shuffle. ``df`` runs once. Files that were there before and that the write has not replaced are removed
+        after it has succeeded.
         """
-        rerun = set(months or []) & self._present(layer, table)
+        whole = [""] if months is None else [f"{SNAPSHOT}={month.isoformat()}" for month in months]
+        before = self._files(layer, table, whole if own is None else own)
         spread = df if aligned else df.hint("rebalance", *[F.col(c) for c in partition_by])
         (
             spread.write.mode("overwrite")
@@ -61,23 +63,38 @@ class Store:
             .partitionBy(*partition_by)
             .parquet(self.path(layer, table))
         )
-        if rerun:
-            filled = {row.snapshot_date for row in available_snapshots(df).collect()}
-            for month in rerun - filled:
-                folder, files = self._folder(f"{self.path(layer, table)}/{SNAPSHOT}={month.isoformat()}")
-                files.delete(folder, True)
+        for name in before:
+            file, files = self._folder(name)
+            if files.exists(file):
+                files.delete(file, False)
+                folder = file.getParent()
+                if not len(files.listStatus(folder)):
+                    files.delete(folder, True)
         log.info("wrote %s", self.path(layer, table))
 
     def row_counts(self, *tables: tuple[str, str]) -> DataFrame:
         """Rows of each written table and snapshot, counted without reading any column."""
         return counts_by_snapshot({f"{layer}.{table}": self.read(layer, table) for layer, table in tables})
 
-    def _present(self, layer: str, table: str) -> set[date]:
-        """Snapshot partitions of a written table, from its folder names."""
+    def months(self, layer: str, table: str) -> list[date]:
+        """Snapshots of a written table that has them as its first partition, from its folder names."""
         folder, files = self._folder(self.path(layer, table))
         names = [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
         values = [name.partition("=")[2] for name in names if name.startswith(f"{SNAPSHOT}=")]
-        return {date.fromisoformat(value) for value in values if value[:1].isdigit()}
+        return sorted(date.fromisoformat(value) for value in values if value[:1].isdigit())
+
+    def _files(self, layer: str, table: str, folders: list[str]) -> list[str]:
+        """Data files below the named partition folders."""
+        found = []
+        for name in folders:
+            folder, files = self._folder(f"{self.path(layer, table)}/{name}".rstrip("/"))
+            if files.exists(folder):
+                entries = files.listFiles(folder, True)
+                while entries.hasNext():
+                    path = entries.next().getPath()
+                    if not path.getName().startswith(("_", ".")):
+                        found.append(path.toString())
+        return found
 
     def _folder(self, path: str):
         """Hadoop path and its file system."""

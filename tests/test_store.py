@@ -177,7 +177,7 @@ def test_predictions(scored):
     assert predictions.count() == holdout.count() > 0
     assert predictions.where("not probability between 0 and 1 or prediction != if(probability > 0.5, 1, 0)").count() == 0
     again = modelling.score(PipelineModel.load(model_dir), holdout)
-    assert rows(again) == rows(predictions)
+    assert rows(again) == rows(predictions.drop("model_name", "run_date"))
 
 
 def test_monitoring(scored):
@@ -220,3 +220,50 @@ def test_a_feature_without_values_is_left_out(spark):
 
 def test_scratch_tables_use_the_named_folder(spark):
     assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_full_rebuild_keeps_no_other_months(spark, tmp_path):
+    part = Store(spark, str(tmp_path))
+    ddl = S.TABLES["gold", "label_store"]
+    for months in (range(1, 6), range(2, 4)):
+        table = [(f"L{m}", "C", 0, "d", date(2023, m, 1)) for m in months]
+        part.write(spark.createDataFrame(table, ddl), "gold", "label_store")
+    assert part.months("gold", "label_store") == [date(2023, 2, 1), date(2023, 3, 1)]
+    assert part.read("gold", "label_store").count() == 2
+
+
+def test_no_row_is_in_two_sets_after_other_rebuilds(spark, store, tmp_path):
+    part = Store(spark, str(tmp_path))
+    table = store.read("gold", "model_table")
+    months = bronze.available_snapshots(table).orderBy("snapshot_date").limit(18).collect()
+    months = [r.snapshot_date for r in months]
+    part.write(bronze.snapshot_slices(table, months[1:]), "gold", "model_table")
+    for n_train in (12, 6):
+        backfill.build_splits(part, n_train=n_train)
+        assert rows(part.read("gold", "splits")) == rows(splits.assign_splits(part.read("gold", "model_table"), n_train))
+    part.write(bronze.snapshot_slices(table, months[:1]), "gold", "model_table", months[:1])
+    backfill.build_splits(part, months[:1], n_train=6)
+    assert rows(part.read("gold", "splits")) == rows(splits.assign_splits(part.read("gold", "model_table"), 6))
+
+
+def test_months_in_any_order_without_preloaded_silver(spark, store, tmp_path):
+    months = month_list("1998-01-01", "1998-03-01")
+    for month in reversed(months):
+        part = backfill.backfill(spark, str(tmp_path), sources(spark), [month])
+    whole = backfill.backfill(spark, str(tmp_path / "whole"), {n: bronze.snapshot_slices(d, months) for n, d in sources(spark).items()})
+    for layer, table in GOLD:
+        assert rows(part.read(layer, table)) == rows(whole.read(layer, table)), table
+
+
+def test_runs_and_sets_keep_their_own_results(scored):
+    store, model_dir, _ = scored
+    last = store.read("gold", "predictions").agg(F.max("snapshot_date")).first()[0]
+    before = rows(store.read("gold", "predictions"))
+    first = rows(monitoring.monitor(store, "1995-01-01", last, "test"))
+    lines = modelling.score_sets(store, model_dir, "2025-01-01", "other")
+    monitoring.monitor(store, "1995-01-01", last, "val", "other")
+    kept = store.read("gold", "predictions").where("model_name = 'logistic'")
+    assert rows(kept) == before
+    assert rows(monitoring.auc_over_time(store, "1995-01-01", last, "test")) == first
+    paths = {r.preds_path for r in lines.collect()}
+    assert len(paths) == 4 and all(Path(p).is_dir() for p in paths)
