@@ -130,14 +130,14 @@ def mixed_texts(docs: DataFrame, blocks: int = BLOCKS, seed: str = SEED) -> Data
     readings = pieces.groupBy("doc_id", "source", "key", "copy", "span.reading").agg(F.sort_array(F.collect_list(F.struct("span.first", "span.words"))).alias("spans"))
     readings = readings.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("key").alias("__key"), "spans")
     # Equal rows share their readings: one of them stands for all.
-    one = keyed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__key").agg(F.max(F.struct("__size", *docs.columns)).alias("row"))
+    one = keyed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__key").agg(F.max(F.struct("__size", *docs.columns)).alias("__row"))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("__id", "__source", "__key")]
     joined = one.alias("a").join(readings.alias("b"), same[0] & same[1] & same[2])
-    words = F.filter(F.split("row.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = F.filter(F.split("__row.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cut = F.concat_ws(" ", F.flatten(F.transform("spans", lambda s: F.slice(words, (s["first"] + 1).cast("int"), s["words"].cast("int")))))
     total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
-    text = F.when(total == F.col("row.__size"), F.col("row.text")).otherwise(cut)
-    result = joined.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"], text.alias("text"))
+    text = F.when(total == F.col("__row.__size"), F.col("__row.text")).otherwise(cut)
+    result = joined.select(*[F.col(f"__row.{c}").alias(c) for c in docs.columns if c != "text"], text.alias("text"))
     if "n_chars" in docs.columns:
         result = result.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return result.select(*docs.columns)
