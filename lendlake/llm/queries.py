@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
+from lendlake.llm import hamming_search, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
 from lendlake.llm.shipping import ship
 
 SHARDS = 40
@@ -53,6 +53,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", *law)
 
 
+def op7_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return hamming_search.search(vectors, F.col("id") % 50 == 0, k=10)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(documents(spark, sf_dir).select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -77,6 +82,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
+    "op7_hamming_search": op7_hamming_search,
     "op8_mixing": op8_mixing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
