@@ -13,6 +13,7 @@ compared. An empty table gives an empty table; other columns are not used.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,13 +63,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     values = written(index.select("entry", "length", F.posexplode("code").alias("segment", "value")), "values")
     asked = written(coded.where(queries).withColumn("query", F.monotonically_increasing_id()), "queries").drop("salt")
     open_queries = asked
-    best = None
+    best, answers = None, []
     for radius in range(SEGMENT + 1):
         masks = [sum(1 << b for b in chosen) for chosen in combinations(range(SEGMENT), radius)]
         segments = open_queries.select("query", "length", F.posexplode("code").alias("segment", "own"))
         probes = segments.withColumn("mask", F.explode(F.lit(masks).cast("array<int>")))
         probes = probes.select("query", "length", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        met = probes.join(values, ["length", "segment", "value"]).select("query", "entry").distinct()
+        # Spark takes the size of the probes for that of the queries; they are never broadcast.
+        met = probes.hint("merge").join(values, ["length", "segment", "value"]).select("query", "entry").distinct()
         codes = index.select("entry", F.col("code").alias("other"), "ids")
         near = met.join(open_queries.select("query", "id", "code"), "query").join(codes, "entry")
         near = near.select("query", "id", F.explode("ids").alias("neighbor"), distance("code", "other").alias("distance"))
@@ -83,13 +85,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         done = (F.col("found") >= min(k, total - 1)) & ((F.col("last") <= covered) | (F.col("found") < k))
         joined = open_queries.join(state, "query", "left").withColumn("done", F.coalesce(done, F.lit(False)))
         rest = written(joined.where(~F.col("done")).select(*asked.columns), "open")
-        kept = now.drop("rank")
-        if best is not None:
-            kept = kept.union(best.join(open_queries.select("query"), "query", "left_anti"))
-        best = kept
+        answers.append(now.join(rest.select("query"), "query", "left_anti"))
+        best = now.drop("rank")
         if not rest.count():
             break
         open_queries = rest
-    order = Window.partitionBy("query").orderBy("distance", "neighbor")
-    ranked = best.withColumn("rank", F.row_number().over(order))
-    return ranked.select(F.col("id").alias("query_id"), "rank", F.col("neighbor").alias("neighbor_id"), "distance")
+    answers.append(now.join(rest.select("query"), "query", "left_semi"))  # none, unless there are fewer than k neighbours
+    found = reduce(DataFrame.union, answers)
+    return found.select(F.col("id").alias("query_id"), "rank", F.col("neighbor").alias("neighbor_id"), "distance")
