@@ -15,7 +15,7 @@ def snapshot_slice(df: DataFrame, snapshot: date | str) -> DataFrame:
 
 
 def snapshot_slices(df: DataFrame, months: list[date] | None = None) -> DataFrame:
-    """Every dated row, or only the rows of ``months``."""
+    """Every dated row, or only the rows of ``months``; ``rejected_counts`` counts the others."""
     if months is None:
         return df.where(F.col(SNAPSHOT).isNotNull())
     return df.where(F.col(SNAPSHOT).isin(months))
@@ -31,5 +31,11 @@ def counts_by_snapshot(tables: dict[str, DataFrame]) -> DataFrame:
     return counts
 
 
+def rejected_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table without a valid snapshot date; these belong to no slice."""
+    undated = {name: df.where(F.col(SNAPSHOT).isNull()) for name, df in tables.items()}
+    return counts_by_snapshot(undated).drop(SNAPSHOT)
+
+
 def available_snapshots(df: DataFrame) -> DataFrame:
     return df.select(SNAPSHOT).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendlake import schemas as S
+from lendlake.functions.dates import month_start
 from lendlake.operators.lookup import ROWS_PER_SLICE, lookup_join
 
 
@@ -25,14 +26,17 @@ def engagement(clicks: DataFrame, snapshots: DataFrame | None = None, feature: s
     """Values of ``feature`` one to six months before each snapshot.
 
     A customer gets a row for every snapshot with data in any of those six months, in
-    ``snapshots`` (a calendar with one row per snapshot) if given. Repeated rows of a
-    customer and month count once, with the greatest value.
+    ``snapshots`` if given. Repeated rows of a customer and month count once, with the greatest value.
+
+    Calendar months count, not days: a click belongs to its month, and a snapshot keeps its own date but draws on the
+    months before its month. Without ``snapshots`` they are the first days of months. Undated clicks and snapshots count for nothing.
 
     Each month is sent to its customer once, instead of six times to six snapshots. A
     customer then has at most one row per month of the calendar, and the row of month m
     writes the snapshots for which m is the latest month with data.
     """
-    monthly = clicks.groupBy(*S.KEY).agg(F.max(feature).alias("value"))
+    dated = clicks.where(F.col("snapshot_date").isNotNull()).withColumn("snapshot_date", month_start(F.col("snapshot_date")))
+    monthly = dated.groupBy(*S.KEY).agg(F.max(feature).alias("value"))
     index = F.year("snapshot_date") * 12 + F.month("snapshot_date")
     by_month = W.partitionBy("Customer_ID").orderBy("month")
     last = S.LAGS[-1]
@@ -55,9 +59,10 @@ def engagement(clicks: DataFrame, snapshots: DataFrame | None = None, feature: s
     )
     if snapshots is None:
         return written
-    return written.join(F.broadcast(snapshots.select("snapshot_date")), "snapshot_date", "left_semi").select(
-        *S.KEY, *S.ENGAGEMENT_COLUMNS
-    )
+    month = month_start(F.col("snapshot_date")).alias("month")
+    calendar = snapshots.select("snapshot_date", month).distinct()
+    by_month = written.withColumnRenamed("snapshot_date", "month")
+    return by_month.join(F.broadcast(calendar), "month").select(*S.KEY, *S.ENGAGEMENT_COLUMNS)
 
 
 def risk_features(financials: DataFrame) -> DataFrame:

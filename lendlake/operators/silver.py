@@ -24,6 +24,8 @@ CAPS = {
     "Num_Credit_Inquiries": 26,
 }
 
+INT_MAX = 2**31 - 1
+
 ENGINEERED = {
     "Num_Fin_Pdts": "Num_Bank_Accounts + Num_Credit_Card + Num_of_Loan",
     "Loans_per_Credit_Item": "Num_of_Loan / (Num_Bank_Accounts + Num_Credit_Card + 1)",
@@ -43,13 +45,17 @@ def enforce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def days_past_due(df: DataFrame) -> DataFrame:
     """Months on book, instalments missed, first missed date and days past due.
 
-    A missing amount counts as 0, and so does every other missing number of the row.
+    A missing amount counts as 0, and so does every other missing number of the row. Instalments stop at the integer range. When they
+    reach back before the calendar's first year, there is no first missed date, and the days past due are all the calendar has.
     """
-    missed = F.expr("try_cast(ceil(try_divide(overdue_amt, due_amt)) as int)")
+    owed = F.ceil(F.try_divide("overdue_amt", "due_amt"))
+    missed = F.when(owed > INT_MAX, INT_MAX).otherwise(owed).try_cast("int")
     counted = df.withColumns({"mob": F.col("installment_num"), "installments_missed": missed}).fillna(0)
-    first_missed = F.expr("if(installments_missed > 0, add_months(snapshot_date, -installments_missed), null)")
-    dated = counted.withColumn("first_missed_date", first_missed)
-    return dated.withColumn("dpd", F.expr("if(overdue_amt > 0, datediff(snapshot_date, first_missed_date), 0)"))
+    first_missed = """if(installments_missed between 1 and 12 * (year(snapshot_date) - 1),
+                         add_months(snapshot_date, -installments_missed), null)"""
+    since = "if(installments_missed > 0, coalesce(first_missed_date, date'0001-01-01'), null)"
+    dated = counted.withColumn("first_missed_date", F.expr(first_missed))
+    return dated.withColumn("dpd", F.expr(f"if(overdue_amt > 0, datediff(snapshot_date, {since}), 0)"))
 
 
 def silver_loans(raw: DataFrame) -> DataFrame:

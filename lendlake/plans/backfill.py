@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lendlake import schemas as S
 from lendlake.functions.dates import shift_months
 from lendlake.operators import gold, silver
-from lendlake.operators.bronze import available_snapshots, snapshot_slices
+from lendlake.operators.bronze import snapshot_slices
 from lendlake.operators.splits import assign_splits, month_ranks
 from lendlake.sources.store import Store
 
@@ -45,24 +45,23 @@ def build_labels(store: Store, months: Months = None, dpd: int = 30, mob: int =
     store.write(labels, "gold", "label_store", months)
 
 
+def shifted(store: Store, table: str, months: list[date], lags: list[int]) -> list[date]:
+    """Snapshots of a silver table in the calendar months that lie ``lags`` after those of ``months``."""
+    wanted = {shift_months(month.replace(day=1), lag) for month in months for lag in lags}
+    return [snapshot for snapshot in store.months("silver", table) if snapshot.replace(day=1) in wanted]
+
+
 def fed_snapshots(store: Store, months: Months) -> Months:
     """The ledger's snapshots whose engagement draws on ``months``: these and the six after them."""
-    if months is None:
-        return None
-    fed = {shift_months(month, lag) for month in months for lag in (0, *S.LAGS)}
-    return [month for month in store.months("silver", "loans") if month in fed]
+    return None if months is None else shifted(store, "loans", months, [0, *S.LAGS])
 
 
 def build_engagement(store: Store, months: Months = None, feature: str = "fe_1") -> None:
     """Lags for the snapshots of the loan ledger; a run reads the six months it needs."""
-    if months is None:
-        clicks = store.read("silver", "clickstream")
-        snapshots = available_snapshots(store.read("silver", "loans"))
-    else:
-        needed = sorted({shift_months(month, -lag) for month in months for lag in S.LAGS})
-        clicks = store.read("silver", "clickstream", needed)
-        known = set(store.months("silver", "loans"))
-        snapshots = store.spark.createDataFrame([(month,) for month in months if month in known], "snapshot_date date")
+    needed = None if months is None else shifted(store, "clickstream", months, [-lag for lag in S.LAGS])
+    clicks = store.read("silver", "clickstream", needed)
+    ledger = [(month,) for month in store.months("silver", "loans") if months is None or month in months]
+    snapshots = store.spark.createDataFrame(ledger, "snapshot_date date")
     store.write(gold.engagement(clicks, snapshots, feature), "gold", "engagement", months)
 
 

@@ -14,7 +14,8 @@ raw_loans as (
          cast(l_quantity / 2 as varchar) as tenure,
          l_linenumber as installment_num,
          cast(l_extendedprice as float) as loan_amt,
-         cast(l_extendedprice / 10 as float) as due_amt,
+         cast(case l_orderkey % 97 when 0 then 0.0001::double when 1 then 0.0000001::double else l_extendedprice / 10 end as float)
+           as due_amt,
          case when l_tax > 0 then cast(l_extendedprice * l_tax as float) end as paid_amt,
          cast((cast(round(l_discount * 100) as int) % 4) * l_extendedprice * 0.09::double as float) as overdue_amt,
          cast(l_extendedprice * (1 - l_discount) as float) as balance,
@@ -89,15 +90,17 @@ typed_loans as (
          coalesce(loan_amt, 0)::float as loan_amt, coalesce(due_amt, 0)::float as due_amt,
          coalesce(paid_amt, 0)::float as paid_amt, coalesce(overdue_amt, 0)::float as overdue_amt,
          coalesce(balance, 0)::float as balance, snapshot_date,
-         coalesce(cast(ceil(overdue_amt::double / nullif(due_amt::double, 0)) as int), 0) as installments_missed
-  from raw_loans),
+         coalesce(cast(case when owed > 2147483647 then 2147483647 else owed end as int), 0) as installments_missed
+  from (select *, ceil(overdue_amt::double / nullif(due_amt::double, 0)) as owed from raw_loans)),
 dated_loans as (
   select *, installment_num as mob,
-         case when installments_missed > 0 then cast(snapshot_date - to_months(installments_missed) as date) end
-           as first_missed_date
+         case when installments_missed between 1 and 12 * (year(snapshot_date) - 1)
+              then cast(snapshot_date - to_months(installments_missed) as date) end as first_missed_date
   from typed_loans),
 silver_loans as (
-  select *, case when overdue_amt > 0 then cast(date_diff('day', first_missed_date, snapshot_date) as int) else 0 end as dpd
+  select *, case when overdue_amt > 0 and installments_missed > 0
+                 then cast(date_diff('day', coalesce(first_missed_date, date '0001-01-01'), snapshot_date) as int)
+                 when overdue_amt > 0 then null else 0 end as dpd
   from dated_loans)"""
 
 CLAMPED = ",\n         ".join(f"case when fe_{i} < 0 then 0 else fe_{i} end as fe_{i}" for i in range(1, 21))
@@ -268,6 +271,15 @@ LABEL_COUNTS = (
 )
 SCORED_PARTS = [*MODEL_PARTS, *_split("model_table", 12, 3), _scored("splits")]
 
+
+
+def _text(view: str, cell: str) -> str:
+    """The dated rows of a raw view, with one dirty cell as it should read."""
+    return f"""
+text_{view} as (
+  select * replace ({cell}) from raw_{view} where Customer_ID not like '%7')"""
+
+
 ORACLE = {
     "bronze_snapshot_slice": _query([RAW_LOANS], "select * from raw_loans where snapshot_date = date '1998-06-01'"),
     "bronze_counts_by_snapshot": _query(
@@ -283,6 +295,44 @@ ORACLE = {
         ),
     ),
     "csv_ingest": _query([MONTHLY, RAW_FINANCIALS], "select * replace (nullif(Monthly_Inhand_Salary, '') as Monthly_Inhand_Salary) from raw_financials"),
+    "silver_loans_from_text": _query(
+        [
+            RAW_LOANS,
+            _text("loans", "case when Customer_ID not like '%1' then balance end as balance"),
+            SILVER_LOANS.replace("raw_loans", "text_loans"),
+        ],
+        "select * from silver_loans",
+    ),
+    "silver_clickstream_from_text": _query(
+        [
+            MONTHLY,
+            RAW_CLICKS,
+            _text("clicks", "case when Customer_ID not like '%1' then fe_3 end as fe_3"),
+            SILVER_CLICKS.replace("raw_clicks", "text_clicks"),
+        ],
+        "select * from silver_clicks",
+    ),
+    "silver_attributes_from_text": _query(
+        [
+            RAW_ATTRIBUTES,
+            _text("attributes", "case when Customer_ID like '%1' then 'x' when Customer_ID like '%3' then Name || '.7' else Name end as Name"),
+            SILVER_ATTRIBUTES.replace("raw_attributes", "text_attributes"),
+        ],
+        "select * from silver_attributes",
+    ),
+    "bronze_rejected_rows": _query(
+        [MONTHLY, RAW_LOANS, RAW_CLICKS, RAW_ATTRIBUTES, RAW_FINANCIALS],
+        "\nunion all ".join(
+            f"select '{name}' as source_table, count(*) as row_count from raw_{view} where Customer_ID like '%7' "
+            "group by snapshot_date is null"
+            for name, view in [
+                ("loans", "loans"),
+                ("clickstream", "clicks"),
+                ("attributes", "attributes"),
+                ("financials", "financials"),
+            ]
+        ),
+    ),
     "month_calendar": _query(
         [RAW_LOANS],
         """select snapshot_date, count(loan_id) as row_count

@@ -21,6 +21,7 @@ CUT_OFF = "2000-01-01"
 FINAL_INSTALMENT = 7
 AUC_RANGE = ("1996-01-01", "1999-12-31")
 TRAILING_DAYS = 365
+DIRTY_COLUMNS = {"loans": "balance", "clickstream": "fe_3", "attributes": "Name", "financials": "Interest_Rate"}
 
 
 def silver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +51,24 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.snapshot_slices(text.read_source(spark, path))
 
 
+def from_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source written as text with dirty cells and undated rows, and read again."""
+    path = f"{scratch_root(spark)}/{name}_csv"
+    text.write_source(D.as_dirty_text(D.SOURCES[name](spark, sf_dir), DIRTY_COLUMNS[name]), path)
+    return text.read_source(spark, path)
+
+
+def silver_from_text(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return silver.BUILDERS[name](bronze.snapshot_slices(from_text(spark, sf_dir, name)))
+
+    return query
+
+
+def bronze_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze.rejected_counts({name: from_text(spark, sf_dir, name) for name in D.SOURCES})
+
+
 def month_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month between the first and the last snapshot, with its ledger rows."""
     counts = bronze.counts_by_snapshot({"loans": D.raw_loans(spark, sf_dir)})
@@ -172,6 +191,10 @@ QUERIES = {
     "bronze_snapshot_slice": bronze_snapshot_slice,
     "bronze_counts_by_snapshot": bronze_counts_by_snapshot,
     "csv_ingest": csv_ingest,
+    "silver_loans_from_text": silver_from_text("loans"),
+    "silver_clickstream_from_text": silver_from_text("clickstream"),
+    "silver_attributes_from_text": silver_from_text("attributes"),
+    "bronze_rejected_rows": bronze_rejected_rows,
     "month_calendar": month_calendar,
     "silver_loans": loans,
     "silver_dpd_distribution": silver_dpd_distribution,

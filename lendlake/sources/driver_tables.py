@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lendlake.schemas import CLICK_COLUMNS, PAYMENT_BEHAVIOUR_LEVELS
@@ -34,7 +35,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_quantity / 2 as string) as tenure",
         "l_linenumber as installment_num",
         "cast(l_extendedprice as float) as loan_amt",
-        "cast(l_extendedprice / 10 as float) as due_amt",
+        "cast(case l_orderkey % 97 when 0 then 0.0001D when 1 then 0.0000001D else l_extendedprice / 10 end as float) as due_amt",
         "if(l_tax > 0, cast(l_extendedprice * l_tax as float), null) as paid_amt",
         "cast(cast(round(l_discount * 100) as int) % 4 * l_extendedprice * 0.09D as float) as overdue_amt",
         "cast(l_extendedprice * (1 - l_discount) as float) as balance",
@@ -105,6 +106,15 @@ def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_dirty_text(raw: DataFrame, column: str) -> DataFrame:
+    """The source as text: cells of ``column`` that are no number or end in decimals, and snapshot dates in another format."""
+    texts = raw.select([F.col(c).cast("string").alias(c) for c in raw.columns])
+    cell = f"""case when Customer_ID like '%1' then 'x' when Customer_ID like '%3' then concat({column}, if({column} like '%.%', '', '.7'))
+               else {column} end"""
+    day = "if(Customer_ID like '%7', date_format(cast(snapshot_date as date), 'dd/MM/yyyy'), snapshot_date)"
+    return texts.withColumns({column: F.expr(cell), "snapshot_date": F.expr(day)})
+
+
 SOURCES = {
     "loans": raw_loans,
     "clickstream": raw_clickstream,

@@ -11,9 +11,10 @@ from lendlake.schemas import SNAPSHOT
 def read_source(spark: SparkSession, path: str) -> DataFrame:
     """One raw source: columns by header name, text as it stands, a typed snapshot date.
 
-    Only the header is read ahead; there is no inference pass that could change a value.
+    Only the header is read ahead; there is no inference pass that could change a value. Reading fails if a file of the folder
+    has another header. A snapshot date that is no date is NULL; ``bronze.rejected_counts`` counts such rows.
     """
-    raw = spark.read.csv(path, header=True)
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
     return raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
 
 

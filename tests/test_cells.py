@@ -79,6 +79,10 @@ def silver_loan(spark, **change):
         ({"overdue_amt": None}, 0, None, 0, 0),
         ({"overdue_amt": "100"}, 1, "2023-02-01", 28, 0),
         ({"overdue_amt": "100", "snapshot_date": "2023-05-01"}, 1, "2023-04-01", 30, 1),
+        ({"overdue_amt": "100000", "due_amt": "0.0001"}, 1000000026, None, 738579, 1),
+        ({"overdue_amt": "100000", "due_amt": "1e-7"}, 2**31 - 1, None, 738579, 1),
+        ({"overdue_amt": "24264", "due_amt": "1"}, 24264, "0001-03-01", 738520, 1),
+        ({"overdue_amt": "24265", "due_amt": "1"}, 24265, None, 738579, 1),
     ],
 )
 def test_days_past_due(spark, change, missed, first_missed, dpd, label):

@@ -50,6 +50,21 @@ def test_engagement_of_one_customer(spark):
     assert out[date(2023, 4, 1)] == (None, None, 5, None, None, None)
 
 
+def test_engagement_counts_calendar_months(spark):
+    """Mid-month, month-end and undated clicks and snapshots; two snapshots of one month."""
+    days = [date(2023, 1, 31), date(2023, 1, 2), date(2023, 2, 15), date(2023, 4, 30), None]
+    rows = [(c, day, i + 10 * j) for i, c in enumerate(["C1", "C2", None]) for j, day in enumerate(days)]
+    snapshots = [date(2023, 3, 31), date(2023, 3, 1), date(2023, 7, 15), date(2024, 1, 1), None]
+    calendar = spark.createDataFrame([(day,) for day in [*snapshots, snapshots[0]]], "snapshot_date date")
+    out = [tuple(r) for r in gold.engagement(spark.createDataFrame(rows, CLICKS), calendar).collect()]
+    months = [(c, day.replace(day=1), value) for c, day, value in rows if day]
+    expected = {
+        (row[0], day, *row[2:]) for day in snapshots if day for row in brute_engagement(months, [day.replace(day=1)])
+    }
+    assert len(out) == len(expected) == 9
+    assert set(out) == expected
+
+
 def test_engagement_of_another_feature(spark):
     df = spark.createDataFrame([("C1", date(2023, 1, 1), 5)], CLICKS).withColumnRenamed("fe_1", "fe_9")
     assert gold.engagement(df, feature="fe_9").where("click_1m = 5").count() == 1

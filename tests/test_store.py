@@ -45,6 +45,22 @@ def test_backfill_from_text_files(spark, store, tmp_path):
         assert rows(other.read(layer, table)) == rows(store.read(layer, table)), table
 
 
+def test_files_with_another_header_fail(spark, tmp_path):
+    rows = spark.createDataFrame([("Ann", "40", "2023-01-01")], "Name string, Age string, snapshot_date string")
+    rows.write.csv(str(tmp_path), header=True, mode="append")
+    assert text.read_source(spark, str(tmp_path)).count() == 1
+    rows.select("Age", "Name", "snapshot_date").write.csv(str(tmp_path), header=True, mode="append")
+    with pytest.raises(Exception, match="header"):
+        text.read_source(spark, str(tmp_path)).collect()
+
+
+def test_undated_rows_are_counted(spark):
+    dates = spark.createDataFrame([("2023-01-01",), ("01/02/2023",), (None,)], "day string")
+    dates = dates.select(F.col("day").try_cast("date").alias("snapshot_date"))
+    assert [tuple(r) for r in bronze.rejected_counts({"loans": dates, "none": dates.limit(0)}).collect()] == [("loans", 2)]
+    assert bronze.snapshot_slices(dates).count() == 1
+
+
 def test_other_columns_pass_through(spark, tmp_path):
     raw = sources(spark)["attributes"].withColumn("Region", F.lit("north"))
     shuffled = raw.select("Region", *reversed(S.RAW_COLUMNS["attributes"]))
