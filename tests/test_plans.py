@@ -3,7 +3,6 @@
 import re
 from pathlib import Path
 
-import __spark_entry__ as entry
 import pytest
 from lendlake.operators import gold, lookup, silver
 from lendlake.plans import backfill
@@ -22,9 +21,9 @@ def physical(df) -> str:
 NOT_LAZY = {"csv_ingest", "train_and_score", "training_manifest", "store_roundtrip"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - NOT_LAZY))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - NOT_LAZY))
 def test_no_python_and_no_cross_products(spark, name):
-    plan = physical(entry.queries()[name](spark, SF_DIR))
+    plan = physical(Q.QUERIES[name](spark, SF_DIR))
     assert not re.search("Python|Pandas|Cartesian|BroadcastNestedLoop", plan)
 
 
