@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from lendlake import schemas as S
+# Written out here, so that a column missing in the package is missing on one side only.
+MONEY = [
+    "Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt", "Total_EMI_per_month", "Amount_invested_monthly", "Monthly_Balance",
+]
+INTEGERS = [
+    "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment", "Num_Credit_Inquiries",
+    "Interest_Rate",
+]
+RATIOS = ["Changed_Credit_Limit", "Credit_Utilization_Ratio"]
+ENGINEERED = ["Num_Fin_Pdts", "Loans_per_Credit_Item", "Debt_to_Salary", "EMI_to_Salary", "Repayment_Ability", "Loan_Extent"]
+RISKS = [
+    "Credit_History_Age", "Num_Fin_Pdts", "EMI_to_Salary", "Debt_to_Salary", "Repayment_Ability", "Loans_per_Credit_Item",
+    "Loan_Extent", "Outstanding_Debt", "Interest_Rate", "Delay_from_due_date", "Changed_Credit_Limit",
+]
 
 MONTH = "cast(date_trunc('month', {}) as date)"
 
@@ -51,10 +64,10 @@ raw_attributes as (
          cast(date '1995-01-01' + to_months(cast(c_custkey % 84 as int)) as date) as snapshot_date
   from customer)"""
 
-HABITS = " ".join(
-    f"when {i} then '{spent}_spent_{size}_value_payments'"
-    for i, (spent, size) in enumerate((a, b) for a in ("Low", "High") for b in ("Small", "Medium", "Large"))
-)
+HABITS = """
+           when 0 then 'Low_spent_Small_value_payments' when 1 then 'Low_spent_Medium_value_payments'
+           when 2 then 'Low_spent_Large_value_payments' when 3 then 'High_spent_Small_value_payments'
+           when 4 then 'High_spent_Medium_value_payments' when 5 then 'High_spent_Large_value_payments'"""
 RAW_FINANCIALS = f"""
 raw_financials as (
   select concat('CUS_', o_custkey) as Customer_ID,
@@ -143,7 +156,7 @@ def _ratio(name: str) -> str:
 
 
 CLEANED = ",\n         ".join(
-    [_money(c) for c in S.MONEY_COLUMNS] + [_integer(c) for c in S.INTEGER_COLUMNS] + [_ratio(c) for c in S.RATIO_COLUMNS]
+    [_money(c) for c in MONEY] + [_integer(c) for c in INTEGERS] + [_ratio(c) for c in RATIOS]
 )
 SILVER_FINANCIALS = rf"""
 clean_financials as (
@@ -174,7 +187,7 @@ labels_gold as (
   select loan_id, Customer_ID, case when dpd >= 30 then 1 else 0 end as label, '30dpd_6mob' as label_def, snapshot_date
   from silver_loans where mob = 6)"""
 
-LAG_COLUMNS = ", ".join(f"max(case when months_ago = {i} then fe_1 end) as click_{i}m" for i in S.LAGS)
+LAG_COLUMNS = ", ".join(f"max(case when months_ago = {i} then fe_1 end) as click_{i}m" for i in range(1, 7))
 ENGAGEMENT = f"""
 lagged as (
   select Customer_ID, fe_1, months_ago, cast(snapshot_date + to_months(months_ago) as date) as snapshot_date
@@ -186,7 +199,7 @@ engagement as (
 
 RISK = f"""
 risk as (
-  select Customer_ID, snapshot_date, {', '.join(S.RISK_COLUMNS)} from silver_financials)"""
+  select Customer_ID, snapshot_date, {', '.join(RISKS)} from silver_financials)"""
 
 MODEL_TABLE = """
 model_table as (
@@ -346,12 +359,12 @@ left join raw_loans using (snapshot_date) group by 1""",
     ),
     "silver_clickstream_clamp": _query(CLICKS, "select * from silver_clicks"),
     "silver_attributes": _query([RAW_ATTRIBUTES, SILVER_ATTRIBUTES], "select * from silver_attributes"),
-    "silver_fin_money": _fin(S.MONEY_COLUMNS),
-    "silver_fin_integers_capped": _fin(S.INTEGER_COLUMNS),
+    "silver_fin_money": _fin(MONEY),
+    "silver_fin_integers_capped": _fin(INTEGERS),
     "silver_fin_credit_age": _fin(["Credit_History_Age"]),
-    "silver_fin_ratios_clean": _fin(S.RATIO_COLUMNS),
+    "silver_fin_ratios_clean": _fin(RATIOS),
     "silver_fin_encodings": _fin(["Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]),
-    "silver_fin_engineered": _fin(S.ENGINEERED_COLUMNS),
+    "silver_fin_engineered": _fin(ENGINEERED),
     "gold_labels": _query([*LOANS, LABELS], "select * from labels_gold"),
     "gold_engagement": _query([*LOANS, *CLICKS, ENGAGEMENT], "select * from engagement"),
     "gold_risk": _query([*FIN, RISK], "select * from risk"),
@@ -389,4 +402,22 @@ from silver_loans where loan_start_date < date '2000-01-01' and installment_num
 where snapshot_date between (select max(snapshot_date) from scored) - 365 and (select max(snapshot_date) from scored)""",
     ),
     "store_roundtrip": _query([*LOANS, LABELS], LABEL_COUNTS.format("labels_gold")),
+    "backfill_months": _query(MODEL_PARTS, "select * from model_table"),
+    "store_rebuild": _query([*LOANS, LABELS], LABEL_COUNTS.format("labels_gold where snapshot_date >= date '1996-01-01'")),
+    "splits_rebuild": _query([*MODEL_PARTS, *_split("model_table", 6, 3)], "select * from splits"),
+    "model_runs": _query(
+        [*MODEL_PARTS, *_split("model_table", 12, 3)],
+        """select model_name, run_date, split, count(*) as row_count, cast(sum(label) as bigint) as bad_count,
+       true as in_range, true as by_half, cast(1 as bigint) as areas,
+       case when (model_name, split) in (('logistic', 'test'), ('other', 'val')) then count(distinct snapshot_date) else 0 end
+         as monitored_months
+from splits, (values ('logistic', date '2024-12-01'), ('other', date '2025-01-01')) as runs (model_name, run_date)
+where split in ('test', 'val') group by 1, 2, 3""",
+    ),
+    "model_score_equations": _query(
+        [*MODEL_PARTS, *_split("model_table", 12, 3)],
+        """select split, count(*) as row_count, cast(sum(label) as bigint) as bad_count, true as in_range, true as by_half,
+       case when split = 'train' then true end as balanced
+from splits where split in ('train', 'test', 'val') group by 1""",
+    ),
 }

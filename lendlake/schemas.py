@@ -42,7 +42,12 @@ CLICK_COLUMNS = [f"fe_{i}" for i in range(1, 21)]
 # Ordinal codes are positions in these lists.
 CREDIT_MIX_LEVELS = ["Bad", "Standard", "Good"]
 PAYMENT_BEHAVIOUR_LEVELS = [
-    f"{spent}_spent_{size}_value_payments" for spent in ("Low", "High") for size in ("Small", "Medium", "Large")
+    "Low_spent_Small_value_payments",
+    "Low_spent_Medium_value_payments",
+    "Low_spent_Large_value_payments",
+    "High_spent_Small_value_payments",
+    "High_spent_Medium_value_payments",
+    "High_spent_Large_value_payments",
 ]
 
 LAGS = list(range(1, 7))
