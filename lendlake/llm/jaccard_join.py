@@ -38,7 +38,7 @@ PERCENT = 80
 MOST_MATCHES = 8
 TABLE_BITS = 20
 SLICE_BITS = 14
-BATCH_SHINGLES = 4_000_000
+MOST_HELD = 1 << 31
 SIGNATURE = ["n", "s1", "s2"]
 
 
@@ -88,25 +88,26 @@ PROFILE = "doc_id bigint, n bigint, s1 bigint, s2 bigint, slice int, data binary
 def profiles(docs: DataFrame, size: int) -> DataFrame:
     """A row per document with its set's size and signature, and rows that hold slices of the frequency table."""
 
-    def table(held: list[np.ndarray]) -> pa.RecordBatch:
-        counts = np.bincount(np.concatenate(held), minlength=1 << TABLE_BITS).astype(np.uint32).reshape(-1, 1 << SLICE_BITS)
-        none = pa.nulls(len(counts), pa.int64())
-        data = pa.array([row.tobytes() for row in counts], pa.binary())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(counts), dtype=np.int32)), data], names)
+    def table(counts: np.ndarray) -> pa.RecordBatch:
+        parts = counts.astype(np.uint32).reshape(-1, 1 << SLICE_BITS)
+        none = pa.nulls(len(parts), pa.int64())
+        data = pa.array([row.tobytes() for row in parts], pa.binary())
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(parts), dtype=np.int32)), data], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held, total = 0, np.zeros(1 << TABLE_BITS, np.int64)
         for batch in slices(batches):
             rows, hashes, counts = shingles(batch.column("text"), size)
             s1, s2 = signatures(rows, hashes, counts)
             none = [pa.nulls(len(counts), pa.int32()), pa.nulls(len(counts), pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(s1), pa.array(s2), *none], names)
-            held.append((hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
-            if sum(map(len, held)) >= BATCH_SHINGLES:
-                yield table(held)
-                held = []
+            total += np.bincount((hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64), minlength=len(total))
+            held += len(hashes)
+            if held >= MOST_HELD:
+                yield table(total)
+                held, total = 0, np.zeros_like(total)
         if held:
-            yield table(held)
+            yield table(total)
 
     names = [c.split(" ")[0] for c in PROFILE.split(", ")]
     return docs.mapInArrow(run, PROFILE)
