@@ -1,42 +1,47 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-The model is a bigram model over word classes: the FREQUENT most frequent words are classes of their own, all other words
-share one. Bigram counts are quantised to powers of two, and a bigram of level q is put into a Bloom filter q times, with the numbers 1
-to q. A query probes 1, 2, ... until one is missing; the last one found gives the count. The filter's size is bound by the number of
-class pairs, whatever the corpus. The probability of a word after a class is
+The model is a bigram model over words. Every bigram of the training part is counted by the hashes of its words, counts are quantised to
+powers of two, and an n-gram of level q is put into a Bloom filter q times, with the numbers 1 to q. A query probes 1, 2, ... until
+one is missing; the last one found gives the count. The filter has BITS_PER_ENTRY bits or more for each entry, so it grows with the corpus and holds
+all n-grams. The probability of a word after another one is
 
-    p(class | previous) = (count(previous, class) + MU * p(class)) / (count(previous) + MU),   times p(word | class),
+    p(word | previous) = (count(previous, word) + MU * p(word)) / (count(previous) + MU),
 
-with p(class) and p(word | class) from unigram counts with one added to each, so that an unseen bigram falls back to the unigram model.
+with p(word) from unigram counts with one added to each, so that an unseen bigram falls back to the unigram model.
 
-Unigram counts are exact and cover the whole training part: words are counted per batch and summed by their 64-bit hash. Counts of the
-COMMON most frequent words are broadcast; the other words of each document are joined to the counts.
+A filter of at most 2^MOST_BITS bits is broadcast. A larger one is split by a hash of the n-grams into segments of 2^SEGMENT_BITS bits, which
+stay on disk; the n-grams of each document are sent to their segments, and the counts found are sent back.
+
+Unigram counts cover the whole training part: words are counted per batch and summed by their 64-bit hash. Counts of the COMMON most
+frequent words are exact and broadcast; those of all other words are in the filter. ``base_score`` and ``n_known`` are
+exact: the other words of each document are joined to the counts.
 
 A null or empty text is its end token. Rows are scored one by one, so repeated rows and ids get equal scores. The common words
-are those above a count, so words of equal frequency are common together; the frequent ones among them go by count, then hash. Without training rows all counts are zero. Extra columns are dropped; an empty table gives an
-empty table.
+are those above a count, so words of equal frequency are common together. Without training rows all counts are zero. Extra columns are
+dropped; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.llm.words import Words, mix, slices
 from lendlake.sources.scratch import written
 
-FREQUENT = 4_096
 COMMON = 1 << 18
 MU = 200.0
 PROBES = 3
 BITS_PER_ENTRY = 12
 MOST_BITS = 29
+SEGMENT_BITS = 25
 SLICE_BITS = 18
 BUILDERS = 32
 END_HASH = np.uint64(0x0E0D)
@@ -71,7 +76,7 @@ class CountFilter:
         return np.where(levels > 1, 0.75 * 2.0**levels - 0.5, levels)
 
     def cells(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        first = mix(keys.astype(np.uint64) * np.uint64(64) + np.uint64(level))
+        first = mix(keys.astype(np.uint64) ^ mix(np.array([level], np.uint64)))
         step = mix(first) | np.uint64(1)
         for i in range(PROBES):
             yield (first + np.uint64(i) * step) & np.uint64((1 << self.bits) - 1)
@@ -96,29 +101,27 @@ class CountFilter:
         return self.count(levels)
 
 
+def bigrams(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Key of each pair of word hashes."""
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    return ((mix(keys ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)) % np.uint64(segments)).astype(np.int32)
+
+
 @dataclass
 class Model:
-    """What is broadcast: counts of the common words, classes of the frequent ones, and the bigram filter."""
+    """What is broadcast: counts of the common words, and the filter of all other n-grams unless it is in segments."""
 
     total: int
     distinct: int
     common: np.ndarray
     common_counts: np.ndarray
-    classes: np.ndarray
-    class_counts: np.ndarray
     filter: CountFilter | None = None
-
-    @property
-    def rest_total(self) -> float:
-        """Count of the class of all other words, with one added for each and for an unseen one."""
-        return float(self.total - self.class_counts.sum() + self.distinct - len(self.classes) + 1)
-
-    def class_of(self, hashes: np.ndarray) -> np.ndarray:
-        """Class numbers: 1 on for frequent words, 0 for the others."""
-        if not len(self.classes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.classes, hashes), len(self.classes) - 1)
-        return np.where(self.classes[at] == hashes, at + 1, 0)
+    segments: DataFrame | None = None
+    n_segments: int = 0
+    segment_bits: int = SEGMENT_BITS
 
     def common_count(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact counts of common words, and which hashes are not among them."""
@@ -128,31 +131,33 @@ class Model:
         known = self.common[at] == hashes
         return np.where(known, self.common_counts[at], 0), ~known
 
-    def pairs(self, classes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Key of each token's bigram; a text begins after an end."""
-        before = np.empty_like(classes)
-        before[1:] = classes[:-1]
-        before[0] = before[ends[:-1] + 1] = self.class_of(np.array([END_HASH]))[0]
-        return before * (len(self.classes) + 1) + classes
+    def scores(self, hashes: np.ndarray, ends: np.ndarray, lookup: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """log10 probability of each token after the previous one; ``lookup`` gives the counts of different n-grams."""
+        every, before = following_end(hashes, ends)
+        seen, rare = self.common_count(every)
+        pairs = bigrams(every[before], hashes)
+        unique, back = np.unique(np.r_[every[rare], pairs], return_inverse=True)
+        counts = lookup(unique)[back]
+        seen = seen.astype(float)
+        seen[rare] = counts[: len(back) - len(pairs)]
+        smooth = MU * (seen[1:] + 1) / (self.total + self.distinct + 1)
+        return np.log10(np.minimum(1.0, (counts[len(back) - len(pairs) :] + smooth) / (seen[before] + MU)))
 
-    def class_scores(self, classes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log10 probability of each token's class after the previous one."""
-        size = np.r_[self.rest_total, self.class_counts + 1.0]
-        seen = np.r_[self.total - self.class_counts.sum(), self.class_counts].astype(float)
-        keys = self.pairs(classes, ends)
-        unique, back = np.unique(keys, return_inverse=True)
-        together, before = self.filter.lookup(unique), seen[unique // len(size)]
-        smooth = MU * size[unique % len(size)] / (self.total + self.distinct + 1)
-        return np.log10(np.minimum(1.0, (together + smooth) / (np.maximum(before, 0) + MU)))[back]
 
+def following_end(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An end and then all tokens, and where in these each token's previous one is; a text begins after an end."""
+    before = np.arange(len(hashes))
+    before[ends[:-1] + 1] = 0
+    return np.r_[END_HASH, hashes], before
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """hash and count of every token of the texts."""
+
+def summed(docs: DataFrame, keys: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """hash and count of what ``keys`` makes of the tokens; counted per batch, then summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in slices(batches):
-            held.append(tokens(batch.column("text"))[0])
+            held.append(keys(*tokens(batch.column("text"))))
             if sum(map(len, held)) > 4_000_000:
                 yield counted(held)
                 held = []
@@ -166,29 +171,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
-def bigram_counts(docs: DataFrame, shared) -> DataFrame:
-    """Class pair and count; at most (FREQUENT + 1) squared rows."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """hash and count of every token of the texts."""
+    return summed(docs, lambda hashes, ends: hashes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in slices(batches, limit=16 << 20):
-            hashes, ends = tokens(batch.column("text"))
-            values, counts = np.unique(model.pairs(model.class_of(hashes), ends), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["pair", "n"])
 
-    return docs.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+def bigram_counts(docs: DataFrame) -> DataFrame:
+    """hash and count of every pair of tokens that follow each other."""
+
+    def pairs(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        every, before = following_end(hashes, ends)
+        return bigrams(every[before], hashes)
+
+    return summed(docs, pairs)
 
 
-def count_filter(counts: DataFrame) -> CountFilter:
-    """The filter of all rows (pair, n), built in a bounded number of parts that are joined by slice."""
-    entries = counts.agg(F.sum(F.floor(F.log2("n")) + 1)).first()[0] or 1
-    bits = int(np.clip((int(entries) * BITS_PER_ENTRY - 1).bit_length(), SLICE_BITS, MOST_BITS))
+def filter_entries(counts: DataFrame) -> int:
+    return int(counts.agg(F.sum(F.floor(F.log2("n")) + 1)).first()[0] or 1)
+
+
+def count_filter(counts: DataFrame, entries: int) -> CountFilter:
+    """The filter of all rows (hash, n), built in a bounded number of parts that are joined by slice."""
+    bits = max(SLICE_BITS, (entries * BITS_PER_ENTRY - 1).bit_length())
     width = (1 << SLICE_BITS) // 8
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = CountFilter(bits)
         for batch in batches:
-            own.add(batch.column("pair").to_numpy(), batch.column("n").to_numpy())
+            own.add(batch.column("hash").to_numpy(), batch.column("n").to_numpy())
         for i in range(len(own.data) // width):
             part = own.data[i * width : (i + 1) * width]
             if part.any():
@@ -214,47 +224,169 @@ def count_filter(counts: DataFrame) -> CountFilter:
     return result
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Words above the least count, on a logarithmic scale, that at most ``most`` words exceed; all of them if there are no more."""
-    level = F.floor(16 * F.log2("n"))
-    sizes = counts.groupBy(level.alias("level")).count().collect()  # at most a thousand levels
+def runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Value, start and stop of each run of equal values."""
+    bounds = np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
+    for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+        if stop > start:
+            yield int(values[start]), int(start), int(stop)
+
+
+def filter_segments(counts: DataFrame, segments: int, bits: int = SEGMENT_BITS) -> DataFrame:
+    """segment, slice and data of a filter of ``bits`` for each segment of the rows (hash, n)."""
+    width = (1 << min(SLICE_BITS, bits)) // 8
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segment = segment_of(batch.column("hash").to_numpy().view(np.uint64), segments)
+            yield pa.RecordBatch.from_arrays([pa.array(segment), batch.column("hash"), batch.column("n")], ["segment", "hash", "n"])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, own = None, None
+        for batch in batches:
+            keys, n = batch.column("hash").to_numpy(), batch.column("n").to_numpy()
+            for segment, start, stop in runs(batch.column("segment").to_numpy()):
+                if segment != current:
+                    if own is not None:
+                        yield sliced(current, own)
+                    current, own = segment, CountFilter(bits)
+                own.add(keys[start:stop], n[start:stop])
+        if own is not None:
+            yield sliced(current, own)
+
+    def sliced(segment: int, own: CountFilter) -> pa.RecordBatch:
+        parts = [own.data[i : i + width].tobytes() for i in range(0, len(own.data), width)]
+        arrays = [pa.array([segment] * len(parts), pa.int32()), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["segment", "slice", "data"])
+
+    placed = counts.select("hash", "n").mapInArrow(place, "segment int, hash bigint, n bigint")
+    ordered = placed.repartition(segments, "segment").sortWithinPartitions("segment")
+    return ordered.mapInArrow(build, "segment int, slice int, data binary")
+
+
+def answers(probes: DataFrame, filters: DataFrame, segments: int, bits: int = SEGMENT_BITS) -> DataFrame:
+    """row, hash and count of the probes (segment, row, hash) that their segment's filter has."""
+    width = (1 << min(SLICE_BITS, bits)) // 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, own = None, CountFilter(bits)
+        for batch in batches:
+            number, data = batch.column("slice").to_numpy(zero_copy_only=False), batch.column("data")
+            row, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "hash"))
+            for segment, start, stop in runs(batch.column("segment").to_numpy()):
+                if segment != current:
+                    current = segment
+                    own.data[:] = 0
+                while start < stop and data[start].is_valid:
+                    at = int(number[start]) * width
+                    own.data[at : at + width] = np.frombuffer(data[start].as_py(), np.uint8)
+                    start += 1
+                asked = batch.column("hash").slice(start, stop - start).to_numpy(zero_copy_only=False)
+                found = own.lookup(asked) if len(asked) else np.zeros(0)
+                hit = found > 0
+                arrays = [pa.array(row[start:stop][hit].astype(np.int64)), pa.array(asked[hit], pa.int64()), pa.array(found[hit].astype(float))]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "hash", "n"])
+
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("row", "hash")]
+    asked = probes.select("segment", F.lit(None).cast("int").alias("slice"), F.lit(None).cast("binary").alias("data"), "row", "hash")
+    both = filters.select("segment", "slice", "data", *none).unionByName(asked)
+    ordered = both.repartition(segments, "segment").sortWithinPartitions("segment", F.asc_nulls_last("slice"))
+    return ordered.mapInArrow(run, "row bigint, hash bigint, n double")
+
+
+def least_common_level(counts: DataFrame, most: int) -> int | None:
+    """The least level, on a logarithmic scale of counts, such that at most ``most`` words reach it; None if the highest has more."""
+    sizes = counts.groupBy(count_level().alias("level")).count().collect()  # at most a thousand levels
     kept, least = 0, None
     for row in sorted(sizes, key=lambda r: -r["level"]):
         kept += row["count"]
         if kept > most:
             break
         least = row["level"]
-    return counts.where(level >= least) if least is not None else counts.limit(0)
+    return least
+
 
+def count_level() -> Column:
+    return F.floor(16 * F.log2("n"))
 
-def learn(docs: DataFrame, frequent: int = FREQUENT, common: int = COMMON) -> tuple[Model, DataFrame]:
+
+def learn(docs: DataFrame, common: int = COMMON, most_bits: int = MOST_BITS, segment_bits: int = SEGMENT_BITS) -> tuple[Model, DataFrame]:
     """The model of ``docs`` (text) and the table of exact word counts."""
     counts = written(word_counts(docs), "word_counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = most_frequent(counts, common).toPandas().sort_values(["n", "hash"], ascending=[False, True])
+    least = least_common_level(counts, common)
+    is_common = F.lit(False) if least is None else count_level() >= least
+    top = counts.where(is_common).toPandas().sort_values("hash")
     hashes, n = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order, few = np.argsort(hashes), np.argsort(hashes[:frequent])
-    model = Model(total, distinct, hashes[order], n[order], hashes[:frequent][few], n[:frequent][few])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    model.filter = count_filter(written(bigram_counts(docs, shared), "bigram_counts"))
+    order = np.argsort(hashes)
+    model = Model(total, distinct, hashes[order], n[order])
+    grams = written(bigram_counts(docs).unionByName(counts.where(~is_common)), "ngram_counts")
+    entries = filter_entries(grams)
+    if (entries * BITS_PER_ENTRY - 1).bit_length() <= most_bits:
+        model.filter = count_filter(grams, entries)
+    else:
+        model.n_segments = -(-entries * BITS_PER_ENTRY >> segment_bits)
+        model.segment_bits = segment_bits
+        model.segments = written(filter_segments(grams, model.n_segments, segment_bits), "filter")
     return model, counts
 
 
+def routed_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """row and model score of ``docs`` (row, tokens), with the filter in segments."""
+    own, segments = replace(model, segments=None), model.n_segments
+    shared = docs.sparkSession.sparkContext.broadcast(own)
+
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+        return values, np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hashes, stops = flat(batch.column("tokens").slice(i, 1))
+                every, before = following_end(hashes, stops - 1)
+                keys = np.unique(np.r_[every[shared.value.common_count(every)[1]], bigrams(every[before], hashes)])
+                row = np.full(len(keys), batch.column("row")[i].as_py())
+                arrays = [pa.array(segment_of(keys, segments)), pa.array(row), pa.array(keys.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, ["segment", "row", "hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, stops = flat(batch.column("tokens"))
+            keys, _ = flat(batch.column("keys"))
+            n = batch.column("counts").flatten().to_numpy(zero_copy_only=False).astype(float)
+            known, first = np.unique(keys, return_index=True)
+
+            def lookup(asked: np.ndarray, known=known, n=n[first]) -> np.ndarray:
+                if not len(known):
+                    return np.zeros(len(asked))
+                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                return np.where(known[at] == asked, n[at], 0.0)
+
+            each = shared.value.scores(hashes, stops - 1, lookup)
+            sums = np.add.reduceat(each, np.r_[0, stops[:-1]])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sums)], ["row", "model"])
+
+    probes = docs.mapInArrow(ask, "segment int, row bigint, hash bigint")
+    found = answers(probes, model.segments, segments, model.segment_bits).groupBy("row").agg(F.collect_list(F.struct("hash", "n")).alias("found"))
+    both = docs.join(found, "row", "left").select("row", "tokens", F.col("found.hash").alias("keys"), F.col("found.n").alias("counts"))
+    return both.mapInArrow(run, "row bigint, model double")
+
+
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, model double, rare array<bigint>, times array<int>"
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, segments=None))
+    schema = "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, model double, rare array<bigint>, times array<int>, tokens array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = shared.value, TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             hashes, ends = tokens(batch.column("text"))
             firsts = np.r_[0, ends[:-1] + 1]
-            classes = own.class_of(hashes)
             seen, rare = own.common_count(hashes)
             base = np.where(rare, 0.0, np.log10((seen + 1) / (own.total + own.distinct + 1)))
-            within = np.where((classes == 0) & ~rare, np.log10((seen + 1) / own.rest_total), 0.0)
-            total = own.class_scores(classes, ends) + within
+            total = own.scores(hashes, ends, own.filter.lookup) if own.filter else np.zeros(len(hashes))
+            sent = pa.ListArray.from_arrays(pa.array(np.r_[0, ends + 1].astype(np.int32)), pa.array(hashes.view(np.int64)))
             owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[firsts, len(hashes)]))
             at = np.flatnonzero(rare)
             order = np.lexsort((hashes[at], owner[at]))
@@ -270,25 +402,27 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 pa.array(np.add.reduceat(total, firsts)),
                 pa.ListArray.from_arrays(pa.array(lists), pa.array(h[new].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(lists), pa.array(np.diff(np.r_[new, len(h)]).astype(np.int32))),
+                pa.nulls(len(ends), sent.type) if own.filter else sent,
             ]
             row += len(ends)
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "n_tokens", "known", "base", "model", "rare", "times"])
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "n_tokens", "known", "base", "model", "rare", "times", "tokens"])
 
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "scored")
+    if model.filter is None:
+        rows = rows.drop("model").join(routed_scores(rows.select("row", "tokens"), model), "row")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("word")).select("row", F.col("word.rare").alias("hash"), "word.times")
     found = rare.join(counts, "hash", "left").groupBy("row").agg(
         F.sum("times").alias("rare_tokens"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"),
     )
-    both = rows.drop("rare", "times").join(found, "row", "left").fillna(0, ["rare_tokens", "rare_known", "rare_logs"])
+    both = rows.drop("rare", "times", "tokens").join(found, "row", "left").fillna(0, ["rare_tokens", "rare_known", "rare_logs"])
     base = F.col("base") + F.col("rare_logs") - F.col("rare_tokens") * F.log10(F.lit(float(model.total + model.distinct + 1)))
-    full = F.col("model") + F.col("rare_logs") - F.col("rare_tokens") * F.log10(F.lit(model.rest_total))
     return both.select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.col("rare_known")).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        full.alias("score"),
+        F.col("model").alias("score"),
     )
