@@ -10,6 +10,10 @@ the highest quotient target / (2 * seats - 1), ties to the earlier source, so qu
 consecutive blocks) has a quota per source. A source fills its seats with blocks of the first reading in seeded order, then
 of the second, so no word is taken more than twice. Native functions only.
 
+Seats are whole blocks, targets are not: a source fills as many blocks as hold its target, rounded to a word, and of the last one only the
+words that are left are taken. So every source, also one smaller than a block, gets its target; a block beyond the source's seats goes
+to a shard by hash.
+
 Null texts and texts without words have size 0 and nothing is taken of them. Equal rows (source, id, key columns) are counted before
 positions are summed, and each gets its own position. A table without words has targets 0. Other columns are
 not used, whatever their names.
@@ -56,25 +60,34 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
     """Seats: rank, seat (1, 2, ...) and shard; at most ``blocks`` rows and one per source are sorted at once."""
-    words = F.greatest(F.lit(1), F.floor(F.col("total") / blocks)).cast("long")
-    sized = targets.withColumn("block_words", words).withColumn("most_blocks", F.floor(F.col("source_size") * MOST / F.col("block_words")))
+    sized = targets.withColumn("block_words", block_size(blocks)).withColumn("most_blocks", F.floor(F.col("source_size") * MOST / F.col("block_words")))
     tries = sized.where("most_blocks > 0").withColumn("seat", F.explode(F.sequence(F.lit(1), F.col("most_blocks"))))
     order = Window.orderBy(F.desc(F.col("target") / (2 * F.col("seat") - 1)), "rank", "seat")
     seats = F.floor(F.col("total") / F.col("block_words"))
     won = tries.withColumn("house", F.row_number().over(order)).where(F.col("house") <= seats)
     per_shard = F.ceil(seats / shards)
-    return won.select("rank", "seat", "source_size", "block_words", "most_blocks", F.floor((F.col("house") - 1) / per_shard).cast("int").alias("shard"))
+    return won.select("rank", "seat", F.floor((F.col("house") - 1) / per_shard).cast("int").alias("shard"))
+
+
+def block_size(blocks: int) -> Column:
+    return F.greatest(F.lit(1), F.floor(F.col("total") / blocks)).cast("long")
 
 
-def selected_blocks(seats: DataFrame, seed: str = SEED) -> DataFrame:
-    """The block of each seat: rank, block, shard and block_words; block b covers words b * block_words on of two readings."""
-    one = seats.groupBy("rank", "source_size", "block_words", "most_blocks").agg(F.count(F.lit(1)).alias("quota"))
-    all_blocks = one.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("most_blocks") - 1)))
-    reading = (F.col("block") * F.col("block_words") >= F.col("source_size")).cast("int")
+def selected_blocks(seats: DataFrame, targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
+    """rank, block, shard and words taken; block b begins at word b * block_words of two readings."""
+    sized = targets.where("source_size > 0").withColumn("block_words", block_size(blocks)).withColumn("wanted", F.round("target").cast("long"))
+    begin, most = F.col("block") * F.col("block_words"), F.col("source_size") * MOST
+    all_blocks = sized.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(most / F.col("block_words")) - 1)))
+    # A block that the end of the second reading cuts comes last, where no more than its words can be left.
+    partial = (begin + F.col("block_words") > most).cast("int")
+    reading = (begin >= F.col("source_size")).cast("int")
     drawn = F.md5(F.concat_ws(":", F.lit(seed), F.col("rank"), F.col("block")).cast("binary"))
-    order = Window.partitionBy("rank").orderBy(reading, drawn, "block")
-    numbered = all_blocks.withColumn("seat", F.row_number().over(order)).where("seat <= quota")
-    return numbered.join(seats.select("rank", "seat", "shard"), ["rank", "seat"]).select("rank", "block", "shard", "block_words")
+    order = Window.partitionBy("rank").orderBy(partial, reading, drawn, "block")
+    numbered = all_blocks.withColumn("seat", F.row_number().over(order))
+    numbered = numbered.withColumn("words", F.least("block_words", F.col("wanted") - (F.col("seat") - 1) * F.col("block_words"))).where("words > 0")
+    dealt = numbered.join(seats.select("rank", "seat", "shard"), ["rank", "seat"], "left")
+    spare = F.pmod(F.xxhash64(F.lit(seed), "rank", "seat"), F.lit(shards)).cast("int")
+    return dealt.select("rank", "block", F.coalesce("shard", spare).alias("shard"), F.col("words").alias("block_taken"))
 
 
 def mix(rows: DataFrame, keys: list[str], blocks: int = BLOCKS, seed: str = SEED) -> DataFrame:
@@ -87,7 +100,7 @@ def mix(rows: DataFrame, keys: list[str], blocks: int = BLOCKS, seed: str = SEED
     counted = written(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")), "sized")
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     targets = written(source_targets(sizes), "targets")
-    chosen = selected_blocks(quotas(targets, blocks), seed)
+    chosen = selected_blocks(quotas(targets, blocks), targets, blocks, seed=seed)
 
     ranked = counted.join(targets.select(F.col("source").alias("__source"), "rank", "source_size", "target", "total"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     drawn = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
@@ -97,16 +110,15 @@ def mix(rows: DataFrame, keys: list[str], blocks: int = BLOCKS, seed: str = SEED
     each = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
     each = each.withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
 
-    words = F.greatest(F.lit(1), F.floor(F.col("total") / blocks)).cast("long")
-    readings = each.withColumn("block_words", words).drop("total").withColumn("reading", F.explode(F.array(F.lit(0), F.lit(1))))
+    readings = each.withColumn("block_words", block_size(blocks)).drop("total").withColumn("reading", F.explode(F.array(F.lit(0), F.lit(1))))
     readings = readings.withColumn("begin", F.col("start") + F.col("reading") * F.col("source_size")).withColumn("end", F.col("begin") + F.col("size"))
     spanned = F.sequence(F.floor(F.col("begin") / F.col("block_words")), F.floor((F.col("end") - 1) / F.col("block_words")))
     parts = readings.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, spanned)))
-    found = parts.join(chosen.select("rank", "block", "shard"), ["rank", "block"], "left")
+    found = parts.join(chosen, ["rank", "block"], "left")
     first = F.greatest(F.col("begin"), F.col("block") * F.col("block_words"))
-    last = F.least(F.col("end"), (F.col("block") + 1) * F.col("block_words"))
+    last = F.least(F.col("end"), F.col("block") * F.col("block_words") + F.col("block_taken"))
     span = F.struct("reading", (first - F.col("begin")).alias("first"), (last - first).alias("words"), "shard")
-    found = found.withColumn("span", F.when(F.col("shard").isNotNull(), span))
+    found = found.withColumn("span", F.when(F.col("shard").isNotNull() & (last > first), span))
     taken = F.coalesce(F.sum("span.words"), F.lit(0)).alias("taken")
     return found.groupBy(*columns, "copy", "start", "source_size", "target").agg(taken, F.sort_array(F.collect_list("span")).alias("spans"))
 
