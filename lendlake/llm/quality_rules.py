@@ -6,9 +6,11 @@ scatter of the CORE share of rows with the least Mahalanobis distance, found by
 whose squared distance exceeds the 0.9999 quantile of chi-square is rejected.
 
 The statistics are rates shrunk by PRIOR_WORDS words, so that a short text needs more evidence: log mean word length, and the square roots of symbols,
-repeated lines and words in repeated windows per word. TOLERANCE is added to each scatter as the deviation that is
-acceptable in any case (most clean groups have no symbols at all, hence no scatter). Estimates of a group are shrunk towards those of
-its language by PRIOR_ROWS rows, so a small group behaves like its language.
+repeated lines and words in repeated windows per word. The sampling error that texts of the group's lengths have is added to
+each scatter, as most clean groups have no symbols at all, hence no scatter: the square root of a count has a variance of 1/4 whatever the count, a
+repeated window counts WINDOW words, and word lengths deviate by half their mean. It falls with the length of the texts, so
+the scatter decides. Estimates of a group are shrunk towards those of its language by PRIOR_ROWS rows, so a small group behaves like
+its language.
 
 All estimates cover every row. A step is one pass of aggregates over the written statistics: distances go into fine
 logarithmic bins, whose counts give the core's bound per group, and moments are summed; no group is collected.
@@ -38,7 +40,9 @@ CORE = 0.75
 STEPS = 4
 BINS = 32
 FEATURES = ["word_length", "symbols", "lines", "repeats"]
-TOLERANCE = [0.05, 0.08, 0.1, 0.15]
+START = [0.05, 0.08, 0.1, 0.15]
+# Variance of each statistic times words, from counting alone.
+SAMPLING = [0.25, 0.25, 0.25, WINDOW / 4]
 # Fixed values for four degrees of freedom: the 0.9999 quantile of chi-square, and CORE over the distribution function of
 # six degrees of freedom at the CORE quantile of four, which makes the core's scatter consistent.
 CUT = 23.513
@@ -107,6 +111,7 @@ def with_features(counts: DataFrame) -> DataFrame:
         F.sqrt(F.col("n_symbols") / words).alias("symbols"),
         F.sqrt(F.col("n_dup_lines") / words).alias("lines"),
         F.sqrt(F.col("n_repeat_words") / words).alias("repeats"),
+        (1 / words).alias("noise"),
     )
 
 
@@ -121,17 +126,17 @@ def squared_distance(center: str, inverse: str) -> Column:
 
 
 def moments(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows, sums and sums of products of each group."""
+    """Rows, sums, sums of products and the sum of ``noise`` of each group."""
     sums = [F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)]
     products = [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"p{i}{j}") for i, j in PAIRS]
-    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), *sums, *products)
+    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.sum("noise").alias("noise"), *sums, *products)
 
 
 ESTIMATE = "center array<double>, scatter array<double>, inverse array<double>"
 
 
 def estimates(summed: DataFrame, groups: list[str]) -> DataFrame:
-    """Location, scatter and the inverse of scatter plus tolerance, from moments; a row per group.
+    """Location, scatter and the inverse of scatter plus sampling error, from moments; a row per group.
 
     With columns prior_center and prior_scatter, these count as PRIOR_ROWS further rows.
     """
@@ -155,7 +160,7 @@ def estimates(summed: DataFrame, groups: list[str]) -> DataFrame:
                         prior[i, j] = prior[j, i] = row["prior_scatter"][k]
                     center = weight * center + (1 - weight) * np.asarray(row["prior_center"])
                     scatter = weight * scatter + (1 - weight) * prior
-                inverse = np.linalg.inv(scatter + np.diag(np.square(TOLERANCE)))
+                inverse = np.linalg.inv(scatter + np.diag(SAMPLING) * row["noise"] / n)
                 made["center"].append(center.tolist())
                 made["scatter"].append([scatter[i, j] for i, j in PAIRS])
                 made["inverse"].append([inverse[i, j] for i, j in PAIRS])
@@ -195,9 +200,9 @@ def concentrate(rows: DataFrame, estimate: DataFrame, groups: list[str], priors:
 
 
 def start(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Medians as centers and the tolerance, widened tenfold, as scatter."""
+    """Medians as centers and START, widened tenfold, as scatter; the first step replaces both."""
     medians = rows.groupBy(*groups).agg(F.array(*[F.round(F.percentile_approx(f, 0.5), 2) for f in FEATURES]).alias("center"))
-    flat = [100 * TOLERANCE[i] ** 2 if i == j else 0.0 for i, j in PAIRS]
+    flat = [100 * START[i] ** 2 if i == j else 0.0 for i, j in PAIRS]
     back = [1 / v if v else 0.0 for v in flat]
     return medians.select(*groups, "center", F.array(*map(F.lit, flat)).alias("scatter"), F.array(*map(F.lit, back)).alias("inverse"))
 
