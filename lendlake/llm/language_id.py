@@ -6,7 +6,8 @@ their number. A text's hits per language are counted from the masks, corrected f
 by the share of n-grams that the filter covers in its own language; the largest share decides.
 
 Learning takes about SAMPLE documents of each language, chosen by a hash of the id (a documented bound; prediction covers every text
-whole), and at most MOST_NGRAMS n-grams of each language, which bounds what is broadcast.
+whole), and at most MOST_NGRAMS n-grams of each language, the most frequent first, which bounds what is broadcast. There is no least
+count, so a language with a single short document has a filter too.
 
 A null text, or one without a letter, is ``und`` with score 0. A text with letters but no known n-gram gets the most
 frequent learned language with score 0; ties go to the more frequent language, then to the first by code point. Without any labelled
@@ -30,7 +31,6 @@ from lendlake.llm.words import mix, slices
 
 SAMPLE = 2_000
 MOST_NGRAMS = 16_384
-MIN_COUNT = 3
 CONTRAST = 1.5
 PROBES = 3
 BITS_PER_NGRAM = 16
@@ -138,7 +138,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     rated = summed.join(F.broadcast(totals), "language").withColumn("rate", F.col("n") / F.col("total"))
     same = Window.partitionBy("key")
     others = (F.sum("rate").over(same) - F.col("rate")) / max(1, len(languages) - 1)
-    usual = rated.withColumn("others", others).where((F.col("rate") >= CONTRAST * F.col("others")) & (F.col("n") >= MIN_COUNT))
+    usual = rated.withColumn("others", others).where(F.col("rate") >= CONTRAST * F.col("others"))
     order = Window.partitionBy("language").orderBy(F.desc("n"), "key")
     kept = usual.withColumn("place", F.row_number().over(order)).where(F.col("place") <= MOST_NGRAMS)
     rows = kept.select("language", "key", "rate").toPandas()  # at most MOST_NGRAMS a language
