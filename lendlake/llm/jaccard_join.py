@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lendlake.llm.components import connected
 from lendlake.llm.sketch import bit_map
-from lendlake.llm.words import Words, mix, slices
+from lendlake.llm.words import PATTERN, Words, mix, slices
 from lendlake.sources.scratch import written
 
 WORDS = 5
@@ -323,10 +323,17 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, the one with the smallest id.
+    """``docs`` with one document of each group of near duplicates, the one with the smallest id; a missing id comes last.
 
-    Rows without an id stay; of rows with the kept id and the same text one stays.
+    Rows are told apart by id and text, so that repeated and missing ids count like others; of rows with the same id and text one stays.
+    Rows with neither an id nor a word stay.
     """
-    kept = written(components(docs, words, percent).where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    named = docs.where("doc_id is not null").join(kept, "doc_id").select(*docs.columns)
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    unnamed = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
+    keyed = docs.where(~unnamed).withColumn("__key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    found = components(keyed.select(F.col("__key").alias("doc_id"), "text"), words, percent)
+    ids = keyed.select("__key", F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    placed = ids.join(found.select(F.col("doc_id").alias("__key"), "component_id").distinct(), "__key")
+    least = placed.groupBy("component_id").agg(F.min(F.struct("none", "id", "__key")).alias("least"))
+    kept = written(least.select("least.__key"), "kept")
+    named = keyed.join(kept, "__key").dropDuplicates(["__key"]).select(*docs.columns)
+    return named.unionByName(docs.where(unnamed))
