@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import hamming_search, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sharding, substring_dedup, token_counts
+from lendlake.llm import (
+    hamming_search,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    spelling,
+    substring_dedup,
+    token_counts,
+)
+from lendlake.llm.oracle import ORACLE
 from lendlake.llm.shipping import ship
 
 SHARDS = 40
@@ -75,6 +90,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components as whole 256ths; the label of every seventh id is moved on by one."""
+    ship(spark)
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    number = F.transform("embedding", lambda x: x.cast("double") * 256)
+    whole = F.forall(number, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("embedding", F.when(whole, number))
+    rows = table.select(F.col("vec_id").alias("id"), moved.alias("label"), F.transform("embedding", lambda x: F.floor(x)).alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir).select("doc_id", "text"), misspell_every=31)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -86,5 +120,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
