@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lendlake.schemas import SNAPSHOT
+
 ROWS_PER_SLICE = 1_000_000
 SLICE = "_slice"
 
@@ -29,6 +31,12 @@ def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return hashed.withColumn("_place", F.row_number().over(by_hash)).where("_place = 1").select(*df.columns)
 
 
+def repeated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows of each snapshot ``one_row_per_key`` leaves out; only the key columns are read, and copies are added up before the shuffle."""
+    left_out = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_more")).where("_more > 0")
+    return left_out.groupBy(SNAPSHOT).agg(F.sum("_more").alias("repeated_rows"))
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Keys that hold more than ``rows_per_slice`` rows, with the slices they need."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_slice)

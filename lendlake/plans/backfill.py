@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake import schemas as S
 from lendlake.functions.dates import shift_months
 from lendlake.operators import gold, silver
 from lendlake.operators.bronze import snapshot_slices
+from lendlake.operators.lookup import repeated_rows
 from lendlake.operators.splits import assign_splits, month_ranks
 from lendlake.sources.store import Store
 
@@ -27,11 +28,24 @@ def other_columns(sources: dict[str, DataFrame]) -> dict[str, list[str]]:
 
 
 def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = None) -> None:
-    """Raw rows by snapshot; each source is read once for all months."""
+    """Raw rows by snapshot; each source is read once for all months, and its rows and undated rows are counted on the way."""
     for name, df in sources.items():
         columns = [*S.RAW_COLUMNS[name], *store.other_columns.get(name, [])]
         as_text = df.select(*[F.col(c).cast("date" if c == S.SNAPSHOT else "string").alias(c) for c in columns])
-        store.write(snapshot_slices(as_text, months), "bronze", name, months)
+        day, seen = F.col(S.SNAPSHOT), Observation()
+        of_run = as_text if months is None else as_text.where(day.isin(months) | day.isNull())
+        numbers = [F.count(F.lit(1)).alias("rows_in"), F.count_if(day.isNull()).alias("undated")]
+        store.write(snapshot_slices(of_run.observe(seen, *numbers), months), "bronze", name, months, observed=[seen])
+        if "rows_in" not in store.counts["bronze", name]:  # no row was written
+            store.counts["bronze", name].update(of_run.agg(*numbers).first().asDict())
+
+
+def build_rejects(store: Store, rejects: dict[str, DataFrame]) -> None:
+    """Lines of each source that are no rows, as ``text.rejected_lines`` gives them; a source's lines are replaced as a whole."""
+    for name, lines in rejects.items():
+        named = lines.select(F.lit(name).alias("source_table"), "file", "reason", "line")
+        own = [f"source_table={name}"]
+        store.write(named, "bronze", "rejected_lines", partition_by=("source_table",), own=own)
 
 
 def build_silver(store: Store, months: Months = None) -> None:
@@ -68,6 +82,8 @@ def build_engagement(store: Store, months: Months = None, feature: str = "fe_1")
 def build_risk(store: Store, months: Months = None) -> None:
     risk = gold.risk_features(store.read("silver", "financials", months))
     store.write(risk, "gold", "risk", months, aligned=True)
+    repeated = repeated_rows(store.read("gold", "risk", months), S.KEY).agg(F.sum("repeated_rows")).first()[0]
+    store.counts["gold", "risk"]["repeated_rows"] = repeated or 0
 
 
 def build_gold(store: Store, months: Months = None, dpd: int = 30, mob: int = 6) -> None:
@@ -121,4 +137,5 @@ def backfill(
     build_silver(store, months)
     build_gold(store, months, dpd, mob)
     build_model_table(store, None if months is None else sorted({*months, *fed_snapshots(store, months)}))
+    store.write_counts()
     return store

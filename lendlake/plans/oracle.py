@@ -293,6 +293,26 @@ text_{view} as (
   select * replace ({cell}) from raw_{view} where Customer_ID not like '%7')"""
 
 
+SOURCE_VIEWS = [("loans", "loans"), ("clickstream", "clicks"), ("attributes", "attributes"), ("financials", "financials")]
+NONE = "cast(null as bigint)"
+RUN_COUNTS = "\nunion all ".join(
+    [
+        f"""select 'bronze' as layer, '{name}' as table_name, count(*) as rows_in, count(*) filter (Customer_ID like '%7') as undated,
+       {NONE} as repeated_rows, count(*) filter (Customer_ID not like '%7') as rows_out
+from {'twice' if view == 'financials' else 'raw_' + view}"""
+        for name, view in SOURCE_VIEWS
+    ]
+    + [
+        f"select 'silver', '{name}', {NONE}, {NONE}, {NONE}, count(*) from {'twice' if view == 'financials' else 'raw_' + view} where Customer_ID not like '%7'"
+        for name, view in SOURCE_VIEWS
+    ]
+    + [
+        f"select 'gold', 'risk', {NONE}, {NONE}, count(*) filter (Customer_ID like '%5') // 2, count(*) from twice where Customer_ID not like '%7'",
+        f"select 'gold', 'engagement', {NONE}, {NONE}, {NONE}, count(*) from engagement",
+        *[f"select 'gold', '{name}', {NONE}, {NONE}, {NONE}, count(*) from labels_gold" for name in ("label_store", "model_table")],
+    ]
+)
+
 ORACLE = {
     "bronze_snapshot_slice": _query([RAW_LOANS], "select * from raw_loans where snapshot_date = date '1998-06-01'"),
     "bronze_counts_by_snapshot": _query(
@@ -333,6 +353,54 @@ ORACLE = {
         ],
         "select * from silver_attributes",
     ),
+    "silver_financials_from_text": _query(
+        [
+            MONTHLY,
+            RAW_FINANCIALS,
+            _text(
+                "financials",
+                "case when Customer_ID like '%1' then 'x' when Customer_ID like '%3' then Interest_Rate || '.7' else Interest_Rate end as Interest_Rate",
+            ),
+            SILVER_FINANCIALS.replace("raw_financials", "text_financials"),
+        ],
+        "select * from silver_financials",
+    ),
+    "bronze_rejected_lines": _query(
+        [MONTHLY, RAW_LOANS, RAW_CLICKS, RAW_ATTRIBUTES, RAW_FINANCIALS],
+        "\nunion all ".join(
+            f"""select '{name}' as source_table, case right(Customer_ID, 1) when '2' then 'too many cells' when '4' then 'too few cells'
+         when '6' then 'unclosed quote' else 'read' end as reason, count(*) as row_count from raw_{view} group by 2"""
+            for name, view in SOURCE_VIEWS
+        ),
+    ),
+    "csv_three_headers": _query(
+        [
+            MONTHLY,
+            RAW_FINANCIALS,
+            """
+numbered as (
+  select * replace (nullif(Monthly_Inhand_Salary, '') as Monthly_Inhand_Salary), cast(regexp_extract(Customer_ID, '[0-9]+$') as int) % 3 as part
+  from raw_financials)""",
+        ],
+        """select * exclude (part) from numbered where part = 1
+union all by name select * exclude (part, Credit_Mix, Interest_Rate, Monthly_Balance) from numbered where part = 2
+union all by name select * exclude (part), 'B, ' || Num_of_Loan as Branch from numbered where part = 0""",
+    ),
+    "run_counts": _query(
+        [
+            *MODEL_PARTS[:4],
+            RAW_ATTRIBUTES,
+            *[f"""
+known_{view} as (select * from raw_{view} where Customer_ID not like '%7')""" for view in ("loans", "clicks", "attributes", "financials")],
+            *[part.replace("raw_", "known_") for part in (SILVER_LOANS, SILVER_CLICKS)],
+            LABELS,
+            ENGAGEMENT,
+            """
+twice as (select Customer_ID from raw_financials union all select Customer_ID from raw_financials where Customer_ID like '%5')""",
+        ],
+        RUN_COUNTS,
+    ),
+    "attributes_store": _query([RAW_ATTRIBUTES, SILVER_ATTRIBUTES], "select * from silver_attributes"),
     "bronze_rejected_rows": _query(
         [MONTHLY, RAW_LOANS, RAW_CLICKS, RAW_ATTRIBUTES, RAW_FINANCIALS],
         "\nunion all ".join(

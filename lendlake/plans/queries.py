@@ -69,6 +69,61 @@ def bronze_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.rejected_counts({name: from_text(spark, sf_dir, name) for name in D.SOURCES})
 
 
+def lines_of(raw: DataFrame) -> DataFrame:
+    """Each row as a line of text; some lines get a cell too many, lose their last cell, or end in a cell whose quote is never closed."""
+    cells = raw.select([F.col(c).cast("string").alias(c) for c in raw.columns])
+    line = F.to_csv(F.struct(*cells.columns), {"emptyValue": "", "nullValue": ""})
+    end = {"2": F.concat(line, F.lit(",surplus")), "4": F.regexp_replace(line, ",[^,]*$", ""), "6": F.concat(F.regexp_replace(line, ",([^,]*)$", ',"$1'))}
+    out = line
+    for digit, text_of in end.items():
+        out = F.when(F.col("Customer_ID").endswith(digit), text_of).otherwise(out)
+    return cells.select(out.alias("line"))
+
+
+def bronze_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each source that are no rows, by reason, from the store; and the rows that were read."""
+    store, root = Store(spark, scratch_root(spark)), scratch_root(spark)
+    for name, source in D.SOURCES.items():
+        raw = source(spark, sf_dir)
+        text.write_lines(lines_of(raw), ",".join(raw.columns), f"{root}/{name}")
+    backfill.build_rejects(store, {name: text.rejected_lines(spark, f"{root}/{name}") for name in D.SOURCES})
+    lines = store.read("bronze", "rejected_lines").groupBy("source_table", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+    for name in D.SOURCES:
+        read = text.read_source(spark, f"{root}/{name}").agg(F.count(F.lit(1)).alias("row_count"))
+        lines = lines.unionByName(read.select(F.lit(name).alias("source_table"), F.lit("read").alias("reason"), "row_count"))
+    return lines
+
+
+def csv_three_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files name the columns in another order, lack some, or have one more; rows are united by name."""
+    path = f"{scratch_root(spark)}/financials_csv"
+    raw = D.raw_financials(spark, sf_dir).select(*S.RAW_COLUMNS["financials"])
+    part = F.regexp_extract("Customer_ID", "([0-9]+)$", 1).cast("int") % 3
+    backwards = raw.where(part == 1).select(*reversed(raw.columns))
+    fewer = raw.where(part == 2).drop("Credit_Mix", "Interest_Rate", "Monthly_Balance")
+    more = raw.where(part == 0).withColumn("Branch", F.concat(F.lit("B, "), F.col("Num_of_Loan")))
+    for df in (backwards, fewer, more):
+        text.write_source(df, path, "append")
+    return text.read_source(spark, path)
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a backfill counts on its way, from dirty text with undated rows and financial rows that stand there twice."""
+    sources = {name: from_text(spark, sf_dir, name) for name in D.SOURCES}
+    twice = sources["financials"].where(F.col("Customer_ID").endswith("5"))
+    sources["financials"] = sources["financials"].unionByName(twice)
+    return backfill.backfill(spark, scratch_root(spark), sources).read("meta", "run_counts")
+
+
+def attributes_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes through the bronze and silver writes; one month is built a second time."""
+    store, name = Store(spark, scratch_root(spark)), "attributes"
+    for months in (None, [date.fromisoformat(SLICE_DATE)]):
+        backfill.build_bronze(store, {name: D.raw_attributes(spark, sf_dir)}, months)
+        store.write(silver.silver_attributes(store.read("bronze", name, months)), "silver", name, months, aligned=True)
+    return store.read("silver", name)
+
+
 def month_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month between the first and the last snapshot, with its ledger rows."""
     counts = bronze.counts_by_snapshot({"loans": D.raw_loans(spark, sf_dir)})
@@ -194,7 +249,12 @@ QUERIES = {
     "silver_loans_from_text": silver_from_text("loans"),
     "silver_clickstream_from_text": silver_from_text("clickstream"),
     "silver_attributes_from_text": silver_from_text("attributes"),
+    "silver_financials_from_text": silver_from_text("financials"),
     "bronze_rejected_rows": bronze_rejected_rows,
+    "bronze_rejected_lines": bronze_rejected_lines,
+    "csv_three_headers": csv_three_headers,
+    "run_counts": run_counts,
+    "attributes_store": attributes_store,
     "month_calendar": month_calendar,
     "silver_loans": loans,
     "silver_dpd_distribution": silver_dpd_distribution,

@@ -175,6 +175,10 @@ TABLES = {
     ("gold", "model_manifest"): (
         "model_name string, model_dir string, run_date date, split string, auc double, preds_path string"
     ),
+    ("bronze", "rejected_lines"): "source_table string, file string, reason string, line string",
+    ("meta", "run_counts"): (
+        "layer string, table_name string, rows_in bigint, undated bigint, repeated_rows bigint, rows_out bigint"
+    ),
     ("gold", "monitoring"): (
         "snapshot_date date, test_auc double, model_name string, run_date date, split string, start_date date, end_date date"
     ),

@@ -1,23 +1,110 @@
-"""Raw sources as delimited text with a header."""
+"""Raw sources as delimited text with a header line in every file.
+
+The files of a source may differ in their columns and in the order of these: files with the same header are read together, and their
+rows are united by column name, with NULL where a file does not have a column. Nothing is inferred, so no value changes.
+
+A line is rejected if it does not have the cells that the header of its file names. Rejected lines are no rows; ``rejected_lines`` gives
+them as they stand, with the reason. Lines are records: a cell holds no line break. Blank lines and repeated header lines are
+nothing at all.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.schemas import SNAPSHOT
 
+TOO_MANY, TOO_FEW, UNCLOSED, UNREADABLE = "too many cells", "too few cells", "unclosed quote", "unreadable"
+# A cell in quotes, with the separator before it; quotes within are doubled or follow a backslash.
+QUOTED = r'(^|,)[ \t]*"(?:[^"\\]|\\.|"")*"'
+OPEN_QUOTE = r'(^|,)[ \t]*"'
+REJECTED = "_rejected_line"
+
+
+def _line(text: Column) -> Column:
+    """Without the end of line of other systems and a byte order mark."""
+    return F.regexp_replace(text, "^\ufeff|\r$", "")
+
+
+def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file, place (lines of a file in order) and line."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    return lines.select("file", "block", F.monotonically_increasing_id().alias("place"), _line(F.col("value")).alias("line"))
+
+
+def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of each header. One pass over the text, of which a row per file is kept; the driver holds the list of files anyway."""
+    first = read_lines(spark, path).where("block = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("header", "file").toLocalIterator():
+        found.setdefault(row["header"], []).append(row["file"])
+    return found
+
+
+def column_names(header: str) -> list[str]:
+    names = [name.strip() for name in next(csv.reader([header]))]
+    if len({name.lower() for name in names}) < len(names) or not all(names):
+        raise ValueError(f"a header names a column twice or not at all: {header}")
+    return names
+
+
+def reason(line: Column, cells: int, unread: Column) -> Column:
+    """Why a line is no row of ``cells`` cells, NULL if it is one."""
+    rest = F.regexp_replace(line, QUOTED, "$1")
+    found = F.length(rest) - F.length(F.replace(rest, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(F.regexp_like(rest, F.lit(OPEN_QUOTE)), UNCLOSED)
+        .when(found > cells, TOO_MANY)
+        .when(found < cells, TOO_FEW)
+        .when(unread.isNotNull(), UNREADABLE)
+    )
+
+
+def parsed(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+    """For each header its columns, and the lines of its files: file, line, reason, and the cells in ``row``."""
+    out = []
+    for header, files in file_headers(spark, path).items():
+        names = column_names(header)
+        schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, REJECTED])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+        lines = read_lines(spark, files).where((F.trim("line") != "") & (F.col("line") != header))
+        cells = lines.withColumn("row", F.from_csv("line", F.lit(schema), options))
+        out.append((names, cells.select("file", "line", reason(F.col("line"), len(names), F.col(f"row.{REJECTED}")).alias("reason"), "row")))
+    return out
+
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """One raw source: columns by header name, text as it stands, a typed snapshot date.
+    """One raw source: the columns of all headers, text as it stands, a typed snapshot date.
 
-    Only the header is read ahead; there is no inference pass that could change a value. Reading fails if a file of the folder
-    has another header. A snapshot date that is no date is NULL; ``bronze.rejected_counts`` counts such rows.
+    A snapshot date that is no date is NULL; ``bronze.rejected_counts`` counts such rows. A folder without any line has
+    no columns but that date.
     """
-    raw = spark.read.csv(path, header=True, enforceSchema=False)
-    return raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
+    parts = [rows.where("reason is null").select(*[F.col(f"row.`{n}`").alias(n) for n in names]) for names, rows in parsed(spark, path)]
+    united = parts[0] if parts else spark.createDataFrame([], f"{SNAPSHOT} string")
+    for part in parts[1:]:
+        united = united.unionByName(part, allowMissingColumns=True)
+    if SNAPSHOT not in united.columns:
+        united = united.withColumn(SNAPSHOT, F.lit(None).cast("string"))
+    return united.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, reason and line of every line that is no row."""
+    united = spark.createDataFrame([], "file string, reason string, line string")
+    for _, rows in parsed(spark, path):
+        united = united.unionByName(rows.where("reason is not null").select("file", "reason", "line"))
+    return united
 
 
-def write_source(df: DataFrame, path: str) -> None:
+def write_source(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Text copy of a source; an empty string reads back as a missing value."""
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode(mode).csv(path, header=True)
+
+
+def write_lines(lines: DataFrame, header: str, path: str, mode: str = "overwrite") -> None:
+    """The one text column of ``lines`` as it stands, below a header line in every file."""
+    plain = {"header": True, "quote": "", "sep": "\x01", "escapeQuotes": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.toDF(header).write.mode(mode).options(**plain).csv(path)

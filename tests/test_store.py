@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from lendlake import schemas as S
 from lendlake.functions.dates import month_list
-from lendlake.operators import bronze, metrics, silver, splits
+from lendlake.operators import bronze, lookup, metrics, silver, splits
 from lendlake.plans import backfill, modelling, monitoring
 from lendlake.plans.queries import assigned, model_table
 from lendlake.sources import driver_tables, text
@@ -45,13 +45,98 @@ def test_backfill_from_text_files(spark, store, tmp_path):
         assert rows(other.read(layer, table)) == rows(store.read(layer, table)), table
 
 
-def test_files_with_another_header_fail(spark, tmp_path):
+def test_files_with_other_headers_are_united_by_name(spark, tmp_path):
     rows = spark.createDataFrame([("Ann", "40", "2023-01-01")], "Name string, Age string, snapshot_date string")
-    rows.write.csv(str(tmp_path), header=True, mode="append")
-    assert text.read_source(spark, str(tmp_path)).count() == 1
-    rows.select("Age", "Name", "snapshot_date").write.csv(str(tmp_path), header=True, mode="append")
-    with pytest.raises(Exception, match="header"):
-        text.read_source(spark, str(tmp_path)).collect()
+    for df in (rows, rows.select("Age", "Name", "snapshot_date"), rows.drop("Age").withColumn("Town", F.lit("a, b"))):
+        text.write_source(df, str(tmp_path), "append")
+    found = text.read_source(spark, str(tmp_path))
+    assert set(found.columns) == {"Name", "Age", "Town", "snapshot_date"}
+    expected = [("Ann", "40", None)] * 2 + [("Ann", None, "a, b")]
+    assert sorted(map(tuple, found.select("Name", "Age", "Town").collect()), key=repr) == sorted(expected, key=repr)
+    assert text.rejected_lines(spark, str(tmp_path)).isEmpty()
+
+
+LINES = [
+    ("1,Ann,2023-01-01", None),
+    ('2,"A, b",2023-02-01', None),
+    ('3,5" pipe,2023-02-01', None),
+    ('4,"a\\"b",2023-02-01', None),
+    ('5,"say ""hi""",2023-02-01', None),
+    ('15,"say ""hi"", twice",2023-02-01', text.UNREADABLE),  # quotes within a cell follow a backslash in these sources
+    ("6,,", None),
+    ("7,\u65e5\u672c \U0001f389," + "9" * 100_000, None),
+    ("8,Bob", text.TOO_FEW),
+    ("x" * 100_000, text.TOO_FEW),
+    ("9,Bob,2023-03-01,", text.TOO_MANY),
+    ('10,"Bob, junior",2023-03-01,"x"', text.TOO_MANY),
+    ('11,"Bob,2023-03-01', text.UNCLOSED),
+    ('12,Bob,"2023-03-01', text.UNCLOSED),
+    ('13,Bob,"2023-03-01""', text.UNCLOSED),
+    ('14,"Bob\\",2023-03-01', text.UNCLOSED),
+]
+
+
+def test_malformed_lines_are_kept_as_text_with_their_reason(spark, tmp_path):
+    for part in range(3):
+        ends = "\r\n" if part else "\n"
+        lines = ["id,Name,snapshot_date", "", *[line for line, _ in LINES[part::3]], "  ", "id,Name,snapshot_date"]
+        (tmp_path / f"part{part}.csv").write_text(ends.join(lines), "utf-8-sig" if part == 2 else "utf-8", newline="")
+    found = text.rejected_lines(spark, str(tmp_path))
+    assert sorted((r.line, r.reason) for r in found.collect()) == sorted((line, why) for line, why in LINES if why)
+    read = {r.id: r.Name for r in text.read_source(spark, str(tmp_path)).collect()}
+    assert read.keys() == {line.split(",")[0] for line, why in LINES if not why}
+    assert (read["2"], read["4"], read["6"]) == ("A, b", 'a"b', None)
+
+
+def test_no_lines_at_all(spark, tmp_path):
+    spark.createDataFrame([], "line string").write.mode("append").text(str(tmp_path))
+    assert text.read_source(spark, str(tmp_path)).isEmpty() and text.rejected_lines(spark, str(tmp_path)).isEmpty()
+
+
+def test_rejected_lines_of_a_source_are_replaced(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    line = spark.createDataFrame([("f", text.TOO_FEW, "1,2")], "file string, reason string, line string")
+    backfill.build_rejects(store, {"loans": line, "financials": line.union(line)})
+    backfill.build_rejects(store, {"loans": line.limit(0)})
+    assert [r.source_table for r in store.read("bronze", "rejected_lines").collect()] == ["financials"] * 2
+
+
+def test_a_write_leaves_out_whole_folders_only(spark, tmp_path):
+    """Folders without rows in a later write go, those of other months stay, and no file of a replaced folder is left."""
+    store = Store(spark, str(tmp_path))
+    days = spark.createDataFrame([(f"L{i}", date(2023, 1 + i % 4, 1)) for i in range(40)], "loan_id string, snapshot_date date")
+    full = days.select(*[F.col(c) if c in days.columns else F.lit(None).alias(c) for c in S.RAW_COLUMNS["loans"]])
+    store.write(full, "bronze", "loans")
+    assert store.counts["bronze", "loans"] == {"rows_out": 40}
+    store.write(full.where("snapshot_date = '2023-02-01'"), "bronze", "loans", [date(2023, 1, 1), date(2023, 2, 1)])
+    assert store.months("bronze", "loans") == [date(2023, 2, 1), date(2023, 3, 1), date(2023, 4, 1)]
+    assert store.read("bronze", "loans").count() == 30
+    store.write(full.where("snapshot_date = '2023-03-01'"), "bronze", "loans")
+    assert store.months("bronze", "loans") == [date(2023, 3, 1)] and store.read("bronze", "loans").count() == 10
+
+
+def test_counts_of_a_month_run(spark, tmp_path):
+    """A run counts its own months and the undated rows; the tables it did not write keep their counts."""
+    days = [("a", date(2023, 1, 1)), ("b", date(2023, 2, 1)), ("c", None), ("d", date(2023, 2, 1))]
+    raw = spark.createDataFrame(days, "loan_id string, snapshot_date date")
+    full = raw.select(*[F.col(c) if c in raw.columns else F.lit(None).alias(c) for c in S.RAW_COLUMNS["loans"]])
+    store = Store(spark, str(tmp_path))
+    counts = {}
+    for months in (None, [date(2023, 2, 1)], [date(2023, 5, 1)]):
+        backfill.build_bronze(store, {"loans": full}, months)
+        counts[str(months)] = store.counts["bronze", "loans"]
+        store.write_counts()
+    assert list(counts.values()) == [{"rows_out": n, "rows_in": n + 1, "undated": 1} for n in (3, 2, 0)]
+    store.counts["gold", "risk"] = {"rows_out": 3, "repeated_rows": 1}
+    store.write_counts()
+    kept = store.read("meta", "run_counts").orderBy("layer").select("table_name", "rows_in", "undated", "repeated_rows", "rows_out").collect()
+    assert [tuple(r) for r in kept] == [("loans", 1, 1, None, 0), ("risk", None, None, 1, 3)]
+
+
+def test_repeated_feature_rows_are_counted_by_snapshot(spark):
+    rows = [("a", date(2023, 1, 1))] * 3 + [("b", date(2023, 1, 1)), ("a", date(2023, 2, 1)), (None, date(2023, 2, 1)), (None, date(2023, 2, 1))]
+    found = lookup.repeated_rows(spark.createDataFrame(rows, "Customer_ID string, snapshot_date date"), S.KEY)
+    assert {r.snapshot_date: r.repeated_rows for r in found.collect()} == {date(2023, 1, 1): 2, date(2023, 2, 1): 1}
 
 
 def test_undated_rows_are_counted(spark):
