@@ -172,5 +172,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is recognised, by a model of its own labelled rows."""
-    predicted = identify(docs, learn(docs.select("doc_id", "text", "lang")))
-    return predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)
+    own = docs.select(F.struct("*").alias("__row"), "text")
+    predicted = identify(own, learn(docs.select("doc_id", "text", "lang")))
+    return predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("__row.*")

@@ -75,7 +75,7 @@ def op7_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(documents(spark, sf_dir).select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "blocks", "spans")
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
