@@ -5,6 +5,48 @@ from __future__ import annotations
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+# Windows and words are numbered from 1; covered words are counted by a running sum over starts and ends.
+SUBSTRING_DEDUP = f"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as words
+  from (select *, unnest(generate_series(1, len(w) - 12)) as i from docs)),
+firsts as (select words, min(doc_id) as first_id from windows group by words having min(doc_id) < max(doc_id)),
+later as (select doc_id, i from windows join firsts using (words) where doc_id > first_id),
+gone as (select distinct doc_id, unnest(generate_series(i, i + 12)) as i from later),
+placed as (select doc_id, i, w[i] as word from (select *, unnest(generate_series(1, len(w))) as i from docs)),
+kept as (
+  select p.doc_id, count(*) as n_kept, string_agg(word, ' ' order by p.i) as words
+  from placed p anti join gone g on p.doc_id = g.doc_id and p.i = g.i group by 1)
+select doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(words, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
+JACCARD_JOIN = f"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}, {LOWER}), '{WORD}') as w from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 2], ' ') as shingle
+  from (select *, unnest(generate_series(1, greatest(len(w) - 2, least(len(w), 1)))) as i from docs)),
+sizes as (select doc_id, count(*) as n from shingles group by 1),
+classes as (select doc_id, n, md5(string_agg(shingle, chr(10) order by shingle)) as class from shingles join sizes using (doc_id) group by 1, 2),
+one as (select class, min(doc_id) as doc_id, any_value(n) as n from classes group by 1),
+own as (select s.doc_id, o.n, s.shingle from shingles s join one o using (doc_id)),
+links as (
+  select a.doc_id as x, b.doc_id as y from own a join own b on a.shingle = b.shingle and a.doc_id < b.doc_id and 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ways as (select x, y from links union all select y, x from links),
+reached as (
+  select doc_id as x, doc_id as y from one
+  union
+  select r.x, l.y from reached r join both_ways l on r.y = l.x),
+roots as (select x, min(y) as root from reached group by 1)
+select d.doc_id, coalesce(c.n, 0) as n_shingles, coalesce(o.doc_id, d.doc_id) as class_id, coalesce(root, d.doc_id) as component_id
+from docs d left join classes c using (doc_id) left join one o on c.class = o.class left join roots r on r.x = o.doc_id
+"""
+
 HARD_NEGATIVES = """
 with rows as (
   select vec_id as id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as int) as label,
@@ -86,6 +128,8 @@ select word, form, root, n, n_near, form_n from forms join roots using (word)
 """
 
 ORACLE = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op2_jaccard_join": JACCARD_JOIN,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op12_line_dedup": LINE_DEDUP,
     "op13_spelling_variants": SPELLING,

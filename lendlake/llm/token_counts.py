@@ -30,6 +30,8 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 CACHE_ENTRIES = 300_000
+LONG = 1_000
+RANK_BLOCK = 256
 CHUNK_SYMBOLS = 1 << 20
 
 
@@ -92,8 +94,50 @@ class Merges:
             symbols, owner = symbols[keep], owner[keep]
         return counts
 
+    def surviving_long(self, sequence: bytes) -> int:
+        """Symbols left of one long sequence, with work for the merged places only.
+
+        Ranks go up in blocks. A pass over the sequence finds the pairs of a block of ranks; rank by rank, all pairs of a rank merge at
+        once, and their new neighbours join the block or wait for a later one. A new pair has a higher rank than the merge that made it.
+        """
+        symbols = self.byte_ids[np.frombuffer(sequence, np.uint8)].astype(np.int64)
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n)  # before has a place for the end
+        ranks = np.append(self.rank(symbols[:-1], symbols[1:]), self.none)
+        left = n
+        while (lowest := int(ranks.min())) < self.none:
+            end = min(lowest + RANK_BLOCK, self.none)
+            open_at = np.flatnonzero(ranks < end)
+            while len(open_at):
+                own = ranks[open_at]
+                rank = int(own.min())
+                if rank >= end:
+                    break
+                hit = open_at[own == rank]
+                # In a run of overlapping hits (a a a) every second one merges, from the left.
+                run_start = np.r_[True, after[hit[:-1]] != hit[1:]]
+                run = np.maximum.accumulate(np.where(run_start, np.arange(len(hit)), 0))
+                hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
+                gone = after[hit]
+                symbols[hit] = self.made[rank]
+                after[hit] = after[gone]
+                before[after[hit]] = hit
+                ranks[gone] = self.none
+                left -= len(hit)
+                touched = np.unique(np.r_[before[hit], hit])
+                touched = touched[touched >= 0]
+                follows = after[touched]
+                inside = follows < n
+                ranks[touched] = self.none
+                ranks[touched[inside]] = self.rank(symbols[touched[inside]], symbols[follows[inside]])
+                open_at = np.union1d(open_at[own > rank], touched[ranks[touched] < end])
+        return left
+
     def learn(self, pre_tokens: list[str]) -> None:
         """Counts of pre-tokens not met before, in chunks of bounded size."""
+        long = [t for t in pre_tokens if len(t) > LONG]
+        self.known.update((t, self.surviving_long(t.encode())) for t in long)
+        pre_tokens = [t for t in pre_tokens if len(t) <= LONG] if long else pre_tokens
         chunk: list[str] = []
         size = 0
         for i, token in enumerate(pre_tokens):
