@@ -70,22 +70,21 @@ def _merge_level(df: DataFrame, parents: list[str], order: str) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, name: str = "auc") -> DataFrame:
-    """Exact area under the ROC curve of each group; ties count half.
+def score_counts(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """Bad and good rows of each group by distinct score; rows without a label or score do not take part.
 
-    The area is the share of (bad, good) pairs in which the bad row scores higher. Rows
-    are first reduced to one per distinct score. Scores then form a tree of three
-    levels, and a pair is counted at the node where its two scores part, so no running
-    sum goes over a whole group: each has at most a few million rows, however many
-    scores a group holds. Rows without a label or score do not take part; a group
-    with only one class gives NULL.
+    These counts add up: those of any set of groups, merged, hold all that ``auc_of_counts`` needs.
     """
-    by = by or []
     value = F.col(score).cast("double")
+    known = df.where(F.col(label).isNotNull() & value.isNotNull())
+    counts = [F.count_if(F.col(label) == 1).alias("bads"), F.count_if(F.col(label) != 1).alias("goods")]
+    return known.groupBy(*(by or []), value.alias("score")).agg(*counts)
+
+
+def _area(leaves: DataFrame, by: list[str], name: str) -> DataFrame:
+    """The area of each group; ``leaves`` has one row per group and score."""
     leaves = (
-        df.where(F.col(label).isNotNull() & value.isNotNull())
-        .groupBy(*by, value.alias("_score"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+        leaves.select(*by, F.col("score").alias("_score"), F.col("bads").alias("pos"), F.col("goods").alias("neg"))
         .withColumn("_fine", order_key(F.col("_score")))
         .withColumn("_coarse", F.shiftright("_fine", FINE_BITS))
         .withColumn("won", F.col("pos").cast("double") * F.col("neg") / 2)
@@ -97,6 +96,27 @@ def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, name
     return total.select(*by, F.try_divide("won", pairs).alias(name))
 
 
+def auc_of_counts(counts: DataFrame, by: list[str] | None = None, name: str = "auc") -> DataFrame:
+    """``auc`` from ``score_counts`` of finer groups than ``by``, merged; equal to the area over their rows."""
+    by = by or []
+    merged = counts.groupBy(*by, "score").agg(F.sum("bads").alias("bads"), F.sum("goods").alias("goods"))
+    return _area(merged, by, name)
+
+
+def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, name: str = "auc") -> DataFrame:
+    """Exact area under the ROC curve of each group; ties count half.
+
+    The area is the share of (bad, good) pairs in which the bad row scores higher. Rows
+    are first reduced to one per distinct score. Scores then form a tree of three
+    levels, and a pair is counted at the node where its two scores part, so no running
+    sum goes over a whole group: each has at most a few million rows, however many
+    scores a group holds. Rows without a label or score do not take part; a group
+    with only one class gives NULL.
+    """
+    by = by or []
+    return _area(score_counts(df, label, score, by), by, name)
+
+
 def auc_by_snapshot(
     predictions: DataFrame, start: date | str, end: date | str, label: str = "label", score: str = "probability"
 ) -> DataFrame:

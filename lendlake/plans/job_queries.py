@@ -13,7 +13,7 @@ from lendlake import schemas as S
 from lendlake.functions.dates import month_list
 from lendlake.operators import bronze, metrics, silver
 from lendlake.plans import backfill, modelling, monitoring
-from lendlake.plans.queries import assigned, model_table
+from lendlake.plans.queries import assigned, model_table, scored
 from lendlake.sources import driver_tables as D
 from lendlake.sources.scratch import scratch_root, written
 from lendlake.sources.store import Store
@@ -22,6 +22,7 @@ REBUILT_SINCE = date(1996, 1, 1)
 RUNS = {"logistic": "2024-12-01", "other": "2025-01-01"}
 MONITORED = {"logistic": "test", "other": "val"}
 TOLERANCE = 1e-3
+MONITORED_RANGES = [("1995-03-01", "1995-09-30"), ("1995-06-01", "1998-12-31")]
 
 
 def backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +104,33 @@ def model_score_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("split").agg(*prediction_checks(), balanced.alias("balanced"))
 
 
+def fixed_run(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with the predictions of a fixed score, so that areas can be checked in SQL."""
+    store = Store(spark, scratch_root(spark))
+    rows = scored(spark, sf_dir).withColumns({"probability": F.col("score"), "prediction": F.lit(0.0)})
+    columns = ["loan_id", "snapshot_date", "label", "probability", "prediction", "split"]
+    modelling.record(store, rows.select(*columns), "fixed", RUNS["logistic"], "fixed")
+    return store
+
+
+def monitoring_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written series of one run, set and range."""
+    return monitoring.monitor(fixed_run(spark, sf_dir), *MONITORED_RANGES[0], "test", "fixed")
+
+
+def monitoring_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of each set over two overlapping ranges, from stored counts of single snapshots, beside the areas in the manifest."""
+    store = fixed_run(spark, sf_dir)
+    parts = [store.read("gold", "model_manifest").select("split", "auc", F.lit("manifest").alias("over"))]
+    for start, end in MONITORED_RANGES:
+        areas = monitoring.auc_of_range(store, start, end, modelling.HOLDOUT, "fixed")
+        parts.append(areas.withColumn("over", F.lit(f"{start} to {end}")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 QUERIES = {
+    "monitoring_series": monitoring_series,
+    "monitoring_ranges": monitoring_ranges,
     "backfill_months": backfill_months,
     "store_rebuild": store_rebuild,
     "splits_rebuild": splits_rebuild,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lendlake import schemas as S
 from lendlake.functions.dates import as_date
-from lendlake.operators.metrics import auc
+from lendlake.operators.metrics import auc, auc_of_counts, score_counts
 from lendlake.sources.store import Store
 
 HOLDOUT = ["test", "val"]
@@ -36,7 +36,10 @@ def fit_model(train: DataFrame, features: list[str] | None = None, max_iter: int
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(labelCol="label", featuresCol="features", maxIter=max_iter),
     ]
-    return Pipeline(stages=stages).fit(train.select("label", *features))
+    model = Pipeline(stages=stages).fit(train.select("label", *features))
+    # The training summary holds the session, which cannot go to tasks once a write of the session has been observed.
+    model.stages[-1]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -55,7 +58,11 @@ def manifest_rows(
     predictions: DataFrame, model_name: str, model_dir: str, run_date: date | str, preds_path: str
 ) -> DataFrame:
     """One row per set: which model scored it, when, how well, and where the rows are."""
-    return evaluate(predictions).select(
+    return manifest_lines(evaluate(predictions), model_name, model_dir, run_date, preds_path)
+
+
+def manifest_lines(areas: DataFrame, model_name: str, model_dir: str, run_date: date | str, preds_path: str) -> DataFrame:
+    return areas.select(
         F.lit(model_name).alias("model_name"),
         F.lit(model_dir).alias("model_dir"),
         F.lit(as_date(run_date)).alias("run_date"),
@@ -92,6 +99,12 @@ def run_predictions(store: Store, model_name: str, run_date: date | str, sets: l
     return rows.where(own & F.col("split").isin(sets or HOLDOUT))
 
 
+def run_counts(store: Store, model_name: str, run_date: date | str, sets: list[str] | None = None) -> DataFrame:
+    """Bads and goods by snapshot and distinct score of what one run has predicted."""
+    own = (F.col("model_name") == model_name) & (F.col("run_date") == F.lit(as_date(run_date)))
+    return store.read("gold", "score_counts").where(own & F.col("split").isin(sets or HOLDOUT))
+
+
 def score_sets(
     store: Store, model_dir: str, run_date: date | str, model_name: str = "logistic", sets: list[str] | None = None
 ) -> DataFrame:
@@ -102,14 +115,29 @@ def score_sets(
     """
     sets = sets or HOLDOUT
     rows = store.read("gold", "splits").where(F.col("split").isin(sets))
+    return record(store, score(PipelineModel.load(model_dir), rows), model_dir, run_date, model_name, sets)
+
+
+def record(
+    store: Store, scored: DataFrame, model_dir: str, run_date: date | str, model_name: str = "logistic", sets: list[str] | None = None
+) -> DataFrame:
+    """Predictions of one run (columns of ``score``, with split) into the store, with their score counts and manifest rows; the manifest.
+
+    The counts are a row per set, snapshot and distinct score. They are read from the predictions once; every area, of the manifest,
+    of a snapshot or of any range of snapshots, comes from them.
+    """
+    sets = sets or HOLDOUT
     named = {"model_name": F.lit(model_name), "run_date": F.lit(as_date(run_date))}
-    scored = score(PipelineModel.load(model_dir), rows).withColumns(named)
+    scored = scored.where(F.col("split").isin(sets)).withColumns(named)
     own = [f"{run_folder(model_name, run_date)}/split={name}" for name in sets]
     keys = ("model_name", "run_date", "split")
     store.write(scored, "gold", "predictions", partition_by=(*keys, S.SNAPSHOT), aligned=True, own=own)
     predictions = run_predictions(store, model_name, run_date, sets)
+    counts = score_counts(predictions, "label", "probability", [*keys, S.SNAPSHOT])
+    store.write(counts, "gold", "score_counts", partition_by=(*keys, S.SNAPSHOT), own=own)
     folder = f"{store.path('gold', 'predictions')}/{run_folder(model_name, run_date)}"
-    lines = manifest_rows(predictions, model_name, model_dir, run_date, folder)
+    areas = auc_of_counts(run_counts(store, model_name, run_date, sets), ["split"])
+    lines = manifest_lines(areas, model_name, model_dir, run_date, folder)
     lines = lines.withColumn("preds_path", F.concat("preds_path", F.lit("/split="), "split"))
     store.write(lines, "gold", "model_manifest", partition_by=keys, own=own)
     return store.read("gold", "model_manifest")

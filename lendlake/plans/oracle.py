@@ -469,6 +469,23 @@ from silver_loans where loan_start_date < date '2000-01-01' and installment_num
         """select * from areas
 where snapshot_date between (select max(snapshot_date) from scored) - 365 and (select max(snapshot_date) from scored)""",
     ),
+    "monitoring_series": _query(
+        [*SCORED_PARTS, *_auc("(select * from scored where split = 'test')", "label", "score", "snapshot_date", "test_auc")],
+        "select * from areas where snapshot_date between date '1995-03-01' and date '1995-09-30'",
+    ),
+    "monitoring_ranges": _query(
+        [
+            *SCORED_PARTS,
+            """
+ranges as (
+  select split || ' ' || name as grp, split, name as over, label, score
+  from scored, (values ('manifest', date '1900-01-01', date '2100-01-01'), ('1995-03-01 to 1995-09-30', date '1995-03-01', date '1995-09-30'),
+                       ('1995-06-01 to 1998-12-31', date '1995-06-01', date '1998-12-31')) as r (name, since, until)
+  where split in ('test', 'val') and snapshot_date between since and until)""",
+            *_auc("ranges", "label", "score", "grp"),
+        ],
+        "select distinct split, auc, over from areas join (select distinct grp as g, split, over from ranges) on grp = g",
+    ),
     "store_roundtrip": _query([*LOANS, LABELS], LABEL_COUNTS.format("labels_gold")),
     "backfill_months": _query(MODEL_PARTS, "select * from model_table"),
     "store_rebuild": _query([*LOANS, LABELS], LABEL_COUNTS.format("labels_gold where snapshot_date >= date '1996-01-01'")),

@@ -172,6 +172,9 @@ TABLES = {
     ("gold", "predictions"): (
         "loan_id string, snapshot_date date, label int, probability double, prediction double, split string, model_name string, run_date date"
     ),
+    ("gold", "score_counts"): (
+        "score double, bads bigint, goods bigint, snapshot_date date, model_name string, run_date date, split string"
+    ),
     ("gold", "model_manifest"): (
         "model_name string, model_dir string, run_date date, split string, auc double, preds_path string"
     ),

@@ -92,3 +92,18 @@ def test_bad_rate_and_final_instalment(spark):
     curve = [tuple(r) for r in metrics.bad_rate_by_mob(df, "2024-01-01").collect()]
     assert curve == [(1, 0.5, 2), (10, 0.0, 1)]
     assert metrics.actual_bads(df, "2024-01-01").count() == 1
+
+
+def test_counts_of_any_groups_merge_to_the_area_of_their_rows(spark):
+    """Ties across groups, groups of one class, missing labels and scores, both zeros, infinities and NaN."""
+    rng = random.Random(3)
+    special = [0.0, -0.0, float("inf"), float("-inf"), float("nan"), 1e-300, None]
+    rows = [(rng.choice("abcd"), rng.randrange(6), rng.choice([0, 1, None]), rng.choice([*special, *[rng.randrange(40) / 7 for _ in range(20)]])) for _ in range(3000)]
+    rows += [("e", 1, 1, 0.5), ("f", 1, None, 0.5)]
+    df = spark.createDataFrame(rows, "split string, month int, label int, p double").repartition(5)
+    counts = metrics.score_counts(df, "label", "p", ["split", "month"])
+    for by in ([], ["split"], ["month"], ["split", "month"]):
+        merged = sorted(map(tuple, metrics.auc_of_counts(counts, by).collect()), key=repr)
+        plain = sorted(map(tuple, metrics.auc(df, "label", "p", by).collect()), key=repr)
+        assert merged == plain and len(merged) >= 1
+    assert metrics.auc_of_counts(counts.limit(0), ["split"]).isEmpty()

@@ -368,3 +368,30 @@ def test_runs_and_sets_keep_their_own_results(scored):
     assert rows(monitoring.auc_over_time(store, "1995-01-01", last, "test")) == first
     paths = {r.preds_path for r in lines.collect()}
     assert len(paths) == 4 and all(Path(p).is_dir() for p in paths)
+
+
+def test_areas_come_from_stored_counts_without_the_predictions(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    rows = [(f"L{i}", date(2023, 1 + i % 4, 1), i % 3 % 2, (i * 7 % 11) / 10, 0.0, ("test", "val")[i % 5 // 4]) for i in range(200)]
+    schema = "loan_id string, snapshot_date date, label int, probability double, prediction double, split string"
+    scored = spark.createDataFrame(rows, schema)
+    manifest = {r.split: r.auc for r in modelling.record(store, scored, "m", "2024-01-01").collect()}
+    assert manifest == {r.split: r.auc for r in modelling.evaluate(scored).collect()}
+    read = store.read
+    monkeypatch.setattr(store, "read", lambda layer, table, months=None: (_ for _ in ()).throw(AssertionError) if table == "predictions" else read(layer, table, months))
+    series = monitoring.monitor(store, "2023-02-01", "2023-03-31").collect()
+    kept = scored.where("split = 'test' and snapshot_date between '2023-02-01' and '2023-03-31'")
+    assert [tuple(r) for r in series] == [tuple(r) for r in metrics.auc_by_snapshot(kept, "2023-02-01", "2023-03-31").collect()]
+    found = {r.split: r.auc for r in monitoring.auc_of_range(store, "2023-02-01", "2023-03-31", ["test"]).collect()}
+    assert found == {"test": metrics.auc(kept, "label", "probability").first().auc}
+    monkeypatch.undo()
+    modelling.record(store, scored.where("snapshot_date > '2023-01-01'"), "m", "2024-01-01", sets=["test"])
+    again = store.read("gold", "score_counts").groupBy("split").agg(F.sum("bads") + F.sum("goods"), F.min("snapshot_date")).collect()
+    assert {r[0]: r[2] for r in again} == {"test": date(2023, 2, 1), "val": date(2023, 1, 1)}
+
+
+def test_a_fitted_model_scores_after_observed_writes(spark, store):
+    rows = written(assigned(spark, SF_DIR), "splits")
+    Store(spark, scratch_root(spark)).write(rows, "gold", "splits")
+    model = modelling.fit_model(rows.where("split = 'train'"))
+    assert modelling.evaluate(modelling.score(model, rows.where("split in ('test', 'val')"))).count() == 2
