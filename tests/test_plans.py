@@ -1,7 +1,6 @@
 """Shape of the physical plans: what must be there at scale, and what must not."""
 
 import re
-from functools import partial
 from pathlib import Path
 
 import pytest
@@ -28,23 +27,6 @@ def test_no_python_and_no_cross_products(spark, name):
     assert not re.search("Python|Pandas|Cartesian|BroadcastNestedLoop", plan)
 
 
-@pytest.mark.parametrize("name", ["op6_sharding", "op8_mixing"])
-def test_native_operators_have_no_python_and_no_cross_products(spark, monkeypatch, name):
-    """The plan of the result and of every table that is written on the way."""
-    llm = pytest.importorskip("lendlake.llm.queries")
-    plans = []
-
-    def seen(df, *args, written):
-        plans.append(physical(df))
-        return written(df, *args)
-
-    for module in (llm.sharding, llm.mixing):
-        if hasattr(module, "written"):
-            monkeypatch.setattr(module, "written", partial(seen, written=module.written))
-    plans.append(physical(llm.QUERIES[name](spark, SF_DIR)))
-    assert not re.search("Python|Pandas|MapInArrow|Cartesian|BroadcastNestedLoop", "\n".join(plans))
-
-
 def test_only_needed_columns_are_read(spark):
     plan = physical(Q.labels(spark, SF_DIR))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
