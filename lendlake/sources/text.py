@@ -53,7 +53,7 @@ def column_names(header: str) -> list[str]:
 
 def reason(line: Column, cells: int, unread: Column) -> Column:
     """Why a line is no row of ``cells`` cells, NULL if it is one."""
-    rest = F.regexp_replace(line, QUOTED, "$1")
+    rest = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, QUOTED, "$1")).otherwise(line)
     found = F.length(rest) - F.length(F.replace(rest, F.lit(","), F.lit(""))) + 1
     return (
         F.when(F.regexp_like(rest, F.lit(OPEN_QUOTE)), UNCLOSED)
