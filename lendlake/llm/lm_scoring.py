@@ -1,20 +1,23 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-The model is a bigram model over words. Every bigram of the training part is counted by the hashes of its words, counts are quantised to
-powers of two, and an n-gram of level q is put into a Bloom filter q times, with the numbers 1 to q. A query probes 1, 2, ... until
-one is missing; the last one found gives the count. The filter has BITS_PER_ENTRY bits or more for each entry, so it grows with the corpus and holds
-all n-grams. The probability of a word after another one is
+The model is a bigram model over words. Every bigram of the training part is counted by the hashes of its words, counts are quantised
+downwards to the steps 1, 2, 3, 4, 6, 8, 12, 16, ..., and an n-gram of step q is put into a Bloom filter q times, with the numbers 1 to q. A query
+probes 1, 2, ... until one is missing; the last one found gives the count. The probability of a word after another one is
 
-    p(word | previous) = (count(previous, word) + MU * p(word)) / (count(previous) + MU),
+    p(word | previous) = (count(previous, word) + MU * p(word)) / (total(previous) + MU + FALSE),
 
-with p(word) from unigram counts with one added to each, so that an unseen bigram falls back to the unigram model.
+where ``total`` sums the quantised counts of all that follows the word, and FALSE is the expected number of words that the filter holds for
+followers by mistake (its rate of false hits times the vocabulary). So the probabilities after a word add up to 1, up to the chance of false hits.
+p(word) has one added to each count, for the COMMON most frequent words; all others, and a word never seen, share the rest
+evenly. Their own counts decide only ``base_score``.
 
-A filter of at most 2^MOST_BITS bits is broadcast. A larger one is split by a hash of the n-grams into segments of 2^SEGMENT_BITS bits, which
-stay on disk; the n-grams of each document are sent to their segments, and the counts found are sent back.
+The filter comes in parts by the hash of the bigram. A part has BITS_PER_ENTRY bits for each of its entries, whatever their number, and there is a
+part for each PART_TEXT bytes of training text. As many parts as fit into GROUP_BYTES are broadcast together; the texts are scored
+against one group after the other, and each adds the terms of its own bigrams to a text's score. A small corpus has one group. The scores do not
+depend on the groups.
 
-Unigram counts cover the whole training part: words are counted per batch and summed by their 64-bit hash. Counts of the COMMON most
-frequent words are exact and broadcast; those of all other words are in the filter. ``base_score`` and ``n_known`` are
-exact: the other words of each document are joined to the counts.
+Word counts are exact: a word occurs as often as it precedes another token. Those of common words are broadcast. The other words
+of each document are joined to the counts.
 
 A null or empty text is its end token. Rows are scored one by one, so repeated rows and ids get equal scores. The common words
 are those above a count, so words of equal frequency are common together. Without training rows all counts are zero. Extra columns are
@@ -23,12 +26,11 @@ dropped; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,13 +40,13 @@ from lendlake.sources.scratch import written
 
 COMMON = 1 << 18
 MU = 200.0
-PROBES = 3
-BITS_PER_ENTRY = 12
-MOST_BITS = 29
-SEGMENT_BITS = 25
-SLICE_BITS = 18
-BUILDERS = 32
+PROBES = 8
+BITS_PER_ENTRY = 16
+PART_TEXT = 32 << 20
+GROUP_BYTES = 64 << 20
+HELD = 4_000_000
 END_HASH = np.uint64(0x0E0D)
+STEPS = np.array(sorted({*(1 << k for k in range(62)), *(3 << k for k in range(60))}), np.int64)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,236 +64,171 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class CountFilter:
     """Log-frequency Bloom filter: quantised counts of integer keys."""
 
-    def __init__(self, bits: int):
+    def __init__(self, bits: int, data: np.ndarray | None = None):
         self.bits = bits
-        self.data = np.zeros((1 << bits) // 8, np.uint8)
+        self.data = np.zeros(-(-bits // 8), np.uint8) if data is None else data
 
     @staticmethod
     def level(counts: np.ndarray) -> np.ndarray:
-        return np.frexp(counts.astype(float))[1]
+        return np.searchsorted(STEPS, counts, "right")
 
     @staticmethod
     def count(levels: np.ndarray) -> np.ndarray:
-        """What a level stands for: 1, then the middle of 2-3, 4-7, ..."""
-        return np.where(levels > 1, 0.75 * 2.0**levels - 0.5, levels)
+        """The least count of a level."""
+        return np.where(levels > 0, STEPS[np.maximum(levels, 1) - 1], 0)
+
+    @classmethod
+    def of(cls, keys: np.ndarray, levels: np.ndarray) -> CountFilter:
+        """The filter of all keys, sized by their entries."""
+        own = cls(max(64, int(levels.sum()) * BITS_PER_ENTRY))
+        flags = np.zeros(8 * len(own.data), bool)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            keys, levels = keys[levels >= level], levels[levels >= level]
+            for cell in own.cells(keys, level):
+                flags[cell] = True
+        own.data = np.packbits(flags, bitorder="little")
+        return own
 
     def cells(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        first = mix(keys.astype(np.uint64) ^ mix(np.array([level], np.uint64)))
-        step = mix(first) | np.uint64(1)
+        first = mix(keys ^ mix(np.array([level], np.uint64)))
+        step = mix(first)
         for i in range(PROBES):
-            yield (first + np.uint64(i) * step) & np.uint64((1 << self.bits) - 1)
+            yield self.cell(first, step, i)
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        levels = self.level(counts)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            for cell in self.cells(keys[levels >= level], level):
-                np.bitwise_or.at(self.data, cell >> np.uint64(3), (np.uint64(1) << (cell & np.uint64(7))).astype(np.uint8))
+    def cell(self, first: np.ndarray, step: np.ndarray, i: int) -> np.ndarray:
+        """Cell of the i-th probe: the upper half of a 64-bit hash, scaled to the size."""
+        return (((first + np.uint64(i) * step) >> np.uint64(32)) * np.uint64(self.bits)) >> np.uint64(32)
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts by repeated probes; never less than the level that was put in."""
+        """Estimated counts by repeated probes; never less than what was put in."""
         levels = np.zeros(len(keys), np.int64)
         live, level = np.arange(len(keys)), 1
-        while len(live) and level < 64:
-            hit = np.ones(len(live), bool)
-            for cell in self.cells(keys[live], level):
-                hit &= (self.data[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            live = live[hit]
+        while len(live) and level <= len(STEPS):
+            first = mix(keys[live] ^ mix(np.array([level], np.uint64)))
+            step = mix(first)
+            for i in range(PROBES):
+                cell = self.cell(first, step, i)
+                hit = (self.data[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                live, first, step = live[hit], first[hit], step[hit]
             levels[live] = level
             level += 1
         return self.count(levels)
 
+    def false_hits(self) -> float:
+        """Share of keys never put in that are found."""
+        return float(np.bitwise_count(self.data).sum() / self.bits) ** PROBES
+
 
 def bigrams(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Key of each pair of word hashes."""
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
 
 
-def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
-    return ((mix(keys ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)) % np.uint64(segments)).astype(np.int32)
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((mix(keys ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
+
+def following_end(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The token before each one; a text begins after an end."""
+    before = np.r_[END_HASH, hashes[:-1]]
+    before[ends[:-1] + 1] = END_HASH
+    return before
 
 
 @dataclass
 class Model:
-    """What is broadcast: counts of the common words, and the filter of all other n-grams unless it is in segments."""
+    """What is broadcast beside the filter: counts of the common words, sorted by hash, and the totals of what follows them."""
 
     total: int
     distinct: int
     common: np.ndarray
     common_counts: np.ndarray
-    filter: CountFilter | None = None
-    segments: DataFrame | None = None
-    n_segments: int = 0
-    segment_bits: int = SEGMENT_BITS
+    common_totals: np.ndarray
+    parts: int
+    false_hits: float
 
-    def common_count(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact counts of common words, and which hashes are not among them."""
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the common words, and which hashes are there."""
         if not len(self.common):
-            return np.zeros(len(hashes)), np.ones(len(hashes), bool)
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
         at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
-        known = self.common[at] == hashes
-        return np.where(known, self.common_counts[at], 0), ~known
-
-    def scores(self, hashes: np.ndarray, ends: np.ndarray, lookup: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-        """log10 probability of each token after the previous one; ``lookup`` gives the counts of different n-grams."""
-        every, before = following_end(hashes, ends)
-        seen, rare = self.common_count(every)
-        pairs = bigrams(every[before], hashes)
-        unique, back = np.unique(np.r_[every[rare], pairs], return_inverse=True)
-        counts = lookup(unique)[back]
-        seen = seen.astype(float)
-        seen[rare] = counts[: len(back) - len(pairs)]
-        smooth = MU * (seen[1:] + 1) / (self.total + self.distinct + 1)
-        return np.log10(np.minimum(1.0, (counts[len(back) - len(pairs) :] + smooth) / (seen[before] + MU)))
+        return at, self.common[at] == hashes
 
+    def fallback(self, at: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """MU * p(word)."""
+        others = self.distinct - len(self.common)
+        rest = (self.total - int(self.common_counts.sum()) + others + 1) / (others + 1)
+        n = np.full(len(at), rest)
+        n[known] = self.common_counts[at[known]] + 1
+        return MU * n / (self.total + self.distinct + 1)
 
-def following_end(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An end and then all tokens, and where in these each token's previous one is; a text begins after an end."""
-    before = np.arange(len(hashes))
-    before[ends[:-1] + 1] = 0
-    return np.r_[END_HASH, hashes], before
+    @property
+    def spare(self) -> float:
+        """What a context's total is short of the denominator."""
+        return MU + self.false_hits * (self.distinct + 1)
 
 
-def summed(docs: DataFrame, keys: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """hash and count of what ``keys`` makes of the tokens; counted per batch, then summed."""
+def counted_bigrams(docs: DataFrame, parts: int) -> DataFrame:
+    """part, before, hash and n of all pairs of tokens that follow each other; counted per batch, then summed in their part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in slices(batches):
-            held.append(keys(*tokens(batch.column("text"))))
-            if sum(map(len, held)) > 4_000_000:
+            hashes, ends = tokens(batch.column("text"))
+            held.append(np.stack([following_end(hashes, ends), hashes]))
+            if sum(h.shape[1] for h in held) > HELD:
                 yield counted(held)
                 held = []
         if held:
             yield counted(held)
 
-    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["hash", "n"])
-
-    return docs.select("text").mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """hash and count of every token of the texts."""
-    return summed(docs, lambda hashes, ends: hashes)
-
-
-def bigram_counts(docs: DataFrame) -> DataFrame:
-    """hash and count of every pair of tokens that follow each other."""
-
-    def pairs(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        every, before = following_end(hashes, ends)
-        return bigrams(every[before], hashes)
-
-    return summed(docs, pairs)
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        before, words = np.concatenate(held, axis=1)
+        keys, first, n = np.unique(bigrams(before, words), return_index=True, return_counts=True)
+        before = before[first]
+        order = np.argsort(before)  # equal words side by side take little room in the shuffle
+        keys, before, n = keys[order], before[order], n[order]
+        arrays = [pa.array(part_of(keys, parts)), pa.array(before.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(n)]
+        return pa.RecordBatch.from_arrays(arrays, ["part", "before", "hash", "n"])
 
+    rows = docs.select("text").mapInArrow(run, "part int, before bigint, hash bigint, n bigint")
+    return rows.repartition(parts, "part").groupBy("part", "before", "hash").agg(F.sum("n").alias("n"))
 
-def filter_entries(counts: DataFrame) -> int:
-    return int(counts.agg(F.sum(F.floor(F.log2("n")) + 1)).first()[0] or 1)
 
+def filter_parts(counts: DataFrame) -> DataFrame:
+    """From the rows of ``counted_bigrams``: each part's filter (part, bits, data, false_hits), and partial n and quantised total of the words before."""
+    names = ["part", "bits", "data", "false_hits", "before", "n", "total"]
+    schema = "part int, bits bigint, data binary, false_hits double, before bigint, n bigint, total bigint"
 
-def count_filter(counts: DataFrame, entries: int) -> CountFilter:
-    """The filter of all rows (hash, n), built in a bounded number of parts that are joined by slice."""
-    bits = max(SLICE_BITS, (entries * BITS_PER_ENTRY - 1).bit_length())
-    width = (1 << SLICE_BITS) // 8
+    def batch_of(**given: pa.Array) -> pa.RecordBatch:
+        size = len(next(iter(given.values())))
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([given[c].cast(t) if c in given else pa.nulls(size, t) for c, t in zip(names, kinds, strict=True)], names)
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = CountFilter(bits)
-        for batch in batches:
-            own.add(batch.column("hash").to_numpy(), batch.column("n").to_numpy())
-        for i in range(len(own.data) // width):
-            part = own.data[i * width : (i + 1) * width]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["slice", "data"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, total = None, np.zeros(width, np.uint8)
-        for batch in batches:
-            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if i != current:
-                    if current is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "data"])
-                    current, total = i, np.zeros(width, np.uint8)
-                total |= np.frombuffer(data, np.uint8)
-        if current is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "data"])
-
-    schema = "slice int, data binary"
-    parts = counts.coalesce(BUILDERS).mapInArrow(build, schema).repartition("slice").sortWithinPartitions("slice")
-    result = CountFilter(bits)
-    for row in parts.mapInArrow(join, schema).toLocalIterator():
-        result.data[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["data"]), np.uint8)
-    return result
-
-
-def runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Value, start and stop of each run of equal values."""
-    bounds = np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
-    for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
-        if stop > start:
-            yield int(values[start]), int(start), int(stop)
-
-
-def filter_segments(counts: DataFrame, segments: int, bits: int = SEGMENT_BITS) -> DataFrame:
-    """segment, slice and data of a filter of ``bits`` for each segment of the rows (hash, n)."""
-    width = (1 << min(SLICE_BITS, bits)) // 8
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
         for batch in batches:
-            segment = segment_of(batch.column("hash").to_numpy().view(np.uint64), segments)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), batch.column("hash"), batch.column("n")], ["segment", "hash", "n"])
+            part, before, keys, n = (batch.column(c).to_numpy() for c in ("part", "before", "hash", "n"))
+            levels = CountFilter.level(n)
+            words, at = np.unique(before, return_inverse=True)
+            sums = [np.bincount(at, v, len(words)).astype(np.int64) for v in (n, CountFilter.count(levels))]
+            yield batch_of(before=pa.array(words), n=pa.array(sums[0]), total=pa.array(sums[1]))
+            bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+            for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                if part[start] != current:
+                    if held:
+                        yield built(current, held)
+                    current, held = part[start], []
+                held.append((keys[start:stop].view(np.uint64), levels[start:stop].astype(np.uint8)))
+        if held:
+            yield built(current, held)
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, None
-        for batch in batches:
-            keys, n = batch.column("hash").to_numpy(), batch.column("n").to_numpy()
-            for segment, start, stop in runs(batch.column("segment").to_numpy()):
-                if segment != current:
-                    if own is not None:
-                        yield sliced(current, own)
-                    current, own = segment, CountFilter(bits)
-                own.add(keys[start:stop], n[start:stop])
-        if own is not None:
-            yield sliced(current, own)
-
-    def sliced(segment: int, own: CountFilter) -> pa.RecordBatch:
-        parts = [own.data[i : i + width].tobytes() for i in range(0, len(own.data), width)]
-        arrays = [pa.array([segment] * len(parts), pa.int32()), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["segment", "slice", "data"])
-
-    placed = counts.select("hash", "n").mapInArrow(place, "segment int, hash bigint, n bigint")
-    ordered = placed.repartition(segments, "segment").sortWithinPartitions("segment")
-    return ordered.mapInArrow(build, "segment int, slice int, data binary")
-
-
-def answers(probes: DataFrame, filters: DataFrame, segments: int, bits: int = SEGMENT_BITS) -> DataFrame:
-    """row, hash and count of the probes (segment, row, hash) that their segment's filter has."""
-    width = (1 << min(SLICE_BITS, bits)) // 8
+    def built(part: int, held: list) -> pa.RecordBatch:
+        own = CountFilter.of(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+        sent = {"part": pa.array([int(part)]), "bits": pa.array([own.bits]), "data": pa.array([own.data.tobytes()], pa.binary())}
+        return batch_of(**sent, false_hits=pa.array([own.false_hits()]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, CountFilter(bits)
-        for batch in batches:
-            number, data = batch.column("slice").to_numpy(zero_copy_only=False), batch.column("data")
-            row, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "hash"))
-            for segment, start, stop in runs(batch.column("segment").to_numpy()):
-                if segment != current:
-                    current = segment
-                    own.data[:] = 0
-                while start < stop and data[start].is_valid:
-                    at = int(number[start]) * width
-                    own.data[at : at + width] = np.frombuffer(data[start].as_py(), np.uint8)
-                    start += 1
-                asked = batch.column("hash").slice(start, stop - start).to_numpy(zero_copy_only=False)
-                found = own.lookup(asked) if len(asked) else np.zeros(0)
-                hit = found > 0
-                arrays = [pa.array(row[start:stop][hit].astype(np.int64)), pa.array(asked[hit], pa.int64()), pa.array(found[hit].astype(float))]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "hash", "n"])
-
-    none = [F.lit(None).cast("bigint").alias(c) for c in ("row", "hash")]
-    asked = probes.select("segment", F.lit(None).cast("int").alias("slice"), F.lit(None).cast("binary").alias("data"), "row", "hash")
-    both = filters.select("segment", "slice", "data", *none).unionByName(asked)
-    ordered = both.repartition(segments, "segment").sortWithinPartitions("segment", F.asc_nulls_last("slice"))
-    return ordered.mapInArrow(run, "row bigint, hash bigint, n double")
+    return counts.sortWithinPartitions("part").mapInArrow(run, schema)
 
 
 def least_common_level(counts: DataFrame, most: int) -> int | None:
@@ -310,113 +247,131 @@ def count_level() -> Column:
     return F.floor(16 * F.log2("n"))
 
 
-def learn(docs: DataFrame, common: int = COMMON, most_bits: int = MOST_BITS, segment_bits: int = SEGMENT_BITS) -> tuple[Model, DataFrame]:
-    """The model of ``docs`` (text) and the table of exact word counts."""
-    counts = written(word_counts(docs), "word_counts")
+def learn(docs: DataFrame, common: int = COMMON, part_text: int = PART_TEXT) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of ``docs`` (text), the table of its filter's parts, and the exact counts and totals of all words."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // part_text))
+    built = written(filter_parts(counted_bigrams(docs, parts)), "filter")
+    words = built.where(F.col("before").isNotNull()).groupBy(F.col("before").alias("hash"))
+    counts = written(words.agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "word_counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = least_common_level(counts, common)
-    is_common = F.lit(False) if least is None else count_level() >= least
-    top = counts.where(is_common).toPandas().sort_values("hash")
-    hashes, n = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    top = counts.where(F.lit(False) if least is None else count_level() >= least).toPandas()
+    hashes = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    model = Model(total, distinct, hashes[order], n[order])
-    grams = written(bigram_counts(docs).unionByName(counts.where(~is_common)), "ngram_counts")
-    entries = filter_entries(grams)
-    if (entries * BITS_PER_ENTRY - 1).bit_length() <= most_bits:
-        model.filter = count_filter(grams, entries)
-    else:
-        model.n_segments = -(-entries * BITS_PER_ENTRY >> segment_bits)
-        model.segment_bits = segment_bits
-        model.segments = written(filter_segments(grams, model.n_segments, segment_bits), "filter")
-    return model, counts
-
-
-def routed_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """row and model score of ``docs`` (row, tokens), with the filter in segments."""
-    own, segments = replace(model, segments=None), model.n_segments
-    shared = docs.sparkSession.sparkContext.broadcast(own)
-
-    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
-        return values, np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                hashes, stops = flat(batch.column("tokens").slice(i, 1))
-                every, before = following_end(hashes, stops - 1)
-                keys = np.unique(np.r_[every[shared.value.common_count(every)[1]], bigrams(every[before], hashes)])
-                row = np.full(len(keys), batch.column("row")[i].as_py())
-                arrays = [pa.array(segment_of(keys, segments)), pa.array(row), pa.array(keys.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["segment", "row", "hash"])
+    n, totals = (top[c].to_numpy(np.int64)[order] for c in ("n", "total"))
+    filters = built.where(F.col("part").isNotNull()).select("part", "bits", "data", "false_hits")
+    wrong = filters.agg(F.avg("false_hits")).first()[0] or 0.0
+    return Model(total, distinct, hashes[order], n, totals, parts, wrong), filters, counts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, stops = flat(batch.column("tokens"))
-            keys, _ = flat(batch.column("keys"))
-            n = batch.column("counts").flatten().to_numpy(zero_copy_only=False).astype(float)
-            known, first = np.unique(keys, return_index=True)
 
-            def lookup(asked: np.ndarray, known=known, n=n[first]) -> np.ndarray:
-                if not len(known):
-                    return np.zeros(len(asked))
-                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                return np.where(known[at] == asked, n[at], 0.0)
+def groups_of(filters: DataFrame, parts: int, group_bytes: int) -> Iterator[dict[int, CountFilter]]:
+    """The parts of the filter in groups of at most ``group_bytes``, one part at least; a part without bigrams is empty."""
+    sizes = {r["part"]: r["size"] for r in filters.select("part", F.octet_length("data").alias("size")).toLocalIterator()}
+    group: list[int] = []
+    for part in range(parts):
+        if group and sum(sizes.get(p, 0) for p in group) + sizes.get(part, 0) > group_bytes:
+            yield gathered(filters, group)
+            group = []
+        group.append(part)
+    yield gathered(filters, group)
+
 
-            each = shared.value.scores(hashes, stops - 1, lookup)
-            sums = np.add.reduceat(each, np.r_[0, stops[:-1]])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sums)], ["row", "model"])
+def gathered(filters: DataFrame, group: list[int]) -> dict[int, CountFilter]:
+    found = {p: CountFilter(64) for p in group}
+    for row in filters.where(F.col("part").between(group[0], group[-1])).toLocalIterator():
+        found[row["part"]] = CountFilter(row["bits"], np.frombuffer(row["data"], np.uint8))
+    return found
 
-    probes = docs.mapInArrow(ask, "segment int, row bigint, hash bigint")
-    found = answers(probes, model.segments, segments, model.segment_bits).groupBy("row").agg(F.collect_list(F.struct("hash", "n")).alias("found"))
-    both = docs.join(found, "row", "left").select("row", "tokens", F.col("found.hash").alias("keys"), F.col("found.n").alias("counts"))
-    return both.mapInArrow(run, "row bigint, model double")
 
+TERMS = "key bigint, doc_id bigint, model double"
+FIRST = "row bigint, n_tokens bigint, known bigint, base double, rare array<bigint>, times array<int>"
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, segments=None))
-    schema = "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, model double, rare array<bigint>, times array<int>, tokens array<bigint>"
+
+def terms(docs: DataFrame, shared, group, first: bool) -> DataFrame:
+    """key, doc_id and the sum of the log10 terms of the group's bigrams for each text of ``docs`` (key, doc_id, text).
+
+    The first group's rows also hold what needs no filter: the common words' part of ``base_score`` and of the denominators, and the other
+    words with their numbers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, row = shared.value, TaskContext.get().partitionId() << 33
+        own, filters, row = shared.value, group.value, TaskContext.get().partitionId() << 33
+        lowest = min(filters)
         for batch in slices(batches):
             hashes, ends = tokens(batch.column("text"))
-            firsts = np.r_[0, ends[:-1] + 1]
-            seen, rare = own.common_count(hashes)
-            base = np.where(rare, 0.0, np.log10((seen + 1) / (own.total + own.distinct + 1)))
-            total = own.scores(hashes, ends, own.filter.lookup) if own.filter else np.zeros(len(hashes))
-            sent = pa.ListArray.from_arrays(pa.array(np.r_[0, ends + 1].astype(np.int32)), pa.array(hashes.view(np.int64)))
-            owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[firsts, len(hashes)]))
-            at = np.flatnonzero(rare)
-            order = np.lexsort((hashes[at], owner[at]))
-            h, o = hashes[at][order], owner[at][order]
+            starts = np.r_[0, ends[:-1] + 1]
+            keys = bigrams(following_end(hashes, ends), hashes)
+            place = part_of(keys, own.parts) - lowest
+            mine = np.flatnonzero((place >= 0) & (place < len(filters)))
+            mine = mine[np.argsort(place[mine], kind="stable")]
+            bounds = np.searchsorted(place[mine], np.arange(len(filters) + 1))
+            at, known = own.find(hashes)
+            each = np.zeros(len(hashes))
+            each[mine] = own.fallback(at[mine], known[mine])
+            for i in range(len(filters)):
+                here = mine[bounds[i] : bounds[i + 1]]
+                unique, back = np.unique(keys[here], return_inverse=True)
+                each[here] += filters[lowest + i].lookup(unique)[back]
+            each[mine] = np.log10(each[mine])
+            arrays = [batch.column("key"), batch.column("doc_id")]
+            if not first:
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.add.reduceat(each, starts))], ["key", "doc_id", "model"])
+                continue
+            # The contexts of a text, the end before it and its words, are its tokens.
+            each[known] -= np.log10(own.common_totals[at[known]] + own.spare)
+            base = np.zeros(len(hashes))
+            base[known] = np.log10((own.common_counts[at[known]] + 1) / (own.total + own.distinct + 1))
+            owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[starts, len(hashes)]))
+            others = np.flatnonzero(~known)
+            order = np.lexsort((hashes[others], owner[others]))
+            h, o = hashes[others][order], owner[others][order]
             new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (o[1:] != o[:-1])]) if len(h) else np.empty(0, np.int64)
-            lists = np.searchsorted(o[new], np.arange(len(ends) + 1)).astype(np.int32)
-            arrays = [
+            lists = pa.array(np.searchsorted(o[new], np.arange(len(ends) + 1)).astype(np.int32))
+            arrays += [
+                pa.array(np.add.reduceat(each, starts)),
                 pa.array(row + np.arange(len(ends))),
-                batch.column("doc_id"),
-                pa.array(np.diff(np.r_[firsts, len(hashes)])),
-                pa.array(np.add.reduceat((seen > 0).astype(np.int64), firsts)),
-                pa.array(np.add.reduceat(base, firsts)),
-                pa.array(np.add.reduceat(total, firsts)),
-                pa.ListArray.from_arrays(pa.array(lists), pa.array(h[new].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(lists), pa.array(np.diff(np.r_[new, len(h)]).astype(np.int32))),
-                pa.nulls(len(ends), sent.type) if own.filter else sent,
+                pa.array(np.diff(np.r_[starts, len(hashes)])),
+                pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(base, starts)),
+                pa.ListArray.from_arrays(lists, pa.array(h[new].view(np.int64))),
+                pa.ListArray.from_arrays(lists, pa.array(np.diff(np.r_[new, len(h)]).astype(np.int32))),
             ]
             row += len(ends)
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "n_tokens", "known", "base", "model", "rare", "times", "tokens"])
-
-    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "scored")
-    if model.filter is None:
-        rows = rows.drop("model").join(routed_scores(rows.select("row", "tokens"), model), "row")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("word")).select("row", F.col("word.rare").alias("hash"), "word.times")
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "model", "row", "n_tokens", "known", "base", "rare", "times"])
+
+    return docs.mapInArrow(run, f"{TERMS}, {FIRST}" if first else TERMS)
+
+
+def score(docs: DataFrame, model: Model, filters: DataFrame, counts: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each text.
+
+    Equal rows cannot be told apart between the groups; as they score alike, each gets the mean of their sums.
+    """
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    docs = docs.select(F.xxhash64(doc_id, "text").alias("key"), doc_id, "text")
+    shared, passes = docs.sparkSession.sparkContext.broadcast(model), []
+    for filters_of_group in groups_of(filters, model.parts, group_bytes):
+        group = docs.sparkSession.sparkContext.broadcast(filters_of_group)
+        passes.append(written(terms(docs, shared, group, not passes), "terms"))
+        group.destroy()
+    shared.destroy()
+    rows = passes[0].withColumn("more", F.lit(0.0))
+    if passes[1:]:
+        later = passes[1]
+        for each in passes[2:]:
+            later = later.unionByName(each)
+        sums = later.groupBy("key", "doc_id").agg((F.sum("model") * (len(passes) - 1) / F.count(F.lit(1))).alias("more"))
+        same = (passes[0]["key"] == sums["key"]) & passes[0]["doc_id"].eqNullSafe(sums["doc_id"])
+        rows = passes[0].join(sums, same).select(*[passes[0][c] for c in passes[0].columns], "more")
+    rare = passes[0].select("row", F.explode(F.arrays_zip("rare", "times")).alias("word")).select("row", F.col("word.rare").alias("hash"), "word.times")
     found = rare.join(counts, "hash", "left").groupBy("row").agg(
         F.sum("times").alias("rare_tokens"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"),
+        F.sum(F.col("times") * F.log10(F.coalesce("total", F.lit(0)) + model.spare)).alias("rare_spare"),
     )
-    both = rows.drop("rare", "times", "tokens").join(found, "row", "left").fillna(0, ["rare_tokens", "rare_known", "rare_logs"])
+    both = rows.join(found, "row", "left").fillna(0, ["rare_tokens", "rare_known", "rare_logs", "rare_spare"])
     base = F.col("base") + F.col("rare_logs") - F.col("rare_tokens") * F.log10(F.lit(float(model.total + model.distinct + 1)))
     return both.select(
         "doc_id",
@@ -424,5 +379,5 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         (F.col("known") + F.col("rare_known")).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        F.col("model").alias("score"),
+        (F.col("model") + F.col("more") - F.col("rare_spare")).alias("score"),
     )

@@ -81,8 +81,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = language_id.split_remainder(7) == 2
-    model, counts = lm_scoring.learn(docs.where(~held_out))
-    scored = lm_scoring.score(docs, model, counts)
+    scored = lm_scoring.score(docs, *lm_scoring.learn(docs.where(~held_out)))
     return scored.withColumn("held_out", held_out)
 
 

@@ -262,8 +262,7 @@ def test_quotas_go_to_the_highest_quotients(spark):
 
 def test_lm_scoring(docs, rows):
     train = [r for r in rows if crc(r.doc_id) % 7 != 2]
-    model, counts = lm_scoring.learn(docs.where(language_id.split_remainder(7) != 2))
-    found = lm_scoring.score(docs, model, counts).collect()
+    found = lm_scoring.score(docs, *lm_scoring.learn(docs.where(language_id.split_remainder(7) != 2))).collect()
     tokens = [[*words(r.text, lower=True), "\n"] for r in rows]
     known = collections.Counter(t for r in train for t in [*words(r.text, lower=True), "\n"])
     total, distinct = sum(known.values()), len(known)
@@ -282,11 +281,12 @@ def test_lm_beats_its_base_on_held_out_texts(spark):
 
 
 def test_count_filter_never_underestimates():
-    own = lm_scoring.CountFilter(18)
-    keys, counts = np.arange(2000), np.arange(1, 2001)
-    own.add(keys, counts)
-    assert (own.lookup(keys) >= own.count(own.level(counts))).all()
-    assert np.mean(own.lookup(keys + 10**6) > 0) < 0.2
+    keys, counts = np.arange(2000, dtype=np.uint64), np.arange(1, 2001)
+    own = lm_scoring.CountFilter.of(keys, own_levels := lm_scoring.CountFilter.level(counts))
+    least = own.count(own_levels)
+    assert (own.lookup(keys) >= least).all() and (least <= counts).all() and (3 * least >= 2 * counts).all()
+    wrong = np.mean(own.lookup(np.arange(10**6, 2 * 10**6, dtype=np.uint64)) > 0)
+    assert 0.5 * own.false_hits() < wrong < 2 * own.false_hits() < 0.004
 
 
 def test_packing(docs, rows):
