@@ -1,9 +1,11 @@
 """Quality rules: base counts of each text, and robust multivariate outliers per language and source.
 
 Base rules reject a text with fewer than 10 words, or with more than a fifth of its words in repeated 5-word windows. For the others, a vector of
-transformed statistics is compared with the minimum-covariance-determinant estimate of its language and source: location and
-scatter of the CORE share of rows with the least Mahalanobis distance, found by repeated concentration steps. A row
-whose squared distance exceeds the 0.9999 quantile of chi-square is rejected.
+transformed statistics is compared with the minimum-covariance-determinant estimate of its language and source. The core has
+h = CORE * n + (p + 1) / 2 of a group's n rows (p statistics; CORE is one half, so that almost half of a group may be junk). From several starts, concentration
+steps take the h rows with the least Mahalanobis distance and estimate location and scatter anew. After EARLY steps the start with the least determinant is
+kept, and goes on until its determinant stays. As usual, the estimate is then taken once more over all rows within the 0.975
+quantile of chi-square. A row whose squared distance exceeds the 0.9999 quantile is rejected.
 
 The statistics are rates shrunk by PRIOR_WORDS words, so that a short text needs more evidence: log mean word length, and the square roots of symbols,
 repeated lines and words in repeated windows per word. The sampling error that texts of the group's lengths have is added to
@@ -21,8 +23,10 @@ columns are dropped; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +40,18 @@ from lendlake.sources.scratch import written
 WINDOW = 5
 PRIOR_WORDS = 50
 PRIOR_ROWS = 50.0
-CORE = 0.75
-STEPS = 4
+CORE = 0.5
+EARLY = 2
+MOST_STEPS = 30
+STAYS = 1e-3
 BINS = 32
 FEATURES = ["word_length", "symbols", "lines", "repeats"]
 START = [0.05, 0.08, 0.1, 0.15]
 # Variance of each statistic times words, from counting alone.
 SAMPLING = [0.25, 0.25, 0.25, WINDOW / 4]
-# Fixed values for four degrees of freedom: the 0.9999 quantile of chi-square, and CORE over the distribution function of
-# six degrees of freedom at the CORE quantile of four, which makes the core's scatter consistent.
+# The 0.975 and 0.9999 quantiles of chi-square with four degrees of freedom.
+WITHIN = 11.143
 CUT = 23.513
-CONSISTENCY = 1.486
 COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
 _symbol = np.zeros(256, bool)
@@ -115,6 +120,24 @@ def with_features(counts: DataFrame) -> DataFrame:
     )
 
 
+def chi_square(x: float, freedom: int) -> float:
+    """Distribution function for an even number of degrees of freedom."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(freedom // 2))
+
+
+def quantile(share: float, freedom: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, freedom) < share else (low, middle)
+    return low
+
+
+def consistency(share: float, size: int = len(FEATURES)) -> float:
+    """What makes the scatter of the innermost ``share`` of normal rows that of all."""
+    return share / chi_square(quantile(share, size), size + 2) if share < 1 else 1.0
+
+
 PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 
 
@@ -132,27 +155,26 @@ def moments(rows: DataFrame, groups: list[str]) -> DataFrame:
     return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.sum("noise").alias("noise"), *sums, *products)
 
 
-ESTIMATE = "center array<double>, scatter array<double>, inverse array<double>"
+ESTIMATE = "center array<double>, scatter array<double>, inverse array<double>, determinant double"
 
 
-def estimates(summed: DataFrame, groups: list[str]) -> DataFrame:
-    """Location, scatter and the inverse of scatter plus sampling error, from moments; a row per group.
+def estimates(summed: DataFrame, groups: list[str], factor: float) -> DataFrame:
+    """Location, scatter, and the inverse and log determinant of scatter plus sampling error, from moments; a row per group and start.
 
-    With columns prior_center and prior_scatter, these count as PRIOR_ROWS further rows.
+    The scatter is multiplied by ``factor``. With columns prior_center and prior_scatter, these count as PRIOR_ROWS further rows.
     """
     size = len(FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
-            made = {"center": [], "scatter": [], "inverse": []}
-            for row in frame.to_dict("records"):
+            made = {"center": [], "scatter": [], "inverse": [], "determinant": []}
+            for row in batch.to_pylist():
                 n = row["n"]
                 center = np.array([row[f"s{i}"] for i in range(size)]) / n
                 scatter = np.zeros((size, size))
                 for i, j in PAIRS:
                     scatter[i, j] = scatter[j, i] = row[f"p{i}{j}"] / n - center[i] * center[j]
-                scatter *= CONSISTENCY
+                scatter *= factor
                 if "prior_center" in row:
                     weight = n / (n + PRIOR_ROWS)
                     prior = np.zeros((size, size))
@@ -160,14 +182,17 @@ def estimates(summed: DataFrame, groups: list[str]) -> DataFrame:
                         prior[i, j] = prior[j, i] = row["prior_scatter"][k]
                     center = weight * center + (1 - weight) * np.asarray(row["prior_center"])
                     scatter = weight * scatter + (1 - weight) * prior
-                inverse = np.linalg.inv(scatter + np.diag(SAMPLING) * row["noise"] / n)
+                whole = scatter + np.diag(SAMPLING) * row["noise"] / n
+                inverse = np.linalg.inv(whole)
                 made["center"].append(center.tolist())
                 made["scatter"].append([scatter[i, j] for i, j in PAIRS])
                 made["inverse"].append([inverse[i, j] for i, j in PAIRS])
-            arrays = [batch.column(g) for g in groups] + [pa.array(made[c], pa.list_(pa.float64())) for c in made]
-            yield pa.RecordBatch.from_arrays(arrays, [*groups, *made])
+                made["determinant"].append(float(np.linalg.slogdet(whole)[1]))
+            kinds = [pa.list_(pa.float64())] * 3 + [pa.float64()]
+            arrays = [batch.column(g) for g in [*groups, "start"]] + [pa.array(v, t) for v, t in zip(made.values(), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, [*groups, "start", *made])
 
-    return summed.mapInArrow(run, ", ".join([*[f"{g} string" for g in groups], ESTIMATE]))
+    return summed.mapInArrow(run, ", ".join([*[f"{g} string" for g in groups], "start int", ESTIMATE]))
 
 
 def same_group(left: str, right: str, groups: list[str]) -> Column:
@@ -177,48 +202,87 @@ def same_group(left: str, right: str, groups: list[str]) -> Column:
     return match
 
 
-def beside(rows: DataFrame, estimate: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows with the estimate of their group."""
-    joined = rows.alias("r").join(estimate.alias("e"), same_group("r", "e", groups), "left")
-    return joined.select("r.*", "e.center", "e.scatter", "e.inverse")
+def beside(rows: DataFrame, estimate: DataFrame, groups: list[str], how: str = "left") -> DataFrame:
+    """Rows with each estimate of their group."""
+    joined = rows.alias("r").join(estimate.alias("e"), same_group("r", "e", groups), how)
+    return joined.select("r.*", *[f"e.{c}" for c in ("start", "center", "scatter", "inverse", "determinant")])
 
 
-def concentrate(rows: DataFrame, estimate: DataFrame, groups: list[str], priors: DataFrame | None = None) -> DataFrame:
-    """One step: the estimate of the core, the CORE share of each group's rows with the least distances."""
-    near = beside(rows, estimate, groups).withColumn("bin", F.floor(BINS * F.log2(squared_distance("center", "inverse") + 1e-6)))
-    bins = near.groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*groups)
-    running = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    reached = bins.withColumn("running", running).withColumn("all", F.sum("n").over(group))
-    bound = reached.where(F.col("running") >= CORE * F.col("all")).groupBy(*groups).agg(F.min("bin").alias("bound"))
-    core = near.alias("r").join(bound.alias("b"), same_group("r", "b", groups)).where(F.col("r.bin") <= F.col("b.bound")).select("r.*")
-    summed = moments(core, groups)
-    if priors is not None:
-        prior = priors.select(groups[0], F.col("center").alias("prior_center"), F.col("scatter").alias("prior_scatter"))
-        summed = summed.alias("r").join(prior.alias("p"), same_group("r", "p", groups[:1])).select("r.*", "p.prior_center", "p.prior_scatter")
-    return written(estimates(summed, groups), "estimates")
-
+def summed_up(core: DataFrame, groups: list[str], priors: DataFrame | None) -> DataFrame:
+    """Moments by group and start, beside the group's prior."""
+    summed = moments(core, [*groups, "start"])
+    if priors is None:
+        return summed
+    prior = priors.select(groups[0], F.col("center").alias("prior_center"), F.col("scatter").alias("prior_scatter"))
+    return summed.alias("r").join(prior.alias("p"), same_group("r", "p", groups[:1])).select("r.*", "p.prior_center", "p.prior_scatter")
 
-def start(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Medians as centers and START, widened tenfold, as scatter; the first step replaces both."""
-    medians = rows.groupBy(*groups).agg(F.array(*[F.round(F.percentile_approx(f, 0.5), 2) for f in FEATURES]).alias("center"))
-    flat = [100 * START[i] ** 2 if i == j else 0.0 for i, j in PAIRS]
-    back = [1 / v if v else 0.0 for v in flat]
-    return medians.select(*groups, "center", F.array(*map(F.lit, flat)).alias("scatter"), F.array(*map(F.lit, back)).alias("inverse"))
 
-
-def judge(docs: DataFrame) -> DataFrame:
+def concentrate(rows: DataFrame, estimate: DataFrame, groups: list[str], priors: DataFrame | None, core: float) -> DataFrame:
+    """One step from each estimate: that of its core, the rows of its group with the least distances."""
+    keys = [*groups, "start"]
+    near = beside(rows, estimate, groups, "inner").withColumn("bin", F.floor(BINS * F.log2(squared_distance("center", "inverse") + 1e-6)))
+    bins = near.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys)
+    running = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    reached = bins.withColumn("running", running).withColumn("all", F.sum("n").over(group))
+    least = F.least(F.col("all"), F.floor(core * F.col("all") + (len(FEATURES) + 1) / 2))
+    bound = reached.where(F.col("running") >= least).groupBy(*keys).agg(F.min("bin").alias("bound"))
+    inside = near.alias("r").join(bound.alias("b"), same_group("r", "b", keys)).where(F.col("r.bin") <= F.col("b.bound")).select("r.*")
+    return written(estimates(summed_up(inside, groups, priors), groups, consistency(core)), "estimates")
+
+
+def starts(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Four starts of each group: its medians with the scale START and with the scale of its own quartiles, and its lower and upper quartiles."""
+    marks = rows.groupBy(*groups).agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75]).alias(f) for f in FEATURES])
+    at = lambda i: F.array(*[F.round(F.get(f, F.lit(i)), 3) for f in FEATURES])
+    fixed = [F.lit(v) for v in START]
+    own = [F.greatest(F.lit(v / 4), F.get(f, F.lit(2)) - F.get(f, F.lit(0))) for f, v in zip(FEATURES, START, strict=True)]
+    parts = []
+    for number, (center, scale) in enumerate([(at(1), fixed), (at(0), fixed), (at(2), fixed), (at(1), own)]):
+        flat = [scale[i] * scale[i] if i == j else F.lit(0.0) for i, j in PAIRS]
+        back = [1 / (scale[i] * scale[i]) if i == j else F.lit(0.0) for i, j in PAIRS]
+        columns = [center.alias("center"), F.array(*flat).alias("scatter"), F.array(*back).alias("inverse")]
+        parts.append(marks.select(*groups, F.lit(number).alias("start"), *columns, F.lit(None).cast("double").alias("determinant")))
+    return written(reduce(DataFrame.unionByName, parts), "estimates")
+
+
+def core_estimates(rows: DataFrame, first: DataFrame, groups: list[str], priors: DataFrame | None = None, core: float = CORE) -> DataFrame:
+    """The estimate of each group's core with the least determinant that the starts lead to."""
+    for _ in range(EARLY):
+        first = concentrate(rows, first, groups, priors, core)
+    best = Window.partitionBy(*groups).orderBy("determinant", "start")
+    moving = written(first.withColumn("place", F.row_number().over(best)).where("place = 1").drop("place"), "estimates")
+    settled = []
+    for _ in range(MOST_STEPS):
+        after = concentrate(rows, moving, groups, priors, core).alias("a")
+        both = moving.alias("b").join(after, same_group("a", "b", groups))
+        less = F.col("a.determinant") < F.col("b.determinant") - STAYS
+        settled.append(written(both.where(~less).select("b.*"), "estimates"))
+        moving = written(both.where(less).select("a.*"), "estimates")
+        if not moving.count():
+            break
+    return reduce(DataFrame.unionByName, settled, moving)
+
+
+def reweighted(rows: DataFrame, estimate: DataFrame, groups: list[str], priors: DataFrame | None = None) -> DataFrame:
+    """The estimate of all rows within the 0.975 quantile of the core's; a group without any keeps the core's."""
+    near = beside(rows, estimate, groups, "inner").where(squared_distance("center", "inverse") <= WITHIN)
+    again = written(estimates(summed_up(near, groups, priors), groups, consistency(0.975)), "estimates")
+    missing = estimate.alias("e").join(again.alias("a"), same_group("e", "a", groups), "left_anti")
+    return written(again.unionByName(missing), "estimates")
+
+
+def judge(docs: DataFrame, core: float = CORE) -> DataFrame:
     """doc_id, the base counts, base_failed, distance (squared, null where the base rules failed) and kept."""
     rows = written(with_features(base_counts(docs)), "statistics")
     judged = rows.where(~F.col("base_failed"))
-    by_language = written(start(judged, ["lang"]), "estimates")
-    for _ in range(STEPS):
-        by_language = concentrate(judged, by_language, ["lang"])
+    by_language = reweighted(judged, core_estimates(judged, starts(judged, ["lang"]), ["lang"], core=core), ["lang"])
     groups = ["lang", "source"]
     present = judged.select(*groups).distinct()
-    by_group = beside(present, by_language, ["lang"])
-    for _ in range(STEPS):
-        by_group = concentrate(judged, by_group, groups, by_language)
+    of_language = beside(present, by_language, ["lang"]).withColumn("start", F.lit(-1))
+    first = starts(judged, groups).unionByName(of_language)
+    by_group = core_estimates(judged, first, groups, by_language, core)
+    by_group = reweighted(judged, by_group, groups, by_language)
     distance = F.when(~F.col("base_failed"), squared_distance("center", "inverse"))
     measured = beside(rows, by_group, groups).withColumn("distance", distance)
     kept = ~F.col("base_failed") & (F.col("distance") <= CUT)
