@@ -61,7 +61,7 @@ def permuted(number: Column, rows: int, seed: int) -> Column:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Global row numbers ``row_number`` by doc_id, size and text_crc32, and how many rows there are."""
+    """Global row numbers ``row_number`` by doc_id, text_crc32 and size, and how many rows there are."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     keys = ["doc_id", "size", "text_crc32"]
     sized = docs.select(F.col("doc_id").cast("long"), (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
@@ -69,20 +69,27 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     marks = [i / BUCKETS for i in range(1, BUCKETS)]
     rows, bounds = counted.agg(F.sum("copies"), F.percentile_approx("doc_id", marks, 10 * BUCKETS)).first()
     # Any bounds give the same numbers; they only spread the rows.
-    order = [F.asc_nulls_first("doc_id"), F.col("size"), F.col("text_crc32")]
-    total = running_total(bucketed(counted, "doc_id", sorted(set(bounds or []))), [], "bucket", order, "copies", "first_number")
+    order = [F.asc_nulls_first("doc_id"), F.col("text_crc32"), F.col("size")]
+    placed = apart(bucketed(counted, "doc_id", sorted(set(bounds or []))), sorted(set(bounds or [])))
+    total = running_total(placed, [], "bucket", order, "copies", "first_number")
     each = total.select(*keys, F.explode(F.sequence("first_number", F.col("first_number") + F.col("copies") - 1)).alias("row_number"))
     return each, rows or 0
 
 
 def bucketed(df: DataFrame, column: str, bounds: list[int]) -> DataFrame:
     """Adds ``bucket``: how many of the bounds lie at or below the value, found by halving; 0 for a null."""
-    df = df.withColumn("bucket", F.lit(0))
-    held = F.lit(bounds).cast("array<bigint>")
-    for power in reversed(range(len(bounds).bit_length())):
-        below = F.get(held, F.col("bucket") + (1 << power) - 1) <= F.col(column)
-        df = df.withColumn("bucket", F.col("bucket") + F.when(below, 1 << power).otherwise(0))
-    return df
+    held, powers = F.lit(bounds).cast("array<bigint>"), [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    below = lambda at, power: F.when(F.get(held, at + power - 1) <= F.col(column), power).otherwise(0)
+    found = F.aggregate(F.lit(powers).cast("array<int>"), F.lit(0), lambda at, power: at + below(at, power))
+    return df.withColumn("bucket", found)
+
+
+def apart(df: DataFrame, bounds: list[int]) -> DataFrame:
+    """Cuts the rows of a bucket's first id by checksum; only an id that fills a bucket, or a missing one, has many rows."""
+    lowest = F.get(F.lit(bounds).cast("array<bigint>"), F.col("bucket") - 1)
+    cut = F.shiftright("text_crc32", 32 - (BUCKETS.bit_length() - 1)).cast("int")
+    part = F.when(F.col("doc_id").isNull() | (F.col("bucket") > 0) & (F.col("doc_id") == lowest), cut).otherwise(BUCKETS)
+    return df.withColumn("bucket", F.col("bucket").cast("long") * (BUCKETS + 1) + part)
 
 
 def shard(docs: DataFrame, shards: int = 40, seed: int = 1) -> DataFrame:
