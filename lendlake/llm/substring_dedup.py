@@ -34,6 +34,7 @@ PER_WORD = 6
 GATHER_ROWS = 500_000
 MOST_BROADCAST = 500_000
 Finder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+LISTED = "h1 bigint, doc_id bigint, key int, h2 bigint, starts array<int>"
 FOUND = "h1 bigint, doc_id bigint, place bigint, key int"  # place: the other 32 hash bits, then the start
 
 
@@ -90,6 +91,24 @@ def repeats_finder(filters, size: int, hot: bool) -> Finder:
     return run
 
 
+def lists_of_starts(find: Finder) -> Finder:
+    """A row for each window and document of what ``find`` gives in a batch: h1, doc_id, key, h2 and the starts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in find(batches):
+            h1, place, key = (batch.column(c).to_numpy() for c in ("h1", "place", "key"))
+            doc = batch.column("doc_id").to_numpy()
+            h2, start = place >> 32, (place & 0xFFFFFFFF).astype(np.int32)
+            order = np.lexsort((start, h2, h1, key, doc))
+            h1, h2, doc, key, start = h1[order], h2[order], doc[order], key[order], start[order]
+            differs = [a[1:] != a[:-1] for a in (doc, key, h1, h2)]
+            new = np.flatnonzero(np.r_[True, np.logical_or.reduce(differs)]) if len(doc) else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[new, len(doc)].astype(np.int32)), pa.array(start))
+            yield pa.RecordBatch.from_arrays([*[pa.array(v[new]) for v in (h1, doc, key, h2)], lists], ["h1", "doc_id", "key", "h2", "starts"])
+
+    return run
+
+
 def hot_starts(docs: DataFrame, find: Finder) -> DataFrame:
     """Later starts of hot windows, by document.
 
@@ -146,11 +165,10 @@ def later_starts(docs: DataFrame, size: int) -> DataFrame:
     identified = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__key")
     estimate = sketched(identified, size)
     filters = docs.sparkSession.sparkContext.broadcast(estimate)
-    few = identified.mapInArrow(repeats_finder(filters, size, hot=False), FOUND)
-    window = Window.partitionBy("h1", F.shiftright("place", 32))
-    few = few.withColumn("first_id", F.min("doc_id").over(window)).where("doc_id > first_id")
-    start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    later = few.groupBy("doc_id", F.col("key").cast("long").alias("key")).agg(F.collect_list(start).alias("starts"))
+    # One row per document, however often a window stands in it: below the hot count a window has few documents.
+    few = identified.mapInArrow(lists_of_starts(repeats_finder(filters, size, hot=False)), LISTED)
+    few = few.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where("doc_id > first_id")
+    later = few.groupBy("doc_id", F.col("key").cast("long").alias("key")).agg(F.flatten(F.collect_list("starts")).alias("starts"))
     if estimate.hot.any():
         parts = later.union(hot_starts(identified, repeats_finder(filters, size, hot=True)))
         later = parts.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
