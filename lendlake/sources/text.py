@@ -25,19 +25,24 @@ REJECTED = "_rejected_line"
 
 
 def _line(text: Column) -> Column:
-    """Without the end of line of other systems and a byte order mark."""
-    return F.regexp_replace(text, "^\ufeff|\r$", "")
+    """Without the end of line of other systems and a byte order mark; the pattern is looked for where one of them stands."""
+    marked = F.startswith(text, F.lit("\ufeff")) | F.contains(text, F.lit("\r"))
+    return F.when(marked, F.regexp_replace(text, "^\ufeff|\r$", "")).otherwise(text)
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, place (lines of a file in order) and line."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    return lines.select("file", "block", F.monotonically_increasing_id().alias("place"), _line(F.col("value")).alias("line"))
+FILE, BLOCK = "_metadata.file_path as file", "_metadata.file_block_start as block"
+PLACE = "monotonically_increasing_id() as place"
+
+
+def read_lines(spark: SparkSession, paths: str | list[str], *more: str) -> DataFrame:
+    """line, after ``more``: its file, the block there, its place (lines of a file in order). Each of them costs time on every row."""
+    return spark.read.text(paths).selectExpr(*more, "value as line").withColumn("line", _line(F.col("line")))
 
 
 def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Files of each header. One pass over the text, of which a row per file is kept; the driver holds the list of files anyway."""
-    first = read_lines(spark, path).where("block = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    lines = read_lines(spark, path, FILE, BLOCK, PLACE)
+    first = lines.where("block = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "place").alias("header"))
     found: dict[str, list[str]] = {}
     for row in first.orderBy("header", "file").toLocalIterator():
         found.setdefault(row["header"], []).append(row["file"])
@@ -51,28 +56,33 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def reason(line: Column, cells: int, unread: Column) -> Column:
-    """Why a line is no row of ``cells`` cells, NULL if it is one."""
-    rest = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, QUOTED, "$1")).otherwise(line)
+def fault(line: Column, cells: int) -> Column:
+    """Why a line has not ``cells`` cells, NULL if it has; patterns run only on lines with a quote."""
+    quoted = F.contains(line, F.lit('"'))
+    rest = F.when(quoted, F.regexp_replace(line, QUOTED, "$1")).otherwise(line)
     found = F.length(rest) - F.length(F.replace(rest, F.lit(","), F.lit(""))) + 1
     return (
-        F.when(F.regexp_like(rest, F.lit(OPEN_QUOTE)), UNCLOSED)
-        .when(found > cells, TOO_MANY)
-        .when(found < cells, TOO_FEW)
-        .when(unread.isNotNull(), UNREADABLE)
+        F.when(quoted & F.regexp_like(rest, F.lit(OPEN_QUOTE)), UNCLOSED)
+        .when(found != cells, F.when(found > cells, TOO_MANY).otherwise(TOO_FEW))
     )
 
 
-def parsed(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
-    """For each header its columns, and the lines of its files: file, line, reason, and the cells in ``row``."""
+def parsed(spark: SparkSession, path: str, *more: str) -> list[tuple[list[str], DataFrame]]:
+    """For each header its columns, and the lines of its files: ``more``, line, reason, and the cells in ``row``.
+
+    The cells are exploded from an array of one: filters on them stay above, so that a line is parsed once and not once for each use.
+    """
     out = []
     for header, files in file_headers(spark, path).items():
         names = column_names(header)
         schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, REJECTED])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
-        lines = read_lines(spark, files).where((F.trim("line") != "") & (F.col("line") != header))
-        cells = lines.withColumn("row", F.from_csv("line", F.lit(schema), options))
-        out.append((names, cells.select("file", "line", reason(F.col("line"), len(names), F.col(f"row.{REJECTED}")).alias("reason"), "row")))
+        lines = read_lines(spark, files, *more).where((F.trim("line") != "") & (F.col("line") != header))
+        checked = lines.withColumn("fault", fault(F.col("line"), len(names)))
+        row = F.when(F.col("fault").isNull(), F.from_csv("line", F.lit(schema), options))
+        cells = checked.select("*", F.explode(F.array(row)).alias("row"))
+        unread = F.when(F.col(f"row.{REJECTED}").isNotNull(), UNREADABLE)
+        out.append((names, cells.withColumn("reason", F.coalesce("fault", unread)).drop("fault")))
     return out
 
 
@@ -94,7 +104,7 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
 def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, reason and line of every line that is no row."""
     united = spark.createDataFrame([], "file string, reason string, line string")
-    for _, rows in parsed(spark, path):
+    for _, rows in parsed(spark, path, FILE):
         united = united.unionByName(rows.where("reason is not null").select("file", "reason", "line"))
     return united
 

@@ -88,6 +88,22 @@ def test_malformed_lines_are_kept_as_text_with_their_reason(spark, tmp_path):
     assert (read["2"], read["4"], read["6"]) == ("A, b", 'a"b', None)
 
 
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """Filters on cells and reasons do not repeat the parser, and no pattern runs on lines that cannot hold it."""
+    rows = spark.createDataFrame([("Ann", "40", "2023-01-01")], "Name string, Age string, snapshot_date string")
+    text.write_source(rows, str(tmp_path))
+    dated = bronze.snapshot_slices(text.read_source(spark, str(tmp_path)))
+    for df in (dated, text.rejected_lines(spark, str(tmp_path))):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    assert "file_path" not in dated._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in dated.collect()] == [("Ann", "40", date(2023, 1, 1))]
+
+
+def test_marks_of_other_systems_are_no_part_of_a_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffid,Name\r\n1,Ann\r\n\r\n2,\ufeffBob\r\n".encode())
+    assert sorted((r.id, r.Name) for r in text.read_source(spark, str(tmp_path)).collect()) == [("1", "Ann"), ("2", "\ufeffBob")]
+
+
 def test_no_lines_at_all(spark, tmp_path):
     spark.createDataFrame([], "line string").write.mode("append").text(str(tmp_path))
     assert text.read_source(spark, str(tmp_path)).isEmpty() and text.rejected_lines(spark, str(tmp_path)).isEmpty()
