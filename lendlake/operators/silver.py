@@ -87,11 +87,9 @@ def clean_financials(raw: DataFrame) -> DataFrame:
     Signs go with the other non-digits, so a negative entry counts as its absolute value.
     Limits apply in a second projection, which keeps each text to a single parse.
     """
-    cleaned = raw.withColumns(
-        {c: C.money(c) for c in S.MONEY_COLUMNS}
-        | {c: C.digits_int(c) for c in S.INTEGER_COLUMNS}
-        | {c: C.digits_double(c) for c in S.RATIO_COLUMNS}
-        | {
+    numbers = {C.money: S.MONEY_COLUMNS, C.digits_int: S.INTEGER_COLUMNS, C.digits_double: S.RATIO_COLUMNS}
+    cleaned = C.by_rule(raw, numbers).withColumns(
+        {
             "Credit_History_Age": C.months_from_text("Credit_History_Age"),
             "Credit_Mix": C.ordinal("Credit_Mix", S.CREDIT_MIX_LEVELS),
             "Payment_of_Min_Amount": C.yes_no("Payment_of_Min_Amount"),

@@ -138,3 +138,10 @@ def test_engineered_columns_use_the_limits(spark):
     assert (row.Num_of_Delayed_Payment, row.Num_Credit_Inquiries, row.Num_Fin_Pdts) == (47, 26, 29)
     assert (row.Debt_to_Salary, row.EMI_to_Salary, row.Repayment_Ability) == (10.0, 0.5, 49.0)
     assert row.Loan_Extent is None
+
+
+def test_a_rule_stands_once_in_the_plan(spark):
+    """Not once a column: methods of more than 8,000 bytes are never compiled."""
+    raw = spark.createDataFrame([("1",) * len(S.RAW_COLUMNS["financials"])], S.RAW_COLUMNS["financials"])
+    plan = silver.clean_financials(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 3
