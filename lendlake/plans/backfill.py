@@ -27,15 +27,22 @@ def other_columns(sources: dict[str, DataFrame]) -> dict[str, list[str]]:
     return {name: [c for c in df.columns if c not in S.RAW_COLUMNS[name]] for name, df in sources.items()}
 
 
-def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = None) -> None:
-    """Raw rows by snapshot; each source is read once for all months, and its rows and undated rows are counted on the way."""
+def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = None, aligned: bool = False) -> None:
+    """Raw rows by snapshot; each source is read once for all months, and its rows and undated rows are counted on the way.
+
+    Rows are rebalanced as they come and become text after it: most numbers are shorter than their text. ``aligned`` says that the sources
+    are tables with the same snapshot partitions, whose rows need no shuffle.
+    """
     for name, df in sources.items():
         columns = [*S.RAW_COLUMNS[name], *store.other_columns.get(name, [])]
-        as_text = df.select(*[F.col(c).cast("date" if c == S.SNAPSHOT else "string").alias(c) for c in columns])
+        dated = df.select(*columns).withColumn(S.SNAPSHOT, F.col(S.SNAPSHOT).cast("date"))
         day, seen = F.col(S.SNAPSHOT), Observation()
-        of_run = as_text if months is None else as_text.where(day.isin(months) | day.isNull())
+        of_run = dated if months is None else dated.where(day.isin(months) | day.isNull())
         numbers = [F.count(F.lit(1)).alias("rows_in"), F.count_if(day.isNull()).alias("undated")]
-        store.write(snapshot_slices(of_run.observe(seen, *numbers), months), "bronze", name, months, observed=[seen])
+        slices = snapshot_slices(of_run.observe(seen, *numbers), months)
+        spread = slices if aligned else slices.hint("rebalance", day)
+        as_text = spread.select(*[F.col(c).cast("date" if c == S.SNAPSHOT else "string").alias(c) for c in columns])
+        store.write(as_text, "bronze", name, months, aligned=True, observed=[seen])
         if "rows_in" not in store.counts["bronze", name]:  # no row was written
             store.counts["bronze", name].update(of_run.agg(*numbers).first().asDict())
 

@@ -38,9 +38,9 @@ def backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label counts after a rebuild with later months only and another month on book; the earlier build leaves nothing behind."""
     store = Store(spark, scratch_root(spark))
-    ledger = D.raw_loans(spark, sf_dir)
+    ledger = written(D.raw_loans(spark, sf_dir), "ledger", by=S.SNAPSHOT)
     for rows, mob in ((ledger, 5), (ledger.where(F.col(S.SNAPSHOT) >= F.lit(REBUILT_SINCE)), 6)):
-        backfill.build_bronze(store, {"loans": rows})
+        backfill.build_bronze(store, {"loans": rows}, aligned=True)
         store.write(silver.silver_loans(store.read("bronze", "loans")), "silver", "loans", aligned=True)
         backfill.build_labels(store, mob=mob)
     return metrics.label_profile(store.read("gold", "label_store"))

@@ -7,6 +7,7 @@ from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -26,8 +27,14 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/lendlake-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` written once and read back: later uses read columns, not the whole plan."""
+def written(df: DataFrame, name: str = "table", by: str | None = None) -> DataFrame:
+    """``df`` written once and read back: later uses read columns, not the whole plan.
+
+    ``by`` names a last column to rebalance and partition by, so that a store's table with the same partitions is written from it without a shuffle.
+    """
     path = f"{scratch_root(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", F.col(by)).write.partitionBy(by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -76,6 +76,7 @@ class Store:
         (
             spread.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
             .partitionBy(*partition_by)
             .parquet(self.path(layer, table))
         )

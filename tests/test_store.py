@@ -155,6 +155,27 @@ def test_repeated_feature_rows_are_counted_by_snapshot(spark):
     assert {r.snapshot_date: r.repeated_rows for r in found.collect()} == {date(2023, 1, 1): 2, date(2023, 2, 1): 1}
 
 
+def test_bronze_shuffles_numbers_and_not_their_text(spark, tmp_path, monkeypatch):
+    """Rows are cast above the shuffle; a ledger stored by snapshot is not shuffled again."""
+    plans, write = [], Store.write
+
+    def seen(self, df, *args, **more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(self, df, *args, **more)
+
+    monkeypatch.setattr(Store, "write", seen)
+    loans = driver_tables.raw_loans(spark, SF_DIR)
+    ledger = written(loans, "ledger", by=S.SNAPSHOT)
+    found = []
+    for source, aligned in ((loans, False), (ledger, True)):
+        store = Store(spark, f"{tmp_path}/{aligned}")
+        backfill.build_bronze(store, {"loans": source}, aligned=aligned)
+        found.append(rows(store.read("bronze", "loans")))
+    assert found[0] == found[1] and len(found[0]) == loans.count()
+    assert plans[0].index("cast(loan_amt") < plans[0].index("RebalancePartitions")
+    assert "RebalancePartitions" not in plans[1] and "Join" not in plans[1]
+
+
 def test_undated_rows_are_counted(spark):
     dates = spark.createDataFrame([("2023-01-01",), ("01/02/2023",), (None,)], "day string")
     dates = dates.select(F.col("day").try_cast("date").alias("snapshot_date"))
