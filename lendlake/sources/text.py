@@ -56,11 +56,18 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def fault(line: Column, cells: int) -> Column:
-    """Why a line has not ``cells`` cells, NULL if it has; patterns run only on lines with a quote."""
+def is_plain(line: Column) -> Column:
+    """Whether the separator alone cuts the line into its cells: no quote, and none of the marks that the CSV reader gives a meaning."""
+    marks = [F.contains(line, F.lit(mark)) for mark in ('"', "\\")] + [F.startswith(line, F.lit("\0"))]
+    return ~(marks[0] | marks[1] | marks[2])
+
+
+def fault(line: Column, cells: int, plain_cells: Column) -> Column:
+    """Why a line has not ``cells`` cells, NULL if it has; patterns run only on lines with a quote. ``plain_cells`` are those of a plain line."""
     quoted = F.contains(line, F.lit('"'))
     rest = F.when(quoted, F.regexp_replace(line, QUOTED, "$1")).otherwise(line)
-    found = F.length(rest) - F.length(F.replace(rest, F.lit(","), F.lit(""))) + 1
+    counted = F.length(rest) - F.length(F.replace(rest, F.lit(","), F.lit(""))) + 1
+    found = F.when(plain_cells.isNotNull(), F.size(plain_cells)).otherwise(counted)
     return (
         F.when(quoted & F.regexp_like(rest, F.lit(OPEN_QUOTE)), UNCLOSED)
         .when(found != cells, F.when(found > cells, TOO_MANY).otherwise(TOO_FEW))
@@ -71,6 +78,7 @@ def parsed(spark: SparkSession, path: str, *more: str) -> list[tuple[list[str],
     """For each header its columns, and the lines of its files: ``more``, line, reason, and the cells in ``row``.
 
     The cells are exploded from an array of one: filters on them stay above, so that a line is parsed once and not once for each use.
+    A plain line is cut at its separators, which takes a third of the time of the CSV reader; the others go through it.
     """
     out = []
     for header, files in file_headers(spark, path).items():
@@ -78,11 +86,15 @@ def parsed(spark: SparkSession, path: str, *more: str) -> list[tuple[list[str],
         schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, REJECTED])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
         lines = read_lines(spark, files, *more).where((F.trim("line") != "") & (F.col("line") != header))
-        checked = lines.withColumn("fault", fault(F.col("line"), len(names)))
-        row = F.when(F.col("fault").isNull(), F.from_csv("line", F.lit(schema), options))
+        cut = F.when(is_plain(F.col("line")), F.split("line", ",", -1)) if len(names) > 1 else F.lit(None).cast("array<string>")
+        checked = lines.withColumn("plain", cut).withColumn("fault", fault(F.col("line"), len(names), F.col("plain")))
+        given = [F.nullif(F.get("plain", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)]
+        plain_row = F.struct(*given, F.lit(None).cast("string").alias(REJECTED))
+        read = F.when(F.col("plain").isNotNull(), plain_row).otherwise(F.from_csv("line", F.lit(schema), options))
+        row = F.when(F.col("fault").isNull(), read)
         cells = checked.select("*", F.explode(F.array(row)).alias("row"))
         unread = F.when(F.col(f"row.{REJECTED}").isNotNull(), UNREADABLE)
-        out.append((names, cells.withColumn("reason", F.coalesce("fault", unread)).drop("fault")))
+        out.append((names, cells.withColumn("reason", F.coalesce("fault", unread)).drop("fault", "plain")))
     return out
 
 

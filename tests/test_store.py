@@ -7,7 +7,7 @@ import pytest
 from lendlake import schemas as S
 from lendlake.functions.dates import month_list
 from lendlake.operators import bronze, lookup, metrics, silver, splits
-from lendlake.plans import backfill, modelling, monitoring
+from lendlake.plans import backfill, modelling, monitoring, queries
 from lendlake.plans.queries import assigned, model_table
 from lendlake.sources import driver_tables, text
 from lendlake.sources.scratch import scratch_root, written
@@ -99,6 +99,38 @@ def test_a_line_is_parsed_once(spark, tmp_path):
     assert [tuple(r) for r in dated.collect()] == [("Ann", "40", date(2023, 1, 1))]
 
 
+def test_plain_lines_are_cut_at_their_separators(spark, tmp_path):
+    """Only lines with a quote or a mark of the CSV reader go through it; cells are the same either way."""
+    lines = ["a,b,c", " 1, 2 ,3", ",,", "x,,z", "p,\\,q", '"u,v",w,x', "1,2", "1,2,3,4", "é,#,\t"]
+    path = f"{tmp_path}/lines"
+    text.write_lines(spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1), "h1,h2,h3", path)
+    found = [tuple(r)[:3] for r in text.read_source(spark, path).collect()]
+    expected = spark.createDataFrame([(line,) for line in lines if line not in ("1,2", "1,2,3,4")], "line string")
+    cells = expected.select(F.from_csv("line", F.lit("h1 string, h2 string, h3 string")).alias("row")).select("row.*")
+    assert sorted(found, key=str) == sorted([tuple(r) for r in cells.collect()], key=str)
+    assert (" 1", " 2 ", "3") in found and ("u,v", "w", "x") in found and (None, None, None) in found
+    rejected = {r.line: r.reason for r in text.rejected_lines(spark, path).collect()}
+    assert rejected == {"1,2": text.TOO_FEW, "1,2,3,4": text.TOO_MANY}
+    plain = spark.createDataFrame([(line,) for line in [*lines, "\0a,b,c"]], "line string").where(text.is_plain(F.col("line")))
+    assert plain.count() == 7
+    plan = text.read_source(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") >= 1 and plan.count("from_csv(") == 1
+
+
+def test_run_counts_reads_its_text_once(spark, monkeypatch):
+    """The repeated financial rows do not come from a second pass over the text."""
+    given = {}
+    monkeypatch.setattr(queries.backfill, "backfill", lambda spark, root, sources: given.update(sources) or Store(spark, root))
+    monkeypatch.setattr(Store, "read", lambda self, *_: None)
+    queries.run_counts(spark, SF_DIR)
+    financials = given["financials"]
+    assert financials._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    fives = F.col("Customer_ID").endswith("5")
+    once = driver_tables.raw_financials(spark, SF_DIR)
+    assert financials.count() == once.count() + once.where(fives).count()
+    assert "copy" not in financials.columns
+
+
 def test_marks_of_other_systems_are_no_part_of_a_line(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("\ufeffid,Name\r\n1,Ann\r\n\r\n2,\ufeffBob\r\n".encode())
     assert sorted((r.id, r.Name) for r in text.read_source(spark, str(tmp_path)).collect()) == [("1", "Ann"), ("2", "\ufeffBob")]
