@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,12 @@ from lendlake.sources.scratch import written
 COMMON = 1 << 18
 MU = 200.0
 PROBES = 8
+CHECKED = 2
 BITS_PER_ENTRY = 16
 PART_TEXT = 32 << 20
 GROUP_BYTES = 64 << 20
 HELD = 4_000_000
+PACKED = 1 << 16
 END_HASH = np.uint64(0x0E0D)
 STEPS = np.array(sorted({*(1 << k for k in range(62)), *(3 << k for k in range(60))}), np.int64)
 
@@ -101,24 +104,59 @@ class CountFilter:
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts by repeated probes; never less than what was put in."""
-        levels = np.zeros(len(keys), np.int64)
-        live, level = np.arange(len(keys)), 1
-        while len(live) and level <= len(STEPS):
-            first = mix(keys[live] ^ mix(np.array([level], np.uint64)))
-            step = mix(first)
-            for i in range(PROBES):
-                cell = self.cell(first, step, i)
-                hit = (self.data[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                live, first, step = live[hit], first[hit], step[hit]
-            levels[live] = level
-            level += 1
-        return self.count(levels)
+        return FilterGroup({0: self}).lookup(keys, np.array([0, len(keys)]))
 
     def false_hits(self) -> float:
         """Share of keys never put in that are found."""
         return float(np.bitwise_count(self.data).sum() / self.bits) ** PROBES
 
 
+class FilterGroup:
+    """The filters of parts that follow each other, in one array."""
+
+    def __init__(self, filters: dict[int, CountFilter]):
+        self.lowest = min(filters)
+        own = [filters[part] for part in sorted(filters)]
+        self.bits = np.array([f.bits for f in own], np.uint64)
+        self.base = np.cumsum([0, *[len(f.data) for f in own[:-1]]]).astype(np.uint64)
+        self.data = np.concatenate([f.data for f in own])
+
+    def __len__(self) -> int:
+        return len(self.bits)
+
+    def lookup(self, keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Estimated counts of keys that come part by part, those of the i-th from ``bounds[i]`` to ``bounds[i + 1]``.
+
+        All are probed together, so that many short runs of keys cost no more than a long one.
+        """
+        sizes = np.diff(bounds)
+        return CountFilter.count(levels_in(self.data, np.repeat(self.base, sizes), np.repeat(self.bits, sizes), keys))
+
+
+def levels_in(data: np.ndarray, base: np.ndarray, bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The last level of each key whose probes all hit, in a filter of ``bits`` bits from byte ``base``.
+
+    Keys that miss are left out after the first CHECKED probes of a level and after its last: most of the others pass them all.
+    """
+    levels = np.zeros(len(keys), np.int64)
+    live, level = np.arange(len(keys)), 1
+    while len(live) and level <= len(STEPS):
+        at = mix(keys ^ mix(np.array([level], np.uint64)))
+        step = mix(at)
+        for probes in (CHECKED, PROBES - CHECKED):
+            hit = np.full(len(at), 1, np.uint8)
+            for _ in range(probes):
+                cell = ((at >> np.uint64(32)) * bits) >> np.uint64(32)
+                hit &= data[base + (cell >> np.uint64(3))] >> (cell.astype(np.uint8) & np.uint8(7))
+                at += step
+            kept = np.flatnonzero(hit)
+            if len(kept) < len(hit):
+                live, keys, base, bits, at, step = (a[kept] for a in (live, keys, base, bits, at, step))
+        levels[live] = level
+        level += 1
+    return levels
+
+
 def bigrams(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Key of each pair of word hashes."""
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
@@ -151,9 +189,23 @@ class Model:
         """Places among the common words, and which hashes are there."""
         if not len(self.common):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+        shift, begin, ordered = self.index
+        at = begin[hashes >> shift]
+        live = np.flatnonzero(ordered[at] < hashes)
+        while len(live):
+            at[live] += 1
+            live = live[ordered[at[live]] < hashes[live]]
+        at = np.minimum(at, len(self.common) - 1)
         return at, self.common[at] == hashes
 
+    @cached_property
+    def index(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+        """Where the hashes with the same upper bits begin among the common words, about one for each; and these words with an end."""
+        upper = len(self.common).bit_length()
+        shift = np.uint64(64 - upper)
+        begin = np.searchsorted(self.common, np.arange(1 << upper, dtype=np.uint64) << shift)
+        return shift, begin, np.r_[self.common, ~np.uint64(0)]
+
     def fallback(self, at: np.ndarray, known: np.ndarray) -> np.ndarray:
         """MU * p(word)."""
         others = self.distinct - len(self.common)
@@ -169,7 +221,10 @@ class Model:
 
 
 def counted_bigrams(docs: DataFrame, parts: int) -> DataFrame:
-    """part, before, hash and n of all pairs of tokens that follow each other; counted per batch, then summed in their part."""
+    """All pairs of tokens that follow each other, counted per batch and sent to their part in rows of at most PACKED pairs.
+
+    A row has its part, the keys, their counts, and the words before: each word once, with the number of its keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -177,26 +232,38 @@ def counted_bigrams(docs: DataFrame, parts: int) -> DataFrame:
             hashes, ends = tokens(batch.column("text"))
             held.append(np.stack([following_end(hashes, ends), hashes]))
             if sum(h.shape[1] for h in held) > HELD:
-                yield counted(held)
+                yield from counted(held)
                 held = []
         if held:
-            yield counted(held)
+            yield from counted(held)
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         before, words = np.concatenate(held, axis=1)
+        held.clear()
         keys, first, n = np.unique(bigrams(before, words), return_index=True, return_counts=True)
-        before = before[first]
-        order = np.argsort(before)  # equal words side by side take little room in the shuffle
-        keys, before, n = keys[order], before[order], n[order]
-        arrays = [pa.array(part_of(keys, parts)), pa.array(before.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(n)]
-        return pa.RecordBatch.from_arrays(arrays, ["part", "before", "hash", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "part int, before bigint, hash bigint, n bigint")
-    return rows.repartition(parts, "part").groupBy("part", "before", "hash").agg(F.sum("n").alias("n"))
+        before, part = before[first], part_of(keys, parts)
+        order = np.lexsort((before, part))
+        keys, before, n, part = keys[order], before[order], n[order].astype(np.uint32), part[order]
+        bounds = np.searchsorted(part, np.arange(parts + 1))
+        for place, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            for start in range(low, high, PACKED):
+                stop = min(start + PACKED, high)
+                own = before[start:stop]
+                new = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                runs = np.diff(np.r_[new, len(own)]).astype(np.uint32)
+                cells = [a.tobytes() for a in (keys[start:stop], n[start:stop], own[new], runs)]
+                arrays = [pa.array([place], pa.int32()), *[pa.array([cell], pa.binary()) for cell in cells]]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "keys", "counts", "words", "runs"])
+
+    rows = docs.select("text").mapInArrow(run, "part int, keys binary, counts binary, words binary, runs binary")
+    return rows.repartition(parts, "part")
 
 
 def filter_parts(counts: DataFrame) -> DataFrame:
-    """From the rows of ``counted_bigrams``: each part's filter (part, bits, data, false_hits), and partial n and quantised total of the words before."""
+    """From the rows of ``counted_bigrams``: each part's filter (part, bits, data, false_hits), and partial n and quantised total of the words before.
+
+    A part is summed as a whole; it comes from about PART_TEXT bytes of text, whatever the size of the corpus.
+    """
     names = ["part", "bits", "data", "false_hits", "before", "n", "total"]
     schema = "part int, bits bigint, data binary, false_hits double, before bigint, n bigint, total bigint"
 
@@ -208,25 +275,37 @@ def filter_parts(counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            part, before, keys, n = (batch.column(c).to_numpy() for c in ("part", "before", "hash", "n"))
-            levels = CountFilter.level(n)
-            words, at = np.unique(before, return_inverse=True)
-            sums = [np.bincount(at, v, len(words)).astype(np.int64) for v in (n, CountFilter.count(levels))]
-            yield batch_of(before=pa.array(words), n=pa.array(sums[0]), total=pa.array(sums[1]))
-            bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-            for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
-                if part[start] != current:
-                    if held:
-                        yield built(current, held)
-                    current, held = part[start], []
-                held.append((keys[start:stop].view(np.uint64), levels[start:stop].astype(np.uint8)))
+            for row in range(batch.num_rows):
+                part = batch.column("part")[row].as_py()
+                if part != current and held:
+                    yield from built(current, held)
+                    held = []
+                current = part
+                cells = zip(("keys", "counts", "words", "runs"), (np.uint64, np.uint32, np.uint64, np.uint32), strict=True)
+                held.append([np.frombuffer(batch.column(c)[row].as_py(), kind) for c, kind in cells])
         if held:
-            yield built(current, held)
-
-    def built(part: int, held: list) -> pa.RecordBatch:
-        own = CountFilter.of(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+            yield from built(current, held)
+
+    def built(part: int, held: list) -> Iterator[pa.RecordBatch]:
+        keys, counts = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        before = np.concatenate([np.repeat(h[2], h[3]) for h in held])
+        held.clear()
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, n, before = keys[new], np.add.reduceat(counts[order].astype(np.int64), new), before[order[new]]
+        levels = CountFilter.level(n)
+        own = CountFilter.of(keys, levels.astype(np.uint8))
         sent = {"part": pa.array([int(part)]), "bits": pa.array([own.bits]), "data": pa.array([own.data.tobytes()], pa.binary())}
-        return batch_of(**sent, false_hits=pa.array([own.false_hits()]))
+        yield batch_of(**sent, false_hits=pa.array([own.false_hits()]))
+        order = np.argsort(before)
+        before = before[order]
+        new = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        sums = [np.add.reduceat(v[order], new) for v in (n, CountFilter.count(levels))]
+        words = before[new].view(np.int64)
+        for start in range(0, len(words), PACKED):
+            some = slice(start, start + PACKED)
+            yield batch_of(before=pa.array(words[some]), n=pa.array(sums[0][some]), total=pa.array(sums[1][some]))
 
     return counts.sortWithinPartitions("part").mapInArrow(run, schema)
 
@@ -297,22 +376,22 @@ def terms(docs: DataFrame, shared, group, first: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, filters, row = shared.value, group.value, TaskContext.get().partitionId() << 33
-        lowest = min(filters)
         for batch in slices(batches):
             hashes, ends = tokens(batch.column("text"))
             starts = np.r_[0, ends[:-1] + 1]
             keys = bigrams(following_end(hashes, ends), hashes)
-            place = part_of(keys, own.parts) - lowest
+            place = part_of(keys, own.parts) - filters.lowest
             mine = np.flatnonzero((place >= 0) & (place < len(filters)))
             mine = mine[np.argsort(place[mine], kind="stable")]
             bounds = np.searchsorted(place[mine], np.arange(len(filters) + 1))
-            at, known = own.find(hashes)
+            sought = hashes if first else hashes[mine]
+            at, known = own.find(sought)
             each = np.zeros(len(hashes))
-            each[mine] = own.fallback(at[mine], known[mine])
-            for i in range(len(filters)):
-                here = mine[bounds[i] : bounds[i + 1]]
-                unique, back = np.unique(keys[here], return_inverse=True)
-                each[here] += filters[lowest + i].lookup(unique)[back]
+            each[mine] = own.fallback(at[mine], known[mine]) if first else own.fallback(at, known)
+            uniques = [np.unique(keys[mine[low:high]], return_inverse=True) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+            edges = np.cumsum([0, *[len(unique) for unique, _ in uniques]])
+            found = filters.lookup(np.concatenate([unique for unique, _ in uniques]), edges)
+            each[mine] += found[np.concatenate([back + edge for (_, back), edge in zip(uniques, edges[:-1], strict=True)])]
             each[mine] = np.log10(each[mine])
             arrays = [batch.column("key"), batch.column("doc_id")]
             if not first:
@@ -352,7 +431,7 @@ def score(docs: DataFrame, model: Model, filters: DataFrame, counts: DataFrame,
     docs = docs.select(F.xxhash64(doc_id, "text").alias("key"), doc_id, "text")
     shared, passes = docs.sparkSession.sparkContext.broadcast(model), []
     for filters_of_group in groups_of(filters, model.parts, group_bytes):
-        group = docs.sparkSession.sparkContext.broadcast(filters_of_group)
+        group = docs.sparkSession.sparkContext.broadcast(FilterGroup(filters_of_group))
         passes.append(written(terms(docs, shared, group, not passes), "terms"))
         group.destroy()
     shared.destroy()

@@ -126,3 +126,48 @@ def test_no_training_rows(spark):
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in found) == [(1, 3, 0, 0), (2, 1, 0, 0)]
     assert all(math.isfinite(r.score) and r.score <= 0 for r in found)
     assert lm_scoring.score(docs.where("doc_id > 5"), *learned).isEmpty()
+
+
+def test_bigrams_are_sent_packed_and_counted_by_part(spark, monkeypatch):
+    """A few rows of many pairs go through the shuffle; a part gives each word before once."""
+    docs = spark.createDataFrame(corpus(), "doc_id bigint, text string").repartition(4)
+    sent = lm_scoring.counted_bigrams(docs, 3)
+    pairs = sum(len(t.split()) + 1 for _, t in corpus())
+    assert sent.count() <= 12 < pairs / 100
+    built = lm_scoring.filter_parts(sent).collect()
+    words = [r for r in built if r.part is None]
+    assert len([r for r in built if r.part is not None]) == 3 and sum(r.n for r in words) == pairs
+    one = collections.Counter(w for _, t in corpus() for w in [END, *t.split()])
+    hashes = {w: int(lm_scoring.tokens(pa.array([w]))[0][0].view(np.int64)) for w in one if w != END}
+    found = collections.Counter()
+    for r in words:
+        found[r.before] += r.n
+    assert all(found[h] == one[w] for w, h in hashes.items())
+    assert max(collections.Counter(r.before for r in words).values()) <= 3
+    monkeypatch.setattr(lm_scoring, "PACKED", 100)
+    assert sorted(r.n for r in words) == sorted(r.n for r in lm_scoring.filter_parts(lm_scoring.counted_bigrams(docs, 3)).collect() if r.part is None)
+
+
+def test_probes_of_many_filters_at_once():
+    rng = np.random.default_rng(1)
+    keys = [rng.integers(0, 2**63, size, dtype=np.uint64) for size in (3000, 1, 0, 500)]
+    levels = [rng.integers(1, 9, len(k)) for k in keys]
+    filters = {5 + i: lm_scoring.CountFilter.of(k, v) for i, (k, v) in enumerate(zip(keys, levels))}
+    asked = [np.r_[k, rng.integers(0, 2**63, 400, dtype=np.uint64)] for k in keys]
+    found = lm_scoring.FilterGroup(filters).lookup(np.concatenate(asked), np.cumsum([0, *map(len, asked)]))
+    assert (found == np.concatenate([f.lookup(a) for f, a in zip(filters.values(), asked)])).all()
+    own = filters[5]
+    for key, count in zip(asked[0], found):
+        level = 0
+        while all(own.data[int(c[0]) >> 3] >> (int(c[0]) & 7) & 1 for c in own.cells(np.array([key]), level + 1)):
+            level += 1
+        assert count == own.count(np.array([level]))[0]
+
+
+def test_common_words_are_found_by_their_upper_bits():
+    rng = np.random.default_rng(2)
+    for common in (rng.integers(0, 2**64, 5000, dtype=np.uint64), np.arange(1, 900, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64), np.array([7], np.uint64)):
+        model = lm_scoring.Model(1, 1, np.sort(common), np.ones(len(common)), np.ones(len(common)), 1, 0.0)
+        asked = np.r_[common, rng.integers(0, 2**64, 5000, dtype=np.uint64), np.array([0, 2**64 - 1, lm_scoring.END_HASH], np.uint64)]
+        at, known = model.find(asked)
+        assert (known == np.isin(asked, common)).all() and (model.common[at[known]] == asked[known]).all()
