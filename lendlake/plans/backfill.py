@@ -17,6 +17,7 @@ from lendlake.operators import gold, silver
 from lendlake.operators.bronze import snapshot_slices
 from lendlake.operators.lookup import repeated_rows
 from lendlake.operators.splits import assign_splits, month_ranks
+from lendlake.sources.scratch import shuffles_dropped
 from lendlake.sources.store import Store
 
 Months = list[date] | None
@@ -89,7 +90,8 @@ def build_engagement(store: Store, months: Months = None, feature: str = "fe_1")
 def build_risk(store: Store, months: Months = None) -> None:
     risk = gold.risk_features(store.read("silver", "financials", months))
     store.write(risk, "gold", "risk", months, aligned=True)
-    repeated = repeated_rows(store.read("gold", "risk", months), S.KEY).agg(F.sum("repeated_rows")).first()[0]
+    with shuffles_dropped(store.spark):
+        repeated = repeated_rows(store.read("gold", "risk", months), S.KEY).agg(F.sum("repeated_rows")).first()[0]
     store.counts["gold", "risk"]["repeated_rows"] = repeated or 0
 
 

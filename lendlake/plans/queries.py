@@ -51,10 +51,10 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.snapshot_slices(text.read_source(spark, path))
 
 
-def from_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def from_text(spark: SparkSession, sf_dir: str, name: str, packed: bool = False) -> DataFrame:
     """A source written as text with dirty cells and undated rows, and read again."""
     path = f"{scratch_root(spark)}/{name}_csv"
-    text.write_source(D.as_dirty_text(D.SOURCES[name](spark, sf_dir), DIRTY_COLUMNS[name]), path)
+    text.write_source(D.as_dirty_text(D.SOURCES[name](spark, sf_dir), DIRTY_COLUMNS[name]), path, packed=packed)
     return text.read_source(spark, path)
 
 
@@ -109,7 +109,7 @@ def csv_three_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a backfill counts on its way, from dirty text with undated rows and financial rows that stand there twice."""
-    sources = {name: from_text(spark, sf_dir, name) for name in D.SOURCES}
+    sources = {name: from_text(spark, sf_dir, name, packed=True) for name in D.SOURCES}
     times = F.when(F.col("Customer_ID").endswith("5"), 2).otherwise(1)
     twice = sources["financials"].select("*", F.explode(F.sequence(F.lit(1), times)).alias("copy"))
     sources["financials"] = twice.drop("copy")

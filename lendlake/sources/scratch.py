@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from uuid import uuid4
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @cache
@@ -27,6 +30,23 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/lendlake-{uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within leave no shuffle files behind.
+
+    Without it, the files of finished steps stay on the executors' disks until the driver's JVM happens to collect garbage.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str = "table", by: str | None = None) -> DataFrame:
     """``df`` written once and read back: later uses read columns, not the whole plan.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lendlake.operators.bronze import counts_by_snapshot, snapshot_slices
 from lendlake.schemas import SNAPSHOT, TABLES
+from lendlake.sources.scratch import shuffles_dropped
 
 log = logging.getLogger(__name__)
 
@@ -62,7 +63,7 @@ class Store:
         ``own`` names other partition folders instead, such as those of one model run. Rows are rebalanced by partition value,
         so that a month ends up in few files and a month with a large share of all rows is spread over many tasks. ``aligned`` says
         that ``df`` derives row by row from a table with the same snapshot partitions: its tasks hold few months each, and the
-        write needs no shuffle. ``df`` runs once. Partition folders that were there before and that the write has not replaced are removed
+        write needs no shuffle. ``df`` runs once, and its shuffle files go with it. Partition folders that were there before and that the write has not replaced are removed
         as wholes after it has succeeded.
 
         The rows written, and what ``observed`` counts further up in ``df``, are taken along by the write itself and kept in ``counts``.
@@ -73,13 +74,14 @@ class Store:
         rows = Observation()
         df = df.observe(rows, F.count(F.lit(1)).alias("rows_out"))
         spread = df if aligned else df.hint("rebalance", *[F.col(c) for c in partition_by])
-        (
-            spread.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(*partition_by)
-            .parquet(self.path(layer, table))
-        )
+        with shuffles_dropped(self.spark):
+            (
+                spread.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .partitionBy(*partition_by)
+                .parquet(self.path(layer, table))
+            )
         after = self._folders(layer, table, owned) if before else {}
         for name, files_before in before.items():
             if files_before == after.get(name):

@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.schemas import SNAPSHOT
+from lendlake.sources.scratch import shuffles_dropped
 
 TOO_MANY, TOO_FEW, UNCLOSED, UNREADABLE = "too many cells", "too few cells", "unclosed quote", "unreadable"
 # A cell in quotes, with the separator before it; quotes within are doubled or follow a backslash.
 QUOTED = r'(^|,)[ \t]*"(?:[^"\\]|\\.|"")*"'
 OPEN_QUOTE = r'(^|,)[ \t]*"'
 REJECTED = "_rejected_line"
+ROWS_PER_PACKED_FILE = 250_000
 
 
 def _line(text: Column) -> Column:
@@ -121,9 +123,14 @@ def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
     return united
 
 
-def write_source(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Text copy of a source; an empty string reads back as a missing value."""
-    df.write.mode(mode).csv(path, header=True)
+def write_source(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:
+    """Text copy of a source; an empty string reads back as a missing value.
+
+    ``packed`` files take less than half of the disk. One of them is read by a single task, so they are cut by rows.
+    """
+    options = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": ROWS_PER_PACKED_FILE} if packed else {}
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode(mode).options(**options).csv(path, header=True)
 
 
 def write_lines(lines: DataFrame, header: str, path: str, mode: str = "overwrite") -> None:
