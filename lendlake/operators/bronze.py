@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lendlake.schemas import SNAPSHOT
 
+BETWEEN, MISSING = "\x01", "\x02"
+
 
 def snapshot_slice(df: DataFrame, snapshot: date | str) -> DataFrame:
     return df.where(F.col(SNAPSHOT) == F.lit(snapshot).cast("date"))
@@ -21,6 +23,22 @@ def snapshot_slices(df: DataFrame, months: list[date] | None = None) -> DataFram
     return df.where(F.col(SNAPSHOT).isin(months))
 
 
+def spread_by_snapshot(df: DataFrame) -> DataFrame:
+    """Rows rebalanced by snapshot. Rows of text go through the shuffle as one text each, which halves it, and come out in the order of their snapshots.
+
+    A row with one of the two marks in a cell, or with a cell that is no valid text, goes through as its cells.
+    """
+    names = [name for name in df.columns if name != SNAPSHOT]
+    if any(dict(df.dtypes)[name] != "string" for name in names):
+        return df.hint("rebalance", F.col(SNAPSHOT))
+    cells, whole = F.array(*[F.col(f"`{name}`") for name in names]), F.concat_ws("", *[F.col(f"`{name}`") for name in names])
+    packs = F.is_valid_utf8(whole) & ~F.contains(whole, F.lit(BETWEEN)) & ~F.contains(whole, F.lit(MISSING))
+    packed = df.select(F.col(SNAPSHOT), F.when(packs, F.array_join(cells, BETWEEN, MISSING)).alias("packed"), F.when(~packs, cells).alias("cells"))
+    moved = packed.hint("rebalance", F.col(SNAPSHOT)).sortWithinPartitions(SNAPSHOT).withColumn("packed", F.split("packed", BETWEEN, -1))
+    unpacked = [F.coalesce(F.nullif(F.get("packed", F.lit(i)), F.lit(MISSING)), F.get("cells", F.lit(i))).alias(name) for i, name in enumerate(names)]
+    return moved.select(*unpacked, SNAPSHOT).select(*[F.col(f"`{name}`") for name in df.columns])
+
+
 def counts_by_snapshot(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of each table and snapshot, in one job."""
     counts = None

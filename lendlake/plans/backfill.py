@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from lendlake import schemas as S
 from lendlake.functions.dates import shift_months
 from lendlake.operators import gold, silver
-from lendlake.operators.bronze import snapshot_slices
+from lendlake.operators.bronze import snapshot_slices, spread_by_snapshot
 from lendlake.operators.lookup import repeated_rows
 from lendlake.operators.splits import assign_splits, month_ranks
-from lendlake.sources.scratch import shuffles_dropped
+from lendlake.sources.scratch import shuffles_dropped, sorted_in_memory
 from lendlake.sources.store import Store
 
 Months = list[date] | None
@@ -41,7 +41,7 @@ def build_bronze(store: Store, sources: dict[str, DataFrame], months: Months = N
         of_run = dated if months is None else dated.where(day.isin(months) | day.isNull())
         numbers = [F.count(F.lit(1)).alias("rows_in"), F.count_if(day.isNull()).alias("undated")]
         slices = snapshot_slices(of_run.observe(seen, *numbers), months)
-        spread = slices if aligned else slices.hint("rebalance", day)
+        spread = slices if aligned else spread_by_snapshot(slices)
         as_text = spread.select(*[F.col(c).cast("date" if c == S.SNAPSHOT else "string").alias(c) for c in columns])
         store.write(as_text, "bronze", name, months, aligned=True, observed=[seen])
         if "rows_in" not in store.counts["bronze", name]:  # no row was written
@@ -58,8 +58,9 @@ def build_rejects(store: Store, rejects: dict[str, DataFrame]) -> None:
 
 def build_silver(store: Store, months: Months = None) -> None:
     """Cleaned rows, a job without any shuffle for each table."""
-    for name, build in silver.BUILDERS.items():
-        store.write(build(store.read("bronze", name, months)), "silver", name, months, aligned=True)
+    with sorted_in_memory(store.spark):
+        for name, build in silver.BUILDERS.items():
+            store.write(build(store.read("bronze", name, months)), "silver", name, months, aligned=True)
 
 
 def build_labels(store: Store, months: Months = None, dpd: int = 30, mob: int = 6) -> None:
@@ -89,7 +90,8 @@ def build_engagement(store: Store, months: Months = None, feature: str = "fe_1")
 
 def build_risk(store: Store, months: Months = None) -> None:
     risk = gold.risk_features(store.read("silver", "financials", months))
-    store.write(risk, "gold", "risk", months, aligned=True)
+    with sorted_in_memory(store.spark):
+        store.write(risk, "gold", "risk", months, aligned=True)
     with shuffles_dropped(store.spark):
         repeated = repeated_rows(store.read("gold", "risk", months), S.KEY).agg(F.sum("repeated_rows")).first()[0]
     store.counts["gold", "risk"]["repeated_rows"] = repeated or 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from functools import cache
 from uuid import uuid4
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 @cache
@@ -31,20 +32,30 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Queries that run within leave no shuffle files behind.
-
-    Without it, the files of finished steps stay on the executors' disks until the driver's JVM happens to collect garbage.
-    """
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session with another setting for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+            spark.conf.set(name, before)
+
+
+def shuffles_dropped(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that run within leave no shuffle files behind.
+
+    Without it, the files of finished steps stay on the executors' disks until the driver's JVM happens to collect garbage.
+    """
+    return setting(spark, SHUFFLE_CLEANUP, "true")
+
+
+def sorted_in_memory(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that run within read 16 MB a task: a task that sorts its rows for a write holds them in memory and spills nothing."""
+    return setting(spark, READ_BYTES, "16m")
 
 
 def written(df: DataFrame, name: str = "table", by: str | None = None) -> DataFrame:

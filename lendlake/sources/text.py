@@ -11,6 +11,7 @@ nothing at all.
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ QUOTED = r'(^|,)[ \t]*"(?:[^"\\]|\\.|"")*"'
 OPEN_QUOTE = r'(^|,)[ \t]*"'
 REJECTED = "_rejected_line"
 ROWS_PER_PACKED_FILE = 250_000
+HEADERS_AT_ONCE = 16
 
 
 def _line(text: Column) -> Column:
@@ -32,22 +34,39 @@ def _line(text: Column) -> Column:
     return F.when(marked, F.regexp_replace(text, "^\ufeff|\r$", "")).otherwise(text)
 
 
-FILE, BLOCK = "_metadata.file_path as file", "_metadata.file_block_start as block"
-PLACE = "monotonically_increasing_id() as place"
+FILE = "_metadata.file_path as file"
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], *more: str) -> DataFrame:
-    """line, after ``more``: its file, the block there, its place (lines of a file in order). Each of them costs time on every row."""
+    """line, after ``more``, such as its file. Each of them costs time on every row."""
     return spark.read.text(paths).selectExpr(*more, "value as line").withColumn("line", _line(F.col("line")))
 
 
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """First line of a file that is not blank, without a byte order mark; it is read from the file's beginning, packed or not."""
+    java, path = spark._jvm.java, spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    opened = spark._jvm.org.apache.spark.sql.execution.datasources.CodecStreams.createInputStream(spark._jsc.hadoopConfiguration(), path)
+    lines = java.io.BufferedReader(java.io.InputStreamReader(opened, "UTF-8"))
+    try:
+        line = lines.readLine()
+        if line is not None:  # the reader of the lines takes one off, ``_line`` another
+            line = line.removeprefix("\ufeff").removeprefix("\ufeff")
+        while line is not None and not line.strip(" "):
+            line = lines.readLine()
+            line = line and line.removeprefix("\ufeff")
+        return line
+    finally:
+        lines.close()
+
+
 def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files of each header. One pass over the text, of which a row per file is kept; the driver holds the list of files anyway."""
-    lines = read_lines(spark, path, FILE, BLOCK, PLACE)
-    first = lines.where("block = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    """Files of each header, from the first lines; the driver holds the list of files anyway. No other line is read for it, sorted or spilled."""
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: first_line(spark, file), files))
     found: dict[str, list[str]] = {}
-    for row in first.orderBy("header", "file").toLocalIterator():
-        found.setdefault(row["header"], []).append(row["file"])
+    for header, file in sorted((h, f) for h, f in zip(headers, files, strict=True) if h is not None):
+        found.setdefault(header, []).append(file)
     return found
 
 

@@ -1,12 +1,14 @@
 """What a long run leaves on disk on its way."""
 
+import gzip
 import time
 from datetime import date
 from pathlib import Path
 
 import pytest
 from lendlake import schemas as S
-from lendlake.plans import queries
+from lendlake.operators import bronze
+from lendlake.plans import backfill, queries
 from lendlake.sources import driver_tables, scratch, text
 from lendlake.sources.store import Store
 from pyspark.sql import functions as F
@@ -75,3 +77,45 @@ def test_run_counts_packs_its_text(spark, sf_dir, monkeypatch):
         assert count >= 100 and len(files) >= count / 50 and all(file.endswith(".csv.gz") for file in files)
         twice = 0 if name != "financials" else raw(spark, sf_dir).where(F.col("Customer_ID").endswith("5")).count()
         assert given[name].count() == count + twice
+
+
+def test_rows_of_text_are_shuffled_as_one_text(spark):
+    """Whatever stands in the cells comes out again; rows of other types are shuffled as they are."""
+    cells = [None, "", "a", "\x01", "\x02", "x\x02y", "é\x01", "日本", 'a,b"\\', "\0", " "]
+    days = [date(2023, 1, 1), date(2023, 2, 1)]
+    given = [(a, b, days[(i + j) % 2], "other") for i, a in enumerate(cells) for j, b in enumerate(cells)]
+    df = spark.createDataFrame(given, "`a.b` string, b string, snapshot_date date, cells string").withColumn("packed", F.col("b"))
+    no_text = "cast(x'ff41' as string) as `a.b`", "cast(null as string) as b", "date'2023-01-01' as snapshot_date", "'c' as cells", "'p' as packed"
+    df = df.unionByName(spark.range(1).selectExpr(*no_text))
+    moved = bronze.spread_by_snapshot(df)
+    assert moved.columns == df.columns
+    hexed = [c if c == S.SNAPSHOT else F.hex(f"`{c}`") for c in df.columns]
+    assert sorted(map(repr, moved.select(hexed).collect())) == sorted(map(repr, df.select(hexed).collect()))
+    assert "array_join(" in moved._jdf.queryExecution().optimizedPlan().toString()
+    typed = bronze.spread_by_snapshot(df.withColumn("b", F.lit(1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in typed and "array_join(" not in typed
+
+
+def test_headers_are_read_from_first_lines_only(spark, tmp_path):
+    """No job sorts the text for its headers."""
+    files = {"a.csv": b"id,Name\n1,Ann\n", "b.csv": "\n  \r\n\ufeffid,Name\r\n2,Bob\r\n".encode(), "c.csv": "\ufeffName,id\nCid,3".encode(), "d.csv": b"", "e.csv": b"\n\n"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "f.csv.gz").write_bytes(gzip.compress(b"id,Name\r\n4,Dan\r\n"))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = text.file_headers(spark, str(tmp_path))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    names = {header: [Path(file).name for file in paths] for header, paths in found.items()}
+    assert names == {"id,Name": ["a.csv", "b.csv", "f.csv.gz"], "Name,id": ["c.csv"]}
+    assert {(r.id, r.Name) for r in text.read_source(spark, str(tmp_path)).collect()} == {("1", "Ann"), ("2", "Bob"), ("3", "Cid"), ("4", "Dan")}
+
+
+def test_tasks_that_sort_for_a_write_read_little(spark, monkeypatch):
+    """Silver and risk rows are sorted by snapshot in the task that reads them; the session's own setting stays as it was."""
+    kept, seen = spark.conf.get(scratch.READ_BYTES), {}
+    monkeypatch.setattr(Store, "read", lambda self, layer, table, *_: ledger(spark).limit(0))
+    monkeypatch.setattr(Store, "write", lambda self, df, layer, table, *_, **__: seen.update({(layer, table): spark.conf.get(scratch.READ_BYTES)}))
+    monkeypatch.setattr(backfill.silver, "BUILDERS", {"loans": lambda df: df, "financials": lambda df: df})
+    backfill.build_silver(Store(spark, "unused"))
+    assert seen == {("silver", "loans"): "16m", ("silver", "financials"): "16m"} and spark.conf.get(scratch.READ_BYTES) == kept
